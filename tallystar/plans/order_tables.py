@@ -102,23 +102,34 @@ class OrderTables:
         """Order lines with the price of their product and the head of their order.
 
         Orders come last, so that a later distinct or count by transaction finds
-        the rows partitioned as it needs them.
+        the rows partitioned as it needs them. Types are changed before the
+        joins, once per product and order.
         """
-        parts = self.table("part").select("p_partkey", "p_type", "p_name", "p_brand", "p_retailprice")
+        parts = self.table("part").select(
+            "p_partkey",
+            "p_type",
+            "p_name",
+            "p_brand",
+            F.col("p_retailprice").cast(MONEY).alias("unit_price"),
+        )
         orders = self.table("orders").select(
-            "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"
+            "o_orderkey",
+            "o_custkey",
+            F.col("o_orderdate").cast("date").alias("Date"),
+            F.col("o_totalprice").cast(MONEY).alias("TRANSACTION_AMOUNT"),
+            F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
         )
         return (
             self.table("lineitem")
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
-                F.col("o_orderdate").cast("date").alias("Date"),
+                "Date",
                 F.col("l_orderkey").alias("TRANSACTION_ID"),
                 F.col("l_partkey").alias("PRODUCT_ID"),
                 F.col("o_custkey").alias("CUSTOMER_ID"),
                 F.col("l_suppkey").alias("SELLER_ID"),
-                (F.col("l_quantity").cast(MONEY) * F.col("p_retailprice").cast(MONEY))
+                (F.col("l_quantity").cast(MONEY) * F.col("unit_price"))
                 .cast("decimal(18,4)")
                 .alias("PRODUCT_COST_PRICE"),
                 F.col("l_extendedprice").cast(MONEY).alias("PRODUCT_SELLING_PRICE"),
@@ -126,9 +137,9 @@ class OrderTables:
                 F.col("p_name").alias("PRODUCT Name"),
                 F.col("p_brand").alias("PRODUCT Brand"),
                 F.col("l_quantity").alias("PRODUCT_STOCK"),
-                F.col("o_orderdate").cast("date").alias("TRANSACTION_DATE"),
-                F.col("o_totalprice").cast(MONEY).alias("TRANSACTION_AMOUNT"),
-                F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
+                F.col("Date").alias("TRANSACTION_DATE"),
+                "TRANSACTION_AMOUNT",
+                "TRANSACTION_TYPE",
             )
         )
 

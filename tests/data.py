@@ -1,0 +1,72 @@
+"""A few hand-written sales in the columns of the sales data."""
+
+import datetime
+from decimal import Decimal
+
+SCHEMA = """
+    Date STRING,
+    TRANSACTION_ID INT, TRANSACTION_DATE STRING, TRANSACTION_AMOUNT INT, TRANSACTION_TYPE STRING,
+    DISPATCH_DATE STRING, EXPECTED_DATE STRING, DELIVERY_DATE STRING,
+    PRODUCT_ID INT, CATEGORY_ID INT, `PRODUCT Name` STRING, `PRODUCT Brand` STRING,
+    `Product Model No` INT, PRODUCT_STOCK INT,
+    PRODUCT_COST_PRICE DOUBLE, PRODUCT_SELLING_PRICE DOUBLE,
+    CUSTOMER_ID INT, `Customer Name` STRING, CUSTOMER_LOGIN_ID INT, CUSTOMER_STREET_ADDRESS STRING,
+    CUSTOMER_CITY STRING, CUSTOMER_STATE STRING, CUSTOMER_ZIP INT, CUSTOMER_PHONE_NO STRING,
+    SELLER_ID INT, SELLER_NAME STRING, SELLER_RATING INT, SELLER_STREET_ADDRESS STRING,
+    SELLER_CITY STRING, SELLER_STATE STRING, SELLER_ZIP INT, SELLER_PHONE_NO STRING
+"""
+
+CUSTOMERS = {
+    1: (1, "Ann Ash", 501, "1 Elm, Rear", " SAN JOSE", "CALIFORNIA", 94000, "001-1"),
+    2: (2, "Bo Birch", 502, 'Ap "2" Oak', "FRESNO", "California", 93000, "001-2"),
+    3: (3, "Cy Cedar", 503, "3 Fir", "DAYTON", "OHIO", 45000, "001-3"),
+}
+# A second address of customer 3.
+MOVED = (3, "Cy Cedar", 503, "33 Yew", "TOLEDO", "OHIO", 43000, "001-3")
+
+PRODUCTS = {
+    10: (10, 4005, "LAPTOP", "HP", 100),
+    11: (11, 4005, "LAPTOP", "DELL", 101),
+    12: (12, 4004, "TELEVISION", "SONY", 102),
+}
+SELLER = (70, "Sal Spruce", 5, "7 Ivy", "BREST", "BRITTANY", 76000, "08 1")
+
+
+def sale(date, transaction, product, customer, cost, price, stock=5, amount=100, kind="COD"):
+    who = customer if isinstance(customer, tuple) else CUSTOMERS[customer]
+    return (
+        date,
+        *(transaction, date, amount, kind, date, date, date),
+        *(*PRODUCTS[product], stock),
+        *(cost, price),
+        *who,
+        *SELLER,
+    )
+
+
+ROWS = [
+    sale("05-Jan-11", 900, 10, 1, 10.0, 15.5),
+    sale("05-Jan-11", 900, 10, 1, 10.0, 15.5),  # an exact copy
+    sale("05-Jan-11", 900, 12, 1, 20.0, 20.25),  # a second line of the transaction
+    sale("28-AUG-11", 901, 11, 2, 30.0, 25.75, stock=9, amount=200, kind="PAYPAL"),
+    sale("28-Aug-11", 902, 11, 3, 30.0, 28.0, stock=4, amount=200, kind="PAYPAL"),
+    sale("31-Dec-11", 903, 12, MOVED, 5.0, 9.0, amount=50, kind="NET BANKING"),
+    sale("01-Jan-12", 904, 10, 2, 1.0, 2.0, amount=70),
+    sale(None, 905, 10, 2, 1.0, 2.0, amount=70),
+]
+
+
+def wide(spark, rows=ROWS):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def table(df):
+    """The rows of ``df`` as sorted tuples, with decimals in their shortest form."""
+
+    def plain(value):
+        return value.normalize() if isinstance(value, Decimal) else value
+
+    return sorted((tuple(map(plain, row)) for row in df.collect()), key=repr)
+
+
+DAY = datetime.date
