@@ -23,10 +23,12 @@ def facts_of_year(fact: DataFrame, time: DataFrame, year: int, time_key: str) ->
     if isinstance(fact.select(time_key).schema[0].dataType, T.DateType):
         fact = fact.where(in_year(key, year))
     else:
-        span = days.agg(F.min(time_key).alias("first"), F.max(time_key).alias("last"))
-        fact = fact.where(
-            (key >= span.select("first").scalar()) & (key <= span.select("last").scalar())
-        )
+        # Two top-1 subqueries, because min and max would be merged into one that
+        # returns a struct, and a scan cannot use a field of a struct to skip.
+        keys = days.select(time_key).where(key.isNotNull())
+        first = keys.orderBy(F.asc(time_key)).limit(1).scalar()
+        last = keys.orderBy(F.desc(time_key)).limit(1).scalar()
+        fact = fact.where((key >= first) & (key <= last))
     # A year has at most 366 days, each in at most 8 spellings of its month
     # (time_dimension takes no finer key), so this side cannot grow with the data.
     return fact.join(F.broadcast(days), time_key)
