@@ -2,6 +2,8 @@
 
     python -m tallystar.plans.jobs star sales.csv output
     python -m tallystar.plans.jobs reports output output-reports --year 2011
+
+Every table is a folder of files named after it, such as output/time_dim.csv.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from tallystar.plans.star import (
     product_dimension,
     time_dimension,
 )
-from tallystar.session import prepare
+from tallystar.session import fit_shuffles, prepare
 from tallystar.sources.scratch import pin
-from tallystar.sources.tables import read_csv, read_table, write_csv, write_table
+from tallystar.sources.tables import read_csv, read_table, table_path, write_csv, write_table
 
-# The category and the number of customers the reports show.
+# The year, the category and the number of customers the reports show.
+YEAR = 2011
 CATEGORY = 4005
 TOP_CUSTOMERS = 10
 
@@ -48,14 +51,14 @@ def build_star(
     schemas = {}
 
     def write(name: str, table: DataFrame) -> None:
-        write_table(table, f"{out}/{name}", fmt)
+        write_table(table, table_path(out, name, fmt), fmt)
         schemas[name] = table.schema
 
     write(
         "time_dim",
         time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates),
     )
-    time = read_table(spark, f"{out}/time_dim", fmt, schemas["time_dim"])
+    time = read_table(spark, table_path(out, "time_dim", fmt), fmt, schemas["time_dim"])
     write("inventory_fact", inventory_fact(source, time, layout.fact, layout.date))
     write("customers_dim", distinct_dimension(source, layout.customer, "CUSTOMER_DIM_ID"))
     write("products_dim", product_dimension(source, layout.product, layout.stock))
@@ -68,7 +71,7 @@ def run_reports(
     spark: SparkSession,
     star: str,
     out: str,
-    year: int,
+    year: int = YEAR,
     category: int | str | None = CATEGORY,
     k: int = TOP_CUSTOMERS,
     fmt: str = "csv",
@@ -81,7 +84,7 @@ def run_reports(
     """
 
     def table(name: str) -> DataFrame:
-        return read_table(spark, f"{star}/{name}", fmt, (schemas or {}).get(name))
+        return read_table(spark, table_path(star, name, fmt), fmt, (schemas or {}).get(name))
 
     fact, customers, products = table("inventory_fact"), table("customers_dim"), table("products_dim")
     time, transactions = table("time_dim"), table("transaction_dim")
@@ -93,7 +96,7 @@ def run_reports(
         "quarterly_sales_count": reports.category_sales(fact, time, products, year, category),
     }
     for name, report in results.items():
-        write_csv(report, f"{out}/{name}")
+        write_csv(report, table_path(out, name, "csv"))
     return results
 
 
@@ -109,7 +112,7 @@ def main(args: list[str] | None = None) -> None:
     report = jobs.add_parser("reports", help="run the reports")
     report.add_argument("star")
     report.add_argument("out")
-    report.add_argument("--year", type=int, required=True)
+    report.add_argument("--year", type=int, default=YEAR)
     report.add_argument("--category", default=str(CATEGORY), help="a category, or 'all'")
     report.add_argument("--top", type=int, default=TOP_CUSTOMERS)
     for job in (star, report):
@@ -117,6 +120,7 @@ def main(args: list[str] | None = None) -> None:
     given = parser.parse_args(args)
 
     spark = prepare(SparkSession.builder.appName("tallystar").getOrCreate())
+    fit_shuffles(spark, given.source if given.job == "star" else given.star)
     if given.job == "star":
         if given.source_format == "csv":
             source = pin(read_csv(spark, given.source, given.source_schema))

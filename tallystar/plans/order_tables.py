@@ -72,15 +72,19 @@ class OrderTables:
         keys = self.table("lineitem").select(F.col("l_suppkey").alias("SELLER_ID")).distinct()
         return self.sellers().join(keys, "SELLER_ID", "left_semi")
 
-    def products(self) -> DataFrame:
-        """All products."""
+    def _parts(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("PRODUCT_ID"),
             F.col("p_type").alias("CATEGORY_ID"),
             F.col("p_name").alias("PRODUCT Name"),
             F.col("p_brand").alias("PRODUCT Brand"),
+            "p_retailprice",
         )
 
+    def products(self) -> DataFrame:
+        """All products."""
+        return self._parts().drop("p_retailprice")
+
     def stocked_products(self) -> DataFrame:
         """The products that have sales, with their smallest quantity as stock."""
         stock = (
@@ -98,63 +102,51 @@ class OrderTables:
             F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
         )
 
-    def _lines(self) -> DataFrame:
-        """Order lines with the price of their product and the head of their order.
+    def _orders(self) -> DataFrame:
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("TRANSACTION_ID"),
+            F.col("o_custkey").alias("CUSTOMER_ID"),
+            F.col("o_orderdate").cast("date").alias("Date"),
+            F.col("o_orderdate").cast("date").alias("TRANSACTION_DATE"),
+            F.col("o_totalprice").cast(MONEY).alias("TRANSACTION_AMOUNT"),
+            F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
+        )
+
+    def _lines(self, orders: DataFrame) -> DataFrame:
+        """Order lines with their product and their order.
 
         Orders come last, so that a later distinct or count by transaction finds
         the rows partitioned as it needs them. Types are changed before the
         joins, once per product and order.
         """
-        parts = self.table("part").select(
-            "p_partkey",
-            "p_type",
-            "p_name",
-            "p_brand",
-            F.col("p_retailprice").cast(MONEY).alias("unit_price"),
-        )
-        orders = self.table("orders").select(
-            "o_orderkey",
-            "o_custkey",
-            F.col("o_orderdate").cast("date").alias("Date"),
-            F.col("o_totalprice").cast(MONEY).alias("TRANSACTION_AMOUNT"),
-            F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
+        parts = self._parts().withColumn("unit_price", F.col("p_retailprice").cast(MONEY))
+        lines = self.table("lineitem").select(
+            F.col("l_orderkey").alias("TRANSACTION_ID"),
+            F.col("l_partkey").alias("PRODUCT_ID"),
+            F.col("l_suppkey").alias("SELLER_ID"),
+            F.col("l_quantity").alias("PRODUCT_STOCK"),
+            F.col("l_extendedprice").cast(MONEY).alias("PRODUCT_SELLING_PRICE"),
         )
+        cost = F.col("PRODUCT_STOCK").cast(MONEY) * F.col("unit_price")
         return (
-            self.table("lineitem")
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                "Date",
-                F.col("l_orderkey").alias("TRANSACTION_ID"),
-                F.col("l_partkey").alias("PRODUCT_ID"),
-                F.col("o_custkey").alias("CUSTOMER_ID"),
-                F.col("l_suppkey").alias("SELLER_ID"),
-                (F.col("l_quantity").cast(MONEY) * F.col("unit_price"))
-                .cast("decimal(18,4)")
-                .alias("PRODUCT_COST_PRICE"),
-                F.col("l_extendedprice").cast(MONEY).alias("PRODUCT_SELLING_PRICE"),
-                F.col("p_type").alias("CATEGORY_ID"),
-                F.col("p_name").alias("PRODUCT Name"),
-                F.col("p_brand").alias("PRODUCT Brand"),
-                F.col("l_quantity").alias("PRODUCT_STOCK"),
-                F.col("Date").alias("TRANSACTION_DATE"),
-                "TRANSACTION_AMOUNT",
-                "TRANSACTION_TYPE",
-            )
+            lines.join(parts, "PRODUCT_ID")
+            .withColumn("PRODUCT_COST_PRICE", cost.cast("decimal(18,4)"))
+            .drop("unit_price", "p_retailprice")
+            .join(orders, "TRANSACTION_ID")
         )
 
     def sale_lines(self) -> DataFrame:
         """What the fact table reads of a sale."""
-        return self._lines().select(LAYOUT.date, *LAYOUT.fact)
+        return self._lines(self._orders()).select(LAYOUT.date, *LAYOUT.fact)
 
     def sales(self) -> DataFrame:
         """The distinct sales, each with its date: a fact table before its ids."""
         return self.sale_lines().dropDuplicates()
 
     def wide(self) -> DataFrame:
-        """The wide table: every line with its order, product, customer and seller."""
-        return (
-            self._lines()
-            .join(self.customers(), "CUSTOMER_ID")
-            .join(self.sellers(), "SELLER_ID")
-        )
+        """The wide table: every line with its product, order, customer and seller.
+
+        Customers are joined to the orders, of which there are fewer than lines.
+        """
+        orders = self._orders().join(self.customers(), "CUSTOMER_ID")
+        return self._lines(orders).join(self.sellers(), "SELLER_ID")

@@ -22,7 +22,7 @@ from tallystar.plans.star import (
 )
 from tallystar.session import prepare
 from tallystar.sources.scratch import pin, scratch_path
-from tallystar.sources.tables import read_csv, write_csv
+from tallystar.sources.tables import read_csv, table_path, write_csv
 
 Query = Callable[[OrderTables], DataFrame]
 
@@ -285,7 +285,7 @@ def job_build_star(t: OrderTables) -> DataFrame:
         "inventory_fact": "FACT_ID",
     }
     counts = [
-        t.spark.read.parquet(f"{out}/{name}").select(
+        t.spark.read.parquet(table_path(out, name, "parquet")).select(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
             F.min(key).alias("first_id"),
@@ -310,7 +310,7 @@ def job_run_reports(t: OrderTables) -> DataFrame:
         "quarterly_sales_count": (F.concat_ws("/", "QUARTER", "PRODUCT Name"), "SALES_COUNT"),
     }
     lines = [
-        read_csv(t.spark, f"{out}/{name}", written[name].schema).select(
+        read_csv(t.spark, table_path(out, name, "csv"), written[name].schema).select(
             F.lit(name).alias("report"),
             (F.col(label) if isinstance(label, str) else label).cast("string").alias("label"),
             F.col(value).cast("decimal(38,2)").alias("value"),

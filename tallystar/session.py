@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+# Input per shuffle partition. Adaptive execution merges partitions that turn out
+# small, but it does not split large ones other than for a skewed join.
+_PARTITION_BYTES = 256 << 20
+# More partitions than this cost more in shuffle blocks than they save in spill.
+_MOST_PARTITIONS = 50_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -16,3 +23,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
+
+
+def fit_shuffles(spark: SparkSession, path: str) -> int:
+    """Raise the number of shuffle partitions to fit the size of the files below ``path``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fitting = max(present, min(size // _PARTITION_BYTES, _MOST_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
+    return fitting

@@ -27,6 +27,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def table_path(folder: str, name: str, fmt: str) -> str:
+    """Where table ``name`` lies: a folder, or a single file that another program wrote."""
+    return f"{folder}/{name}.{fmt}"
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str, schema: StructType | str | None = None
 ) -> DataFrame:

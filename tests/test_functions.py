@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tallystar import session
 from tallystar.functions.dates import date_parts, in_year, parse_date
 from tallystar.functions.money import exact
 from tallystar.plans.star import calendar
@@ -137,6 +138,20 @@ def test_scratch_is_below_the_folder_the_cluster_names(spark, monkeypatch):
     assert scratch_path(Session({}, Context("local[2]"))).startswith("/tmp/own/tallystar/")
 
 
+def test_shuffles_fit_the_input(spark, monkeypatch):
+    path = scratch_path(spark)
+    write_csv(spark.range(1000), path)
+    assert session.fit_shuffles(spark, path) == 8
+    monkeypatch.setattr(session, "_PARTITION_BYTES", 100)
+    try:
+        assert session.fit_shuffles(spark, path) > 30
+        monkeypatch.setattr(session, "_MOST_PARTITIONS", 11)
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        assert session.fit_shuffles(spark, path) == 11
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
 def test_a_calendar_takes_no_timestamps(spark):
     with pytest.raises(TypeError):
         calendar(spark.sql("SELECT current_timestamp() AS Date"))
