@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.functions.dates import in_year
 from tallystar.plans.layout import StarLayout
 
 LAYOUT = StarLayout(
@@ -21,6 +22,33 @@ LAYOUT = StarLayout(
 
 MONEY = "decimal(18,2)"
 
+# Given, so that opening a table reads no file.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": """
+        c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING
+    """,
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": """
+        p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE
+    """,
+    "orders": """
+        o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING
+    """,
+    "lineitem": """
+        l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ
+    """,
+    "events": """
+        event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
+        props STRING
+    """,
+}
+
 
 class OrderTables:
     """The Parquet tables of one folder, and the sales data in them."""
@@ -30,7 +58,7 @@ class OrderTables:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def dates(self) -> DataFrame:
         return self.table("orders").select(F.col("o_orderdate").cast("date").alias("Date"))
@@ -94,14 +122,6 @@ class OrderTables:
         )
         return self.products().join(stock, "PRODUCT_ID")
 
-    def transactions(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("TRANSACTION_ID"),
-            F.col("o_orderdate").cast("date").alias("TRANSACTION_DATE"),
-            F.col("o_totalprice").cast(MONEY).alias("TRANSACTION_AMOUNT"),
-            F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
-        )
-
     def _orders(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").alias("TRANSACTION_ID"),
@@ -112,12 +132,15 @@ class OrderTables:
             F.col("o_orderpriority").alias("TRANSACTION_TYPE"),
         )
 
-    def _lines(self, orders: DataFrame) -> DataFrame:
+    def transactions(self) -> DataFrame:
+        return self._orders().select(*LAYOUT.transaction)
+
+    def _lines(self, orders: DataFrame, orders_first: bool = False) -> DataFrame:
         """Order lines with their product and their order.
 
         Orders come last, so that a later distinct or count by transaction finds
-        the rows partitioned as it needs them. Types are changed before the
-        joins, once per product and order.
+        the rows partitioned as it needs them, unless they are few: then they
+        come first and keep the other lines from being shuffled to the products.
         """
         parts = self._parts().withColumn("unit_price", F.col("p_retailprice").cast(MONEY))
         lines = self.table("lineitem").select(
@@ -125,23 +148,29 @@ class OrderTables:
             F.col("l_partkey").alias("PRODUCT_ID"),
             F.col("l_suppkey").alias("SELLER_ID"),
             F.col("l_quantity").alias("PRODUCT_STOCK"),
-            F.col("l_extendedprice").cast(MONEY).alias("PRODUCT_SELLING_PRICE"),
+            "l_extendedprice",
         )
+        if orders_first:
+            joined = lines.join(orders, "TRANSACTION_ID").join(parts, "PRODUCT_ID")
+        else:
+            joined = lines.join(parts, "PRODUCT_ID").join(orders, "TRANSACTION_ID")
         cost = F.col("PRODUCT_STOCK").cast(MONEY) * F.col("unit_price")
         return (
-            lines.join(parts, "PRODUCT_ID")
-            .withColumn("PRODUCT_COST_PRICE", cost.cast("decimal(18,4)"))
-            .drop("unit_price", "p_retailprice")
-            .join(orders, "TRANSACTION_ID")
+            joined.withColumn("PRODUCT_COST_PRICE", cost.cast("decimal(18,4)"))
+            .withColumn("PRODUCT_SELLING_PRICE", F.col("l_extendedprice").cast(MONEY))
+            .drop("unit_price", "p_retailprice", "l_extendedprice")
         )
 
-    def sale_lines(self) -> DataFrame:
-        """What the fact table reads of a sale."""
-        return self._lines(self._orders()).select(LAYOUT.date, *LAYOUT.fact)
+    def sale_lines(self, year: int | None = None) -> DataFrame:
+        """What the fact table reads of a sale, of one year or of all."""
+        orders = self._orders()
+        if year is not None:
+            orders = orders.where(in_year(F.col("Date"), year))
+        return self._lines(orders, orders_first=year is not None).select(LAYOUT.date, *LAYOUT.fact)
 
-    def sales(self) -> DataFrame:
+    def sales(self, year: int | None = None) -> DataFrame:
         """The distinct sales, each with its date: a fact table before its ids."""
-        return self.sale_lines().dropDuplicates()
+        return self.sale_lines(year).dropDuplicates()
 
     def wide(self) -> DataFrame:
         """The wide table: every line with its product, order, customer and seller.

@@ -241,7 +241,7 @@ def fact_inventory(t: OrderTables) -> DataFrame:
 
 def report_top_customers(t: OrderTables) -> DataFrame:
     return reports.top_customers(
-        t.sales(), t.customers(), calendar(t.dates()), t.transactions(), YEAR, time_key="Date"
+        t.sales(YEAR), t.customers(), calendar(t.dates()), t.transactions(), YEAR, time_key="Date"
     )
 
 
@@ -254,18 +254,18 @@ def report_payment_mode(t: OrderTables) -> DataFrame:
 
 
 def report_quarterly_profit(t: OrderTables) -> DataFrame:
-    return reports.quarterly_profit(t.sales(), calendar(t.dates()), YEAR, time_key="Date")
+    return reports.quarterly_profit(t.sales(YEAR), calendar(t.dates()), YEAR, time_key="Date")
 
 
 def report_category_sales(t: OrderTables) -> DataFrame:
     return reports.category_sales(
-        t.sales(), calendar(t.dates()), t.products(), YEAR, CATEGORY, time_key="Date"
+        t.sales(YEAR), calendar(t.dates()), t.products(), YEAR, CATEGORY, time_key="Date"
     )
 
 
 def report_category_sales_all(t: OrderTables) -> DataFrame:
     return reports.category_sales(
-        t.sales(), calendar(t.dates()), t.products(), YEAR, time_key="Date"
+        t.sales(YEAR), calendar(t.dates()), t.products(), YEAR, time_key="Date"
     )
 
 
