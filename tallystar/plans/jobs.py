@@ -86,8 +86,9 @@ def run_reports(
     def table(name: str) -> DataFrame:
         return read_table(spark, table_path(star, name, fmt), fmt, (schemas or {}).get(name))
 
-    fact, customers, products = table("inventory_fact"), table("customers_dim"), table("products_dim")
-    time, transactions = table("time_dim"), table("transaction_dim")
+    fact, time = table("inventory_fact"), table("time_dim")
+    customers, products = table("customers_dim"), table("products_dim")
+    transactions = table("transaction_dim")
     results = {
         "top_10_customers": reports.top_customers(fact, customers, time, transactions, year, k),
         "statewise_orders": reports.state_orders(fact, customers),
@@ -129,9 +130,7 @@ def main(args: list[str] | None = None) -> None:
         build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates)
     else:
         category = None if given.category == "all" else given.category
-        run_reports(
-            spark, given.star, given.out, given.year, category, given.top, given.format
-        )
+        run_reports(spark, given.star, given.out, given.year, category, given.top, given.format)
 
 
 if __name__ == "__main__":

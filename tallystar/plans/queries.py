@@ -12,7 +12,7 @@ from tallystar.functions.dates import date_parts, in_year, parse_date
 from tallystar.operators.surrogate import dense_surrogate_key
 from tallystar.plans import reports
 from tallystar.plans.jobs import build_star, run_reports
-from tallystar.plans.order_tables import LAYOUT, MONEY, OrderTables
+from tallystar.plans.order_tables import LAYOUT, MONEY, SCHEMAS, OrderTables
 from tallystar.plans.star import (
     calendar,
     distinct_dimension,
@@ -45,8 +45,7 @@ def csv_scan(t: OrderTables) -> DataFrame:
 
 
 def csv_scan_schema(t: OrderTables) -> DataFrame:
-    schema = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
-    return read_csv(t.spark, _customer_csv(t), schema)
+    return read_csv(t.spark, _customer_csv(t), SCHEMAS["customer"])
 
 
 def csv_sink(t: OrderTables) -> DataFrame:
@@ -64,9 +63,9 @@ def csv_sink(t: OrderTables) -> DataFrame:
 
 
 def project_columns(t: OrderTables) -> DataFrame:
-    return t.table("orders").select("o_orderkey", "O_ORDERDATE", "o_totalprice", "o_orderpriority").toDF(
-        "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"
-    )
+    # Names are found in any case.
+    day = F.col("O_ORDERDATE").alias("o_orderdate")
+    return t.table("orders").select("o_orderkey", day, "o_totalprice", "o_orderpriority")
 
 
 def spaced_alias(t: OrderTables) -> DataFrame:
@@ -114,7 +113,11 @@ def date_parts_of_orders(t: OrderTables) -> DataFrame:
 
 
 def filter_equality(t: OrderTables) -> DataFrame:
-    return t.table("orders").where(in_year(F.col("o_orderdate"), YEAR)).select("o_orderkey", "o_orderdate")
+    return (
+        t.table("orders")
+        .where(in_year(F.col("o_orderdate"), YEAR))
+        .select("o_orderkey", "o_orderdate")
+    )
 
 
 def filter_chained(t: OrderTables) -> DataFrame:
@@ -161,12 +164,14 @@ def agg_count(t: OrderTables) -> DataFrame:
 
 
 def agg_min(t: OrderTables) -> DataFrame:
-    return t.table("part").groupBy("p_name", "p_brand", "p_type").agg(F.min("p_size").alias("stock"))
+    stock = F.min("p_size").alias("stock")
+    return t.table("part").groupBy("p_name", "p_brand", "p_type").agg(stock)
 
 
 def agg_then_cast(t: OrderTables) -> DataFrame:
     profit = F.col("l_extendedprice").cast(MONEY) - F.col("l_quantity").cast(MONEY)
-    return t.table("lineitem").groupBy("l_returnflag").agg(F.sum(profit).cast("bigint").alias("profit"))
+    total = F.sum(profit).cast("bigint").alias("profit")
+    return t.table("lineitem").groupBy("l_returnflag").agg(total)
 
 
 def group_by_expression(t: OrderTables) -> DataFrame:
