@@ -9,15 +9,21 @@ from pyspark.sql.types import StructType
 _CSV = {"header": True, "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    line_breaks: bool = False,
+) -> DataFrame:
     """A headered CSV file or folder. Blanks at either end of a field are kept.
 
     Without ``schema`` the types are inferred, which reads the whole input once
-    more; give the schema for large or repeated reads.
+    more; give the schema for large or repeated reads. Quoted fields that hold
+    line breaks need ``line_breaks``, which reads each file in one task.
     """
     if schema is None:
-        return spark.read.csv(path, inferSchema=True, **_CSV)
-    return spark.read.csv(path, schema=schema, **_CSV)
+        return spark.read.csv(path, inferSchema=True, multiLine=line_breaks, **_CSV)
+    return spark.read.csv(path, schema=schema, multiLine=line_breaks, **_CSV)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

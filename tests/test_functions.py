@@ -102,6 +102,13 @@ def test_csv_written_by_other_programs(spark, tmp_path):
     ]
 
 
+def test_csv_fields_with_line_breaks(spark):
+    rows = spark.createDataFrame([(1, "1 Elm\nRear"), (2, "2 Oak")], "id INT, street STRING")
+    path = scratch_path(spark)
+    write_csv(rows, path)
+    assert table(read_csv(spark, path, rows.schema, line_breaks=True)) == table(rows)
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_tables_are_replaced(spark, fmt):
     path = scratch_path(spark)
