@@ -68,8 +68,8 @@ def inventory_fact(
     """The distinct sales with the id of their date; sales without a date drop out.
 
     ``time`` must be a written time dimension: its ids then are those that
-    others see, and its size is known to the planner. The rows come out in the
-    order of their date, so that files and row groups hold few days each.
+    others see, and its size is known to the planner. The rows come out in runs
+    ordered by date, so that files and row groups hold few days each.
     """
     sales = source.select(date, *columns).dropDuplicates()
     dated = sales.join(time.select(date, time_id), date).select(time_id, *columns)

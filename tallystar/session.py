@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# Input per shuffle partition. Adaptive execution merges partitions that turn out
-# small, but it does not split large ones other than for a skewed join.
-_PARTITION_BYTES = 256 << 20
-# More partitions than this cost more in shuffle blocks than they save in spill.
+# More shuffle partitions than this cost more in blocks than they save in spill.
 _MOST_PARTITIONS = 50_000
 
 
@@ -25,11 +21,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit_shuffles(spark: SparkSession, path: str) -> int:
-    """Raise the number of shuffle partitions to fit the size of the files below ``path``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0
+def fit_shuffles(table: DataFrame) -> int:
+    """Raise the number of shuffle partitions to the number of splits of a table on disk.
+
+    A split is 128 MB unless set otherwise, and planning the scan tells how many
+    there are. Adaptive execution merges partitions that turn out small, but
+    splits large ones only for a skewed join.
+    """
+    spark = table.sparkSession
     present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fitting = max(present, min(size // _PARTITION_BYTES, _MOST_PARTITIONS))
+    fitting = max(present, min(table.rdd.getNumPartitions(), _MOST_PARTITIONS))
     spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
     return fitting

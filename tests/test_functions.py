@@ -147,16 +147,20 @@ def test_scratch_is_below_the_folder_the_cluster_names(spark, monkeypatch):
 
 def test_shuffles_fit_the_input(spark, monkeypatch):
     path = scratch_path(spark)
-    write_csv(spark.range(1000), path)
-    assert session.fit_shuffles(spark, path) == 8
-    monkeypatch.setattr(session, "_PARTITION_BYTES", 100)
+    write_csv(spark.range(0, 1000, 1, 4), path)
+    rows = read_csv(spark, path, "id BIGINT")
+    assert session.fit_shuffles(rows) == 8
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
     try:
-        assert session.fit_shuffles(spark, path) > 30
+        assert session.fit_shuffles(rows.select("id")) > 30
         monkeypatch.setattr(session, "_MOST_PARTITIONS", 11)
         spark.conf.set("spark.sql.shuffle.partitions", 8)
-        assert session.fit_shuffles(spark, path) == 11
+        assert session.fit_shuffles(rows.select("id")) == 11
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_a_calendar_takes_no_timestamps(spark):
