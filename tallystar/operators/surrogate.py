@@ -24,8 +24,8 @@ def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str])
        position in it, written to the scratch folder: the bounds of a range
        partitioning are sampled, so the rows must be numbered and counted from
        one and the same copy;
-    2. row counts per partition, from the one column that holds the position,
-       and their running sum: one row per partition;
+    2. row counts per partition and their running sum: one row per partition,
+       from a column that is constant in each file and takes next to no space;
     3. id = rows in earlier partitions + position, with no further shuffle.
 
     All columns take part in the order, so that the ids are the same for every
@@ -34,19 +34,22 @@ def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str])
     them in one task); the star tables are.
     """
     order = [*order_by, *(c for c in df.columns if c not in order_by)]
+    slot = F.col("__slot")
     numbered = pin(
-        df.orderBy(*order).withColumn("__slot", F.monotonically_increasing_id())
+        df.orderBy(*order)
+        .withColumn("__slot", F.monotonically_increasing_id())
+        .withColumn("__part", F.shiftright(slot, _POSITION_BITS))
+        .withColumn("__position", slot.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+        .drop("__slot")
     )
-    part = F.shiftright("__slot", _POSITION_BITS)
-    position = F.col("__slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
     # One row per partition, so neither the window nor the broadcast grows with the rows.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        numbered.groupBy(part.alias("__part"))
+        numbered.groupBy("__part")
         .agg(F.count(F.lit(1)).alias("__rows"))
         .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     )
-    return numbered.join(F.broadcast(offsets), part == F.col("__part")).select(
-        *df.columns, (F.col("__before") + position + 1).alias(id_column)
+    return numbered.join(F.broadcast(offsets), "__part").select(
+        *df.columns, (F.col("__before") + F.col("__position") + 1).alias(id_column)
     )

@@ -12,15 +12,18 @@ _SETTING = "spark.checkpoint.dir"
 
 def scratch_path(spark: SparkSession) -> str:
     """A new path below the folder the cluster names in ``spark.checkpoint.dir``."""
+    base = spark.conf.get(_SETTING, None) or _own_folder(spark)
+    return f"{base.rstrip('/')}/tallystar/{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """The folder set in the session, or a temporary one if all runs on one machine."""
     context = spark.sparkContext
-    base = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if not base:
+    if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        # One machine, as in tests: its own temporary folder is shared by all tasks.
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallystar-"))
-        base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/tallystar/{uuid.uuid4().hex}"
+    return context.getCheckpointDir()
 
 
 def pin(df: DataFrame) -> DataFrame:
