@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tallystar.llm import line_dedup, packing, quality_rules, sharding
+from tallystar.llm import line_dedup, ngram_join, packing, quality_rules, sharding
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op7_sharding": sharding.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_ngram_join": ngram_join.query,
     "op10_best_fit_packing": packing.query,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op9_ngram_join": ngram_join.ORACLE,
 }
