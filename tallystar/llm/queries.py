@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallystar.llm import line_dedup, ngram_join, packing, quality_rules, sharding
+from tallystar.llm import embedding_dedup, line_dedup, ngram_join, packing, quality_rules, sharding
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_embedding_dedup": embedding_dedup.query,
     "op7_sharding": sharding.query,
     "op8_quality_rules": quality_rules.query,
     "op9_ngram_join": ngram_join.query,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op2_embedding_dedup": embedding_dedup.ORACLE,
     "op9_ngram_join": ngram_join.ORACLE,
 }
