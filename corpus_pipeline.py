@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm import line_dedup
+from tallystar.llm import line_dedup, mixing, ngram_join, packing, quality_classifier
 from tallystar.llm.tables import table
 from tallystar.sources.scratch import pin
 
+#: Each takes (spark, docs, sf_dir); all but the last return the columns of documents.
 STAGES = [
+    ("quality classifier", quality_classifier.stage),
     ("line dedup", line_dedup.stage),
+    ("n-gram Jaccard join", ngram_join.stage),
+    ("mixing sources", mixing.stage),
+    ("best-fit packing", packing.stage),
 ]
 
-#: SQL cannot express the classifier and the packing.
+#: SQL cannot express the classifier and the token ids.
 ORACLE_SQL = None
 
 

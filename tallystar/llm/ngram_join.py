@@ -19,6 +19,8 @@ from tallystar.sources.scratch import pin
 #: Links ask for an intersection of at least PERCENT / 100 of the union.
 PERCENT = 90
 WIDTH = 3
+#: Near duplicates of the pipeline, as elsewhere: five words, 80 percent.
+STAGE_PERCENT, STAGE_WIDTH = 80, 5
 #: Layout, not limits: documents of a block, and columns multiplied at once.
 BLOCK = 1024
 COLUMNS = 4096
@@ -74,7 +76,7 @@ class Scheme:
         self.percent = percent
         highs = [1]
         while highs[-1] < 1 << 40:
-            highs.append(max(highs[-1] + 1, int(highs[-1] * 1.4)))
+            highs.append(max(highs[-1] + 1, int(highs[-1] * 1.6)))
         self.highs = np.array(highs)
         self.differ = 2 * self.highs * (100 - percent) // (100 + percent)
         self.parts = self.differ + 2 + self.differ // 50
@@ -327,9 +329,12 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the component's own id. Documents without words stay."""
-    groups = ngram_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["__id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component: the one with the component's own id. Documents without words stay.
+
+    Of rows equal in id and text one stays; rows that share an id but not the text stay together.
+    """
+    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["__id"]), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

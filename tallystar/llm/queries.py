@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from tallystar.llm import embedding_dedup, line_dedup, ngram_join, packing, quality_rules, sharding
+from tallystar.llm import (
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_embedding_dedup": embedding_dedup.query,
+    "op3_quality_classifier": quality_classifier.query,
+    "op5_mixing": mixing.query,
     "op7_sharding": sharding.query,
     "op8_quality_rules": quality_rules.query,
     "op9_ngram_join": ngram_join.query,
