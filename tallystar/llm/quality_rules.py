@@ -54,14 +54,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = np.repeat(np.arange(len(t)), np.diff(first))
             bins = len(common) + 1
             words = np.bincount(text * bins + kind, minlength=len(t) * bins)
+            chars = char_classes(t)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(c.slice(t.rows.start, len(t)) for c in batch.columns[:2]),
                     *(pa.array(counts[c].astype(np.int64)) for c in _COUNTS),
-                    _lists(char_classes(t).ravel(), len(CHAR_CLASSES), len(t)),
+                    pa.array(chars.sum(axis=1)),
+                    _lists(chars.ravel(), len(CHAR_CLASSES), len(t)),
                     _lists(words, bins, len(t)),
                 ],
-                ["doc_id", "lang", *_COUNTS, "chars", "words"],
+                ["doc_id", "lang", *_COUNTS, "n_chars", "chars", "words"],
             )
 
 
@@ -89,20 +91,21 @@ def _references(counted: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("at", "n")))
     both = sums.groupBy("lang", "at").agg(F.sum("n").alias("n")).groupBy(F.col("lang").alias("ref_lang")).agg(F.transform(ordered, lambda x: x["n"]).alias("n"))
     classes = len(CHAR_CLASSES)
-    return both.select("ref_lang", F.slice("n", 1, classes).alias("ref_chars"), F.slice("n", classes + 1, len(_common()) + 1).alias("ref_words"))
+    sliced = both.select("ref_lang", F.slice("n", 1, classes).alias("ref_chars"), F.slice("n", classes + 1, len(_common()) + 1).alias("ref_words"))
+    return sliced.select("*", *[F.aggregate(f"ref_{c}", F.lit(0).cast("long"), lambda a, x: a + x).alias(f"ref_n_{c}") for c in ("chars", "words")])
 
 
-def _distance(p: str, q: str) -> Column:
-    """Jensen-Shannon distance, with logarithms to base 2, of two arrays of counts."""
+def _distance(p: str, p_total: Column, q: str, q_total: Column) -> Column:
+    """Jensen-Shannon distance, with logarithms to base 2, of two arrays of counts with known sums."""
 
     def half(share: Column, other: Column) -> Column:
         return F.when(share > 0, share * F.log2(share * 2 / (share + other))).otherwise(0.0)
 
-    def total(c: str) -> Column:
-        return F.greatest(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(1))
+    def term(a: Column, b: Column) -> Column:
+        x, y = a / F.greatest(p_total, F.lit(1)), b / F.greatest(q_total, F.lit(1))
+        return half(x, y) + half(y, x)
 
-    terms = F.zip_with(p, q, lambda a, b: half(a / total(p), b / total(q)) + half(b / total(q), a / total(p)))
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
+    return F.sqrt(F.greatest(F.aggregate(F.zip_with(p, q, term), F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -124,11 +127,13 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """
     counted = pin(
         docs.select(plain(key).cast("long").alias("doc_id"), F.coalesce(plain(lang).cast("string"), F.lit("")).alias("lang"), plain(text).alias("text")).mapInArrow(
-            _count, "doc_id long, lang string, " + ", ".join(f"{c} long" for c in _COUNTS) + ", chars array<long>, words array<long>"
+            _count, "doc_id long, lang string, " + ", ".join(f"{c} long" for c in [*_COUNTS, "n_chars"]) + ", chars array<long>, words array<long>"
         )
     )
     judged = counted.join(_references(counted), F.col("lang") == F.col("ref_lang")).select(
-        "doc_id", *_COUNTS, _distance("chars", "ref_chars").alias("char_distance"), _distance("words", "ref_words").alias("word_distance")
+        "doc_id", *_COUNTS, _distance("chars", F.col("n_chars"), "ref_chars", F.col("ref_n_chars")).alias("char_distance"),
+        _distance("words", F.col("n_words"), "ref_words", F.col("ref_n_words")).alias("word_distance"),
+
     )
     fails = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far_chars = (F.col("word_chars") >= LEAST_CHARS) & (F.col("char_distance") > MOST_CHAR_DISTANCE + CHAR_SPREAD / F.sqrt("word_chars"))
