@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallystar.llm import (
     embedding_dedup,
+    html_extract,
     line_dedup,
     mixing,
     ngram_join,
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_embedding_dedup": embedding_dedup.query,
     "op3_quality_classifier": quality_classifier.query,
+    "op4_html_extraction": html_extract.query,
     "op5_mixing": mixing.query,
     "op7_sharding": sharding.query,
     "op8_quality_rules": quality_rules.query,
