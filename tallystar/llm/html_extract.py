@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystar.llm.block_labeller import Vectors, train
 from tallystar.llm.html_blocks import blocks
@@ -57,7 +58,7 @@ def main_text(pages: DataFrame, most_pages: int = MOST_PAGES, key: str = "page_i
                     out.append("\n".join(b.text for b, m in zip(page, main, strict=True) if m))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*names, "__text"])
 
-    schema = pages.schema.add("__text", "string")
+    schema = T.StructType([*pages.schema.fields, T.StructField("__text", T.StringType())])
     return pages.mapInArrow(extract, schema)
 
 
