@@ -12,6 +12,7 @@ from tallystar.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    substring_dedup,
 )
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_quality_classifier": quality_classifier.query,
     "op4_html_extraction": html_extract.query,
     "op5_mixing": mixing.query,
+    "op6_substring_dedup": substring_dedup.query,
     "op7_sharding": sharding.query,
     "op8_quality_rules": quality_rules.query,
     "op9_ngram_join": ngram_join.query,
@@ -28,5 +30,6 @@ QUERIES = {
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_embedding_dedup": embedding_dedup.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
     "op9_ngram_join": ngram_join.ORACLE,
 }
