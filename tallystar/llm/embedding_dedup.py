@@ -143,9 +143,8 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, key: str = "ve
     if not 0 < least <= 1:
         raise ValueError("the least cosine lies above 0 and is at most 1")
     given = vectors.select(F.coalesce(plain(key).cast("long"), F.lit(_NULL)).alias("id"), plain(vector).cast("array<double>").alias("vector"))
-    # Null for a vector with a null or non-finite component, or without one.
-    biggest = F.aggregate("vector", F.lit(0.0), lambda m, x: F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(None)).otherwise(F.greatest(m, F.abs(x)) + F.lit(0.0) * x))
-    usable = F.coalesce(biggest > 0, F.lit(False))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    usable = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False))
     given = given.select("id", F.when(usable, F.col("vector")).alias("vector"))
     marked = pin(given.withColumn("h1", F.xxhash64("vector", F.lit(1))).withColumn("h2", F.xxhash64(F.lit(2), "vector")))
     classes = pin(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallystar.llm.block_labeller import Vectors, train
 from tallystar.llm.html_blocks import blocks
-from tallystar.llm.tables import plain, table
+from tallystar.llm.tables import by_position, plain, table
 
 #: Pages the labeller is taught with, and the longest of these in characters.
 MOST_PAGES = 200
@@ -31,10 +31,9 @@ def main_text(pages: DataFrame, most_pages: int = MOST_PAGES, key: str = "page_i
     ids come first by hash, of at most 100,000 characters) and with those that mark their text by ``article`` or ``main``.
 
     Null and empty pages, and pages without text, give the empty text. Broken markup never fails. Rows are
-    independent of each other; equal rows get equal texts. Other columns stay; ``__text`` must not be among them.
+    independent of each other; equal rows get equal texts. Other columns stay, but for an earlier ``__text``, which is replaced.
     """
-    if "__text" in pages.columns:
-        raise ValueError("a column with a name used here: __text")
+    pages = pages.drop("__text")
     short = pages.where(F.length(plain(html)) <= LONGEST_PAGE)
     # At most ``most_pages`` rows.
     sample = [r[0] for r in short.select(plain(html), plain(key)).orderBy(F.xxhash64(plain(key)), plain(key)).limit(most_pages).collect()]
@@ -59,7 +58,7 @@ def main_text(pages: DataFrame, most_pages: int = MOST_PAGES, key: str = "page_i
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*names, "__text"])
 
     schema = T.StructType([*pages.schema.fields, T.StructField("__text", T.StringType())])
-    return pages.mapInArrow(extract, schema)
+    return by_position(pages).mapInArrow(extract, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

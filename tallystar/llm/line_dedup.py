@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystar.llm.spans import mix
-from tallystar.llm.tables import plain, table
+from tallystar.llm.tables import by_position, plain, table, unused
 from tallystar.sources.scratch import pin
 
 LEAST_CHARS = 20
@@ -188,20 +188,21 @@ def drop_repeated_lines(
 
     Null text is one empty line and becomes the empty text. Rows that share an id
     count as one document. A null id is smaller than any other. An empty table
-    stays empty; the other columns stay as they are.
+    stays empty; the other columns stay as they are, whatever their names, but for an
+    earlier ``__n_lines`` or ``__n_dropped``, which is replaced.
     """
     if least_docs < 2:
         raise ValueError("a line is repeated from two documents on")
-    if taken := {"__n_lines", "__n_dropped", "__id", "__sum", "__drop"} & set(docs.columns):
-        raise ValueError(f"columns with names used here: {sorted(taken)}")
+    docs = docs.drop("__n_lines", "__n_dropped")
+    id_name, sum_name, drop_name = unused(docs.columns, "__id", "__sum", "__drop")
     lines = pin(_lines(docs, key, text, least_chars).withColumn("id", F.coalesce("doc_id", F.lit(_NULL))).drop("doc_id"))
     drops = (
         repeated_positions(lines, least_docs)
-        .groupBy(F.col("id").alias("__id"), F.col("sum").alias("__sum"))
-        .agg(F.collect_set("pos").alias("__drop"))
+        .groupBy(F.col("id").alias(id_name), F.col("sum").alias(sum_name))
+        .agg(F.collect_set("pos").alias(drop_name))
     )
     words = F.coalesce(plain(text), F.lit(""))
-    on = (F.coalesce(plain(key).cast("long"), F.lit(_NULL)) == F.col("__id")) & (F.xxhash64(words) == F.col("__sum"))
+    on = (F.coalesce(plain(key).cast("long"), F.lit(_NULL)) == F.col(id_name)) & (F.xxhash64(words) == F.col(sum_name))
     fields = docs.schema.fieldNames()
     schema = T.StructType(
         [*(T.StructField(f.name, T.StringType()) if f.name == text else f for f in docs.schema.fields), T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())]
@@ -223,7 +224,7 @@ def drop_repeated_lines(
             columns[at] = pa.array(kept, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], schema.fieldNames())
 
-    return docs.join(drops, on, "left").select(*[plain(c) for c in fields], "__drop").mapInArrow(cut, schema)
+    return by_position(docs.join(drops, on, "left").select(*[plain(c) for c in fields], drop_name)).mapInArrow(cut, schema)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

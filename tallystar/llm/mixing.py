@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.tables import plain, running, table
+from tallystar.llm.tables import plain, running, table, unused
 from tallystar.sources.scratch import pin
 
 #: Bytes of text in a block, and the power of a source's bytes that is its weight if no weights are given.
@@ -170,10 +170,10 @@ def mix_sources(
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, sorted into the mixed order: file by file and row by row as written."""
-    placed = mix_sources(docs).select(F.col("doc_id").alias("__id"), F.col("sum").alias("__sum"), F.col("slot").alias("__slot"), F.col("position").alias("__pos"))
-    placed = placed.dropDuplicates(["__id", "__sum"])
-    on = docs["doc_id"].cast("long").eqNullSafe(placed["__id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == placed["__sum"])
-    return docs.join(placed, on).orderBy("__slot", "__pos").select(*[plain(c) for c in docs.columns])
+    names = dict(zip(("doc_id", "sum", "slot", "position"), unused(docs.columns, "__id", "__sum", "__slot", "__position"), strict=True))
+    placed = mix_sources(docs).select(*[F.col(c).alias(n) for c, n in names.items()]).dropDuplicates([names["doc_id"], names["sum"]])
+    on = plain("doc_id").cast("long").eqNullSafe(F.col(names["doc_id"])) & (F.xxhash64(F.coalesce(plain("text"), F.lit(""))) == F.col(names["sum"]))
+    return docs.join(placed, on).orderBy(names["slot"], names["position"]).select(*[plain(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallystar.llm.components import components, spanning
 from tallystar.llm.spans import LOWER, Texts, hash_spans, mix, texts
-from tallystar.llm.tables import plain, table
+from tallystar.llm.tables import plain, table, unused
 from tallystar.sources.scratch import pin
 
 #: Links ask for an intersection of at least PERCENT / 100 of the union.
@@ -244,7 +244,8 @@ def _grams(width: int):
 
 def _products_of(docs: DataFrame, targets: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) that hold together what is linked in each group (``of``, ``block``) of ``targets``."""
-    rows = docs.join(targets, "id").select("id", "text", "family", "set1", "of", "block")
+    # A broadcast of the targets would follow their number; both sides are sorted and merged at any size.
+    rows = docs.join(targets.hint("merge"), "id").select("id", "text", "family", "set1", "of", "block")
     grams = rows.mapInArrow(_grams(width), "id long, family long, grams binary, of long, block long")
     return pin(grams.groupBy("of", "block").applyInPandas(_products(percent), "a long, b long"))
 
@@ -333,8 +334,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows equal in id and text one stays; rows that share an id but not the text stay together.
     """
-    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["__id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    (id_name,) = unused(docs.columns, "__id")
+    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_name)).distinct()
+    return docs.join(groups, plain("doc_id").cast("long").eqNullSafe(F.col(id_name)), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -255,10 +257,12 @@ def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, g
 def sequences(cut: DataFrame, placed: DataFrame) -> DataFrame:
     """``sequence_id`` and its ``ids``, from pieces with ids and their places."""
     on = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    ids = cut.dropDuplicates(on).select("ids", *[F.col(c).alias(f"_{c}") for c in on])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on])
     ordered = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     # A sequence holds at most its capacity of ids.
     return (
-        placed.join(cut.dropDuplicates(on), on)
+        placed.join(ids, same)
         .groupBy("sequence_id")
         .agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.spans import Texts, hash_spans, texts
-from tallystar.llm.tables import plain, table
+from tallystar.llm.tables import plain, table, unused
 from tallystar.llm.text_stats import CHAR_CLASSES, base_counts, char_classes
 from tallystar.sources.scratch import pin
 
@@ -187,8 +187,9 @@ def judge(
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of sufficient quality."""
-    kept = judge(docs, table(spark, sf_dir, "labels")).where("kept").select(F.col("doc_id").alias("__id"), F.col("sum").alias("__sum"))
-    on = docs["doc_id"].cast("long").eqNullSafe(kept["__id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept["__sum"])
+    id_name, sum_name = unused(docs.columns, "__id", "__sum")
+    kept = judge(docs, table(spark, sf_dir, "labels")).where("kept").select(F.col("doc_id").alias(id_name), F.col("sum").alias(sum_name))
+    on = plain("doc_id").cast("long").eqNullSafe(F.col(id_name)) & (F.xxhash64(F.coalesce(plain("text"), F.lit(""))) == F.col(sum_name))
     return docs.join(kept, on, "left_semi")
 
 

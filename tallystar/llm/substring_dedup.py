@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystar.llm.spans import Texts, hash_spans, mix, texts
-from tallystar.llm.tables import plain, table
+from tallystar.llm.tables import by_position, plain, table, unused
 
 WINDOW = 20
 #: Bytes of text recompressed together.
@@ -171,7 +171,9 @@ def _send_slice(t: Texts, ids: pa.Array, sums: pa.Array, width: int, buckets: in
     bucket = (mix(key ^ _K2) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     at, text, anchor, key, hashed, start, bucket = (x[order] for x in (at, text, anchor, key, hashed, start, bucket))
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+    if not len(bucket):
+        return
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     rows = []
     for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
         # Per anchor: its key, its place in the text, and the document's number here; per window: its hash and place before the anchor.
@@ -182,9 +184,8 @@ def _send_slice(t: Texts, ids: pa.Array, sums: pa.Array, width: int, buckets: in
         per_anchor = _low_bytes(key[heads] & _LOW48, 6) + (anchor - at + start)[heads].astype("<u4").tobytes() + number.astype("<u4").tobytes() + counts.tobytes()
         per_window = _low_bytes(hashed[a:b] & _LOW48, 6) + (anchor - at)[a:b].astype(np.uint8).tobytes()
         rows.append((int(bucket[a]), None, None, ids[docs].tobytes(), sums[docs].tobytes(), per_anchor, per_window, None))
-    if rows:
-        kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
+    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
 
 
 def _judge(buckets: int):
@@ -242,19 +243,20 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
 
     Null text has no words. Documents of less than ``width`` words have no windows. Rows that share an id are
     ordered by a checksum of their text; rows equal in id and text are one document. A null id
-    is the smallest. Other columns stay; an empty table stays empty.
+    is the smallest. Other columns stay, whatever their names, but for an earlier ``__n_words`` or
+    ``__n_removed``, which is replaced. An empty table stays empty.
     """
     if not BEFORE + AFTER + 3 <= width <= 255:
         raise ValueError("windows have 10 to 255 words")
-    if taken := {"__n_words", "__n_removed", "__id", "__sum", "__starts"} & set(docs.columns):
-        raise ValueError(f"columns with names used here: {sorted(taken)}")
+    docs = docs.drop("__n_words", "__n_removed")
+    id_name, sum_name, starts_name = unused(docs.columns, "__id", "__sum", "__starts")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_ = F.coalesce(plain(key).cast("long"), F.lit(_NULL))
     # A checksum that fits an int.
     sum_ = F.hash(F.coalesce(plain(text), F.lit("")))
     sent = docs.select(id_.alias("id"), sum_.alias("sum"), plain(text).alias("text")).mapInArrow(_send(width, buckets), _ROW)
     replies = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_judge(buckets), "id long, sum int, starts binary")
-    starts = replies.groupBy(F.col("id").alias("__id"), F.col("sum").alias("__sum")).agg(F.collect_list("starts").alias("__starts"))
+    starts = replies.groupBy(F.col("id").alias(id_name), F.col("sum").alias(sum_name)).agg(F.collect_list("starts").alias(starts_name))
     names = docs.columns
     fields = [T.StructField(f.name, T.StringType()) if f.name == text else f for f in docs.schema.fields]
     schema = T.StructType([*fields, T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType())])
@@ -278,8 +280,8 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
             columns[at] = pa.array(kept, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], schema.fieldNames())
 
-    joined = docs.join(starts, (id_ == F.col("__id")) & (sum_ == F.col("__sum")), "left")
-    return joined.select(*[plain(c) for c in names], "__starts").mapInArrow(cut, schema)
+    joined = docs.join(starts, (id_ == F.col(id_name)) & (sum_ == F.col(sum_name)), "left")
+    return by_position(joined.select(*[plain(c) for c in names], starts_name)).mapInArrow(cut, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,21 @@ def plain(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, with underscores added to those that a column has already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def by_position(df: DataFrame) -> DataFrame:
+    """The same columns with plain names: ``mapInArrow`` cannot find a column whose name has a dot."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def running(df: DataFrame, size: str, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``rank`` (rows before) and ``before`` (sum of ``size`` before), within each key.
 

@@ -1,0 +1,72 @@
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tallystar.llm import embedding_dedup
+from tallystar.llm.embedding_dedup import linked_pairs, near_vectors, quantise
+
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("codes", T.StringType())])
+NULL = -(2**63)
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, "other") for i, v in rows], SCHEMA)
+
+
+def usable(v):
+    return bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+
+def expected(rows, least):
+    ids = [NULL if i is None else i for i, _ in rows]
+    v = [np.array(x, np.float32).astype(float) if usable(x) else None for _, x in rows]
+    n = len(rows)
+    links = np.zeros((n, n), bool)
+    for a in range(n):
+        for b in range(n):
+            if a != b and v[a] is not None and v[b] is not None and len(v[a]) == len(v[b]):
+                links[a, b] = v[a] @ v[b] / (np.linalg.norm(v[a]) * np.linalg.norm(v[b])) >= least
+    root = np.array(ids)
+    for _ in range(n):
+        new = np.array([min([root[a], *root[links[a]]]) for a in range(n)])
+        if (new == root).all():
+            break
+        root = new
+    return sorted((ids[a], int(links[a].sum()), int(root[a]), bool(ids[a] == root[a])) for a in range(n))
+
+
+def found(df):
+    return sorted((NULL if r.vec_id is None else r.vec_id, r.n_links, NULL if r.component_id is None else r.component_id, r.kept) for r in df.collect())
+
+
+def test_awkward_vectors(spark):
+    rows = [
+        (1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 0.0]),
+        (8, [float("nan"), 1.0, 0.0]), (9, [float("inf"), 1.0, 0.0]), (10, [1.0, 0.0]), (11, [1.0, 0.1]), (None, [-1.0, 0.0, 0.0]), (12, [-5.0, 0.1, 0.0]),
+        (13, [1.0, 0.4, 0.0]), (14, [0.7, 0.8, 0.0]), (14, [0.7, 0.8, 0.0]), (15, [1e-30, 0.0, 0.0]),
+    ]
+    assert found(near_vectors(table(spark, rows))) == expected(rows, 0.9)
+    assert near_vectors(table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_random_vectors(spark, block, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    centres = rng.standard_normal((6, 24))
+    v = np.concatenate([c + rng.standard_normal((15, 24)) * s for c, s in zip(centres, (0, 0.05, 0.1, 0.2, 0.3, 0.5), strict=True)])
+    rows = [(int(i), v[k].tolist()) for k, i in enumerate(rng.permutation(len(v)))]
+    assert found(near_vectors(table(spark, rows))) == expected(rows, 0.9)
+
+
+def test_error_bounds_hold_and_no_pair_is_missed():
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal((40, 1500))
+    v = np.concatenate([base, base + rng.standard_normal(base.shape) * np.linspace(0, 1, 40)[:, None]])
+    v[3, 0] = 1e6
+    side = (v, *quantise(v))
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for least in (0.7, 0.9, 0.99):
+        rows, columns = linked_pairs(side, side, least)
+        a, b = np.nonzero(unit @ unit.T >= least)
+        assert set(zip(rows.tolist(), columns.tolist(), strict=True)) == set(zip(a.tolist(), b.tolist(), strict=True))

@@ -1,0 +1,89 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallystar.llm.block_labeller import Labeller, Templates, Vectors, told_by_elements, train
+from tallystar.llm.html_blocks import blocks
+from tallystar.llm.html_extract import main_text
+
+SCHEMA = "page_id long, url string, html string, __text string"
+
+
+def page(body):
+    return f'<!DOCTYPE html><html><head><title>t &amp; x</title><style>p{{}}</style><script>var t="</p>";</script></head><body>{body}</body></html>'
+
+
+def words(seed, n=30):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{k}" for k in rng.integers(0, 900, n)) + "."
+
+
+@pytest.mark.parametrize(
+    "markup, texts",
+    [
+        ("<p>a<p>b", ["a", "b"]),
+        ("<p>a <b>b</b>\n c&nbsp;&nbsp;d &amp;&lt;e&#233;</p>", ["a b c d &<eé"]),
+        ("<div>x<br>y<div>z</div>w</div>", ["x y", "z", "w"]),
+        ("<ul><li>a<li>b<ul><li>c</ul></ul>", ["a", "b", "c"]),
+        ("a <!-- no --> b <!-- open", ["a b"]),
+        ("1 < 2 and <3", ["1 < 2 and <3"]),
+        ('<a href="x>y">t</a> u', ["t u"]),
+        ("<script>if (a<b) '</p>'</script>x<style>y", ["x"]),
+        ("<form><select><option>o</select><textarea>t</textarea>lab</form>", ["lab"]),
+        ("</div></p>x</b>", ["x"]),
+        ("", []),
+    ],
+)
+def test_blocks(markup, texts):
+    assert [b.text for b in blocks(markup)] == texts
+
+
+@given(st.text(alphabet="<>/abp !-=\"'&;\n", max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_any_markup_is_read(markup):
+    assert all(b.text == " ".join(b.text.split()) != "" for b in blocks(markup))
+
+
+def test_held_out_layouts():
+    paragraphs = [words(k, 20 + k) for k in range(60)]
+    model = train([page(f"<nav>x</nav><article><h1>T</h1><p>{p}</p></article>") for p in paragraphs])
+    made = Templates([words(k + 500, 60) for k in range(40)], seed=99)
+    held = [made.page() for _ in range(300)]
+    got = model.label(Vectors()([b for b, _ in held]))
+    assert np.mean(np.concatenate(got) == np.concatenate([y for _, y in held])) > 0.97
+
+
+def test_labels_do_not_depend_on_the_batch():
+    made = Templates([words(k) for k in range(9)], seed=1)
+    pages = Vectors()([made.page()[0] for _ in range(12)] + [[]])
+    model = Labeller()
+    together = model.label(pages)
+    for one, x in zip(together, pages, strict=True):
+        assert (model.label([x])[0] == one).all()
+
+
+def test_pages(spark):
+    article = "".join(f"<p>{words(k)}</p>" for k in range(5))
+    text = "\n".join(["The title", *(words(k) for k in range(5))])
+    body = f"<nav><a href=/x>Home</a></nav><div class=ad>Buy</div><article><h1>The title</h1>{article}</article><footer>&copy; me</footer>"
+    rows = [(k, f"http://x/{k}", page(body), "old") for k in range(20)] + [
+        (20, None, None, None), (21, "", "", None), (22, "u", "<p><b>", None), (None, "u", page(body), None), (0, "http://x/0", page(body), "old"),
+        (23, "u", page("<article>" + "<p>a b c d e f g. </p>" * 20_000 + "</article>"), None),
+    ]
+    got = main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == len(rows)
+    by = {r.page_id: r["__text"] for r in got}
+    assert by[0] == by[None] == text and [r["__text"] for r in got if r.page_id == 0] == [text] * 2
+    assert by[20] == by[21] == by[22] == ""
+    assert by[23].count("\n") == 19_999
+    assert main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pages_of_the_test_data(spark, folder):
+    df = spark.read.parquet(f"{folder}/pages.parquet")
+    got = {r.page_id: r["__text"] for r in main_text(df).select("page_id", "__text").collect()}
+    for r in df.collect():
+        read = blocks(r.html or "")
+        marked = told_by_elements(read)
+        assert got[r.page_id] == "\n".join(b.text for b, m in zip(read, marked, strict=True) if m)

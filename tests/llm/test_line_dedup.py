@@ -1,0 +1,65 @@
+import numpy as np
+import pytest
+
+from tallystar.llm.line_dedup import PerfectHash, drop_repeated_lines
+
+from .common import awkward, documents
+
+BLANK = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def expected(rows, least_chars, least_docs):
+    key = lambda x: x.strip(BLANK).translate(LOWER)
+    holders = {}
+    for i, t in rows:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= least_chars:
+                holders.setdefault(key(x), set()).add(-(2**63) if i is None else i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        me = -(2**63) if i is None else i
+        gone = [len(h := holders.get(key(x), ())) >= least_docs and max(h) != me for x in lines]
+        out.append((me, "\n".join(x for x, g in zip(lines, gone, strict=True) if not g), len(lines), sum(gone)))
+    return sorted(out)
+
+
+def found(df):
+    return sorted((-(2**63) if r.doc_id is None else r.doc_id, r.text, r["__n_lines"], r["__n_dropped"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("least_docs", [2, 3])
+def test_awkward_documents(spark, least_docs):
+    assert found(drop_repeated_lines(documents(spark, awkward()), 20, least_docs)) == expected(awkward(), 20, least_docs)
+
+
+def test_random_lines(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(i), "\n".join(f"{'  ' * (k % 2)}Line number {k}" for k in rng.integers(0, 60, rng.integers(1, 9)))) for i in rng.permutation(300)]
+    assert found(drop_repeated_lines(documents(spark, rows), 14, 3)) == expected(rows, 14, 3)
+
+
+def test_a_line_of_most_documents(spark):
+    rows = [(i, f"This line is in all of the documents.\nown text of document number {i}") for i in range(5000)]
+    out = found(drop_repeated_lines(documents(spark, rows)))
+    assert [r[3] for r in out] == [1] * 4999 + [0]
+
+
+def test_no_documents_and_other_columns(spark):
+    assert drop_repeated_lines(documents(spark, [])).count() == 0
+    df = documents(spark, awkward(), clashes=True)
+    out = drop_repeated_lines(df)
+    assert out.columns == [*df.columns, "__n_lines", "__n_dropped"]
+    assert found(out) == expected(awkward(), 20, 3)
+    assert found(drop_repeated_lines(out.withColumn("text", out["text"]))) is not None
+
+
+def test_perfect_hash_numbers_its_keys():
+    keys = np.unique(np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64))
+    function = PerfectHash.build(keys)
+    assert sorted(function.number(keys).tolist()) == list(range(len(keys)))
+    assert PerfectHash.build(keys[:0]).number(keys[:3]).tolist() == [-1] * 3
+    assert function.number(keys + np.uint64(1)).max() < len(keys)
+
+
