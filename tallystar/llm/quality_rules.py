@@ -130,7 +130,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
             _count, "doc_id long, lang string, " + ", ".join(f"{c} long" for c in [*_COUNTS, "n_chars"]) + ", chars array<long>, words array<long>"
         )
     )
-    judged = counted.join(_references(counted), F.col("lang") == F.col("ref_lang")).select(
+    # One row per language, written, so that the planner knows its size and joins without a shuffle by language.
+    judged = counted.join(pin(_references(counted)), F.col("lang") == F.col("ref_lang")).select(
         "doc_id", *_COUNTS, _distance("chars", F.col("n_chars"), "ref_chars", F.col("ref_n_chars")).alias("char_distance"),
         _distance("words", F.col("n_words"), "ref_words", F.col("ref_n_words")).alias("word_distance"),
 

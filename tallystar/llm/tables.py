@@ -82,7 +82,8 @@ def running(df: DataFrame, size: str, order: Sequence[str], keys: Sequence[str]
     by = [plain(c) for c in [*keys, *order]]
     counted = pin(df.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(count, schema))
     window = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    # Written, so that the planner knows its size before it plans the join.
+    offsets = pin(
         counted.groupBy("__part", *keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.sum(size).alias("__s"))
         .select(
