@@ -16,7 +16,7 @@ from tallystar.llm.tables import by_position, plain, table, unused
 
 WINDOW = 20
 #: Bytes of text recompressed together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _NULL = -(2**63)
 
 #: Words before and after the first word of a symbol that decide where it begins, what it is, and that it is one.
@@ -131,22 +131,35 @@ def _from_bytes(raw: bytes, n: int) -> np.ndarray:
     return out.view("<u8")[:, 0]
 
 
-_ROW = "bucket int, id long, sum int, docs binary, sums binary, anchors binary, hashes binary, starts binary"
-_NAMES = ["bucket", "id", "sum", "docs", "sums", "anchors", "hashes", "starts"]
+_ROW = "bucket int, reply boolean, docs binary, sums binary, anchors binary, hashes binary"
+_NAMES = ["bucket", "reply", "docs", "sums", "anchors", "hashes"]
 
 
-def _reply(ids: np.ndarray, sums: np.ndarray, starts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """A row per document with the starts of its repeated windows."""
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _replies(ids: np.ndarray, sums: np.ndarray, starts: np.ndarray, buckets: int) -> list[tuple]:
+    """Starts of repeated windows, a row per bucket of documents: ids, sums, and per document its starts and their number."""
     if not len(ids):
-        return
-    order = np.lexsort((starts, sums, ids))
-    ids, sums, starts = ids[order], sums[order], starts[order].astype(np.int32)
-    cuts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (sums[1:] != sums[:-1])]))
-    ends = np.append(cuts[1:], len(ids))
-    none = pa.nulls(len(cuts), pa.binary())
-    bucket = (mix(ids[cuts].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-    packed = pa.array([starts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids[cuts]), pa.array(sums[cuts]), none, none, none, none, packed], _NAMES)
+        return []
+    bucket = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((starts, sums, ids, bucket))
+    bucket, ids, sums, starts = (x[order] for x in (bucket, ids, sums, starts))
+    rows, cuts = [], _runs(bucket)
+    for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True):
+        heads = _runs(ids[a:b], sums[a:b]) + a
+        counts = np.diff(np.append(heads, b)).astype("<u4")
+        rows.append((int(bucket[a]), True, ids[heads].tobytes(), sums[heads].tobytes(), counts.tobytes(), starts[a:b].astype("<i4").tobytes()))
+    return rows
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
 
 
 def _send(width: int, buckets: int):
@@ -166,26 +179,22 @@ def _send_slice(t: Texts, ids: pa.Array, sums: pa.Array, width: int, buckets: in
     at, text, anchor, key, hashed = windows(hash_spans(t.buf, starts, ends), first, width)
     start = at - first[text]
     again = later_ones(hashed ^ mix(key), ids[text], sums[text], start)
-    yield from _reply(ids[text[again]], sums[text[again]], start[again], buckets)
+    rows = _replies(ids[text[again]], sums[text[again]], start[again], buckets)
     at, text, anchor, key, hashed, start = (x[~again] for x in (at, text, anchor, key, hashed, start))
     bucket = (mix(key ^ _K2) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     at, text, anchor, key, hashed, start, bucket = (x[order] for x in (at, text, anchor, key, hashed, start, bucket))
-    if not len(bucket):
-        return
-    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    rows = []
-    for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+    cuts = _runs(bucket)[: len(bucket)]
+    for a, b in zip(cuts, [*cuts[1:], len(bucket)][: len(cuts)], strict=True):
         # Per anchor: its key, its place in the text, and the document's number here; per window: its hash and place before the anchor.
-        new = np.concatenate([[True], anchor[a + 1 : b] != anchor[a : b - 1]])
-        heads = np.flatnonzero(new) + a
+        heads = _runs(anchor[a:b]) + a
         docs, number = np.unique(text[heads], return_inverse=True)
         counts = np.diff(np.append(heads, b)).astype(np.uint8)
         per_anchor = _low_bytes(key[heads] & _LOW48, 6) + (anchor - at + start)[heads].astype("<u4").tobytes() + number.astype("<u4").tobytes() + counts.tobytes()
         per_window = _low_bytes(hashed[a:b] & _LOW48, 6) + (anchor - at)[a:b].astype(np.uint8).tobytes()
-        rows.append((int(bucket[a]), None, None, ids[docs].tobytes(), sums[docs].tobytes(), per_anchor, per_window, None))
-    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
-    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
+        rows.append((int(bucket[a]), False, ids[docs].tobytes(), sums[docs].tobytes(), per_anchor, per_window))
+    if rows:
+        yield _batch(rows)
 
 
 def _judge(buckets: int):
@@ -194,9 +203,8 @@ def _judge(buckets: int):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[list[np.ndarray]] = []
         for batch in batches:
-            packets = batch.column(3).is_valid()
-            yield batch.filter(pc.invert(packets)).select(["id", "sum", "starts"])
-            for row in batch.filter(packets).select(["docs", "sums", "anchors", "hashes"]).to_pylist():
+            yield batch.filter(batch.column(1))
+            for row in batch.filter(pc.invert(batch.column(1))).to_pylist():
                 n, m = len(row["anchors"]) // 15, len(row["hashes"]) // 7
                 key = _from_bytes(row["anchors"][: 6 * n], 6)
                 place = np.frombuffer(row["anchors"], "<u4", n, 6 * n)
@@ -216,12 +224,37 @@ def _judge(buckets: int):
             window, ids, sums, starts = (np.concatenate(c) for c in zip(*found, strict=True))
             found.clear()
             again = later_ones(window, ids, sums, starts)
-            for reply in _reply(ids[again], sums[again], starts[again], buckets):
-                yield reply.select(["id", "sum", "starts"])
+            del window
+            if rows := _replies(ids[again], sums[again], starts[again], buckets):
+                yield _batch(rows)
 
     return judge
 
 
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All replies of a bucket of documents are here: one row per document."""
+    found: list[list[np.ndarray]] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            counts = np.frombuffer(row["anchors"], "<u4")
+            found.append(
+                [
+                    np.repeat(np.frombuffer(row["docs"], np.int64), counts),
+                    np.repeat(np.frombuffer(row["sums"], np.int32), counts),
+                    np.frombuffer(row["hashes"], "<i4"),
+                ]
+            )
+    if not found:
+        return
+    ids, sums, starts = (np.concatenate(c) for c in zip(*found, strict=True))
+    found.clear()
+    order = np.lexsort((starts, sums, ids))
+    ids, sums, starts = ids[order], sums[order], starts[order]
+    cuts = _runs(ids, sums)
+    packed = pa.array([starts[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)], pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(ids[cuts]), pa.array(sums[cuts]), packed], ["id", "sum", "starts"])
+
+
 # --- operator --------------------------------------------------------------------------------
 
 
@@ -239,7 +272,7 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
     together in packed arrays. Before that, every slice of text keeps only the
     first of equal windows, so a passage in most documents reaches a task once per slice. There
     key and hash, 96 bits in all, verify which are equal, and those that are not the first are sent
-    back. The text moves once, to meet these.
+    back, packed by document. The text moves once, to meet these.
 
     Null text has no words. Documents of less than ``width`` words have no windows. Rows that share an id are
     ordered by a checksum of their text; rows equal in id and text are one document. A null id
@@ -255,8 +288,8 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
     # A checksum that fits an int.
     sum_ = F.hash(F.coalesce(plain(text), F.lit("")))
     sent = docs.select(id_.alias("id"), sum_.alias("sum"), plain(text).alias("text")).mapInArrow(_send(width, buckets), _ROW)
-    replies = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_judge(buckets), "id long, sum int, starts binary")
-    starts = replies.groupBy(F.col("id").alias(id_name), F.col("sum").alias(sum_name)).agg(F.collect_list("starts").alias(starts_name))
+    replies = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_judge(buckets), _ROW).where("reply")
+    starts = replies.repartitionById(buckets, F.col("bucket")).mapInArrow(_gather, "id long, sum int, starts binary").toDF(id_name, sum_name, starts_name)
     names = docs.columns
     fields = [T.StructField(f.name, T.StringType()) if f.name == text else f for f in docs.schema.fields]
     schema = T.StructType([*fields, T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType())])
@@ -265,12 +298,12 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
         at = names.index(text)
         for batch in batches:
             kept, n_words, n_removed = [], [], []
-            for value, lists in zip(batch.column(at).cast(pa.binary()).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            for value, packed in zip(batch.column(at).cast(pa.binary()).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 words = (value or b"").split()
                 n_words.append(len(words))
-                if lists:
+                if packed:
                     edge = np.zeros(len(words) + 1, np.int64)
-                    first = np.frombuffer(b"".join(lists), np.int32)
+                    first = np.frombuffer(packed, np.int32)
                     np.add.at(edge, first, 1)
                     np.add.at(edge, first + width, -1)
                     words = [w for w, gone in zip(words, np.cumsum(edge).tolist(), strict=False) if not gone]
