@@ -67,8 +67,8 @@ class Scheme:
     Linked sets of sizes m and n differ in at most ``(100 - p) / (100 + p) * (m + n)``
     elements. A class of sizes up to ``high`` cuts every set into more parts, by hash,
     than two linked sets of the class can differ in; so some part is the same in both.
-    Empty parts tell nothing: a set signs all its filled parts, and if it has too
-    many empty ones to be sure, also each element by itself. A set signs for
+    Empty parts tell nothing: a set signs all its filled parts, and if these are not more than it
+    can differ in from a linked one, also each element by itself. A set signs for
     its own class, and for the next if a larger partner may be there.
     """
 
@@ -81,6 +81,11 @@ class Scheme:
         self.differ = 2 * self.highs * (100 - percent) // (100 + percent)
         self.parts = self.differ + 2 + self.differ // 50
 
+    def _most_differing(self, sizes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """In how many elements a set of that size can differ from any linked one of the class."""
+        largest = np.minimum(self.highs[kinds], sizes * 100 // self.percent)
+        return (sizes + largest) * (100 - self.percent) // (100 + self.percent)
+
     def sign(self, grams: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Signatures, and the set of each."""
         sizes = np.diff(begin)
@@ -106,7 +111,7 @@ class Scheme:
             signs.append(mix(sums + mix((part_kind.astype(np.uint64) << np.uint64(44)) + part_at.astype(np.uint64))))
             sets.append(part_set)
             filled = np.bincount(part_set, minlength=len(sizes))
-            unsure = chosen & (filled <= self.differ[kinds])
+            unsure = chosen & (filled <= self._most_differing(sizes, kinds))
             alone = unsure[which]
             signs.append(mix(values[alone] + mix(kind[alone].astype(np.uint64) + (np.uint64(1) << np.uint64(60)))))
             sets.append(which[alone])
@@ -115,63 +120,85 @@ class Scheme:
         return np.concatenate(signs), np.concatenate(sets)
 
 
-def _sign(percent: int, width: int):
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scheme = Scheme(percent)
+def _measure(width: int):
+    """Size and checksums of each document's set."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in texts(batch.column(1)):
                 grams, begin = ngram_sets(t, width)
-                signs, sets = scheme.sign(grams, begin)
-                order = np.argsort(sets, kind="stable")
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(sets, minlength=len(t)))]).astype(np.int32)
+                sums = [_sums(mix(grams ^ salt), begin) for salt in _SALTS]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(t.rows.start, len(t)),
-                        pa.array(np.diff(begin)),
-                        pa.array(_sums(mix(grams), begin).view(np.int64)),
-                        pa.array(_sums(mix(grams ^ np.uint64(0xD6E8FEB86659FD93)), begin).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(signs[order].view(np.int64))),
-                    ],
-                    ["id", "n", "set1", "set2", "signs"],
+                    [batch.column(0).slice(t.rows.start, len(t)), pa.array(np.diff(begin)), *(pa.array(x.view(np.int64)) for x in sums)],
+                    ["id", "n", "set1", "set2"],
                 )
 
-    return sign
+    return measure
 
 
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each signature once per batch, with one of its sets; the others hang on that one."""
-    for batch in batches:
-        lists = batch.column(1)
-        signs = lists.flatten().to_numpy().view(np.uint64)
-        counts = np.diff(lists.offsets.to_numpy())
-        sets = np.repeat(batch.column(0).to_numpy(), counts)
-        yield from _grouped(signs, sets, keep=True)
+_SALTS = (np.uint64(0), np.uint64(0xD6E8FEB86659FD93))
+_PACKET = "bucket int, links boolean, left binary, right binary, sets binary"
+_NAMES = ["bucket", "links", "left", "right", "sets"]
 
 
-def _grouped(signs: np.ndarray, sets: np.ndarray, keep: bool) -> Iterator[pa.RecordBatch]:
-    if not len(signs):
-        return
+def _group(signs: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each signature once, with one of its sets, and links from the others to that one."""
     order = np.lexsort((sets, signs))
     signs, sets = signs[order], sets[order]
-    new = np.concatenate([[True], signs[1:] != signs[:-1]])
+    new = np.ones(len(signs), bool)
+    new[1:] = signs[1:] != signs[:-1]
     least = sets[np.flatnonzero(new)][np.cumsum(new) - 1]
-    links = np.unique(np.stack([sets, least], 1)[sets != least], axis=0) if (sets != least).any() else np.zeros((0, 2), np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1]), pa.array(np.ones(len(links), bool))], ["key", "node", "link"])
-    if keep:
-        yield pa.RecordBatch.from_arrays([pa.array(signs[new].view(np.int64)), pa.array(sets[new]), pa.array(np.zeros(new.sum(), bool))], ["key", "node", "link"])
+    links = np.unique(np.stack([sets, least], 1)[sets != least], axis=0)
+    return signs[new], sets[new], links
+
+
+def _send(percent: int, width: int, buckets: int):
+    """Signatures to their buckets, packed, each once per slice; sets that share one here are linked at once."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scheme = Scheme(percent)
+        for batch in batches:
+            for t in texts(batch.column(0)):
+                grams, begin = ngram_sets(t, width)
+                names = _sums(mix(grams ^ _SALTS[0]), begin).view(np.int64)
+                signs, owners = scheme.sign(grams, begin)
+                if not len(signs):
+                    continue
+                signs, sets, links = _group(signs, names[owners])
+                rows = []
+                if len(links):
+                    rows.append((int(links[0, 0] % buckets), True, links[:, 0].tobytes(), links[:, 1].tobytes(), None))
+                bucket = (mix(signs) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket, signs, sets = bucket[order], signs[order], sets[order]
+                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+                    here, number = np.unique(sets[a:b], return_inverse=True)
+                    rows.append((int(bucket[a]), False, signs[a:b].tobytes(), number.astype("<u4").tobytes(), here.tobytes()))
+                kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 3]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
+
+    return send
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rows of a signature are here: link its sets. Links found before pass through."""
-    signs, sets = [], []
+    """All signatures of a bucket are here: links between the sets of each. Links found before pass through."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        link = batch.column(2)
-        yield batch.filter(link)
-        rest = batch.filter(pc.invert(link))
-        signs.append(rest.column(0).to_numpy().view(np.uint64))
-        sets.append(rest.column(1).to_numpy())
-    if signs:
-        yield from _grouped(np.concatenate(signs), np.concatenate(sets), keep=False)
+        for row in batch.to_pylist():
+            if row["links"]:
+                yield _links(np.frombuffer(row["left"], np.int64), np.frombuffer(row["right"], np.int64))
+            else:
+                found.append((np.frombuffer(row["left"], np.uint64), np.frombuffer(row["sets"], np.int64)[np.frombuffer(row["right"], "<u4")]))
+    if found:
+        signs, sets = (np.concatenate(c) for c in zip(*found, strict=True))
+        found.clear()
+        links = _group(signs, sets)[2]
+        yield _links(links[:, 0], links[:, 1])
+
+
+def _links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 # --- products ------------------------------------------------------------------------------
@@ -233,7 +260,7 @@ def _grams(width: int):
             for t in texts(batch.column(1)):
                 values, begin = ngram_sets(t, width)
                 sets = pa.array([values[a:b].tobytes() for a, b in zip(begin, begin[1:], strict=False)], pa.binary())
-                check = pa.array(_sums(mix(values), begin).view(np.int64))
+                check = pa.array(_sums(mix(values ^ _SALTS[0]), begin).view(np.int64))
                 id_, _, family, set1, of, block = (c.slice(t.rows.start, len(t)) for c in batch.columns)
                 out = pa.RecordBatch.from_arrays([id_, family, sets, of, block], ["id", "family", "grams", "of", "block"])
                 # Another row of the same id has another text.
@@ -310,19 +337,20 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     smallest. Other columns are not read; an empty table gives an empty result.
     """
     docs = docs.select(F.coalesce(plain(key).cast("long"), F.lit(_NULL)).alias("id"), plain(text).alias("text"))
-    signed = pin(docs.mapInArrow(_sign(percent, width), "id long, n long, set1 long, set2 long, signs array<long>"))
-    combined = signed.select("set1", "signs").mapInArrow(_combine, "key long, node long, link boolean")
-    met = combined.repartition("key").mapInArrow(_meet, "key long, node long, link boolean")
-    families = components(met.select(F.col("key").alias("a"), F.col("node").alias("b")))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    measured = pin(docs.mapInArrow(_measure(width), "id long, n long, set1 long, set2 long"))
+    # The signatures are many, so they are made on their way to the buckets and not written.
+    sent = docs.select("text").mapInArrow(_send(percent, width, buckets), _PACKET)
+    families = components(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, "a long, b long"))
 
-    classes = signed.where("n > 0").groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))
+    classes = measured.where("n > 0").groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))
     members = classes.join(families, F.col("set1") == F.col("node")).select(F.col("rep").alias("id"), "set1", F.col("component").alias("family"))
     parts = components(links_within_families(docs, members, percent, width))
     placed = classes.join(parts, F.col("rep") == F.col("node"), "left").select(
         F.col("set1").alias("s1"), F.col("set2").alias("s2"), F.col("n").alias("m"), F.coalesce("component", "rep").alias("component")
     )
     on = (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")) & (F.col("n") == F.col("m"))
-    return signed.drop("signs").join(placed, on, "left").select(
+    return measured.join(placed, on, "left").select(
         F.nullif("id", F.lit(_NULL)).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.nullif(F.coalesce("component", "id"), F.lit(_NULL)).alias("component_id"),
