@@ -9,9 +9,13 @@ Every table is a folder of files named after it, such as output/time_dim.csv.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Collection, Mapping
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallystar.plans import reports
@@ -20,11 +24,13 @@ from tallystar.plans.star import (
     distinct_dimension,
     inventory_fact,
     product_dimension,
+    repeated_keys,
     time_dimension,
+    undated_sales,
 )
-from tallystar.session import fit_shuffles, prepare
-from tallystar.sources.scratch import pin
-from tallystar.sources.tables import read_table, table_path, write_csv, write_table
+from tallystar.session import PARTITION_BYTES, fit_shuffles, prepare
+from tallystar.sources.scratch import pin, scratch_of_job
+from tallystar.sources.tables import read_table, read_written, table_path, write_csv, write_table
 
 # The year, the category and the number of customers the reports show.
 YEAR = 2011
@@ -34,39 +40,82 @@ TOP_CUSTOMERS = 10
 Schema = StructType | str
 
 
+# The table that holds the schemas of the others, one row each.
+SCHEMAS = "star_schemas"
+# Rows the star leaves out or that will count more than once, by table.
+CHECKS = "star_checks"
+IDS = {
+    "time_dim": "TIME_DIM_ID",
+    "inventory_fact": "FACT_ID",
+    "customers_dim": "CUSTOMER_DIM_ID",
+    "products_dim": "PRODUCT_DIM_ID",
+    "sellers_dim": "SELLER_DIM_ID",
+    "transaction_dim": "TRANSACTION_DIM_ID",
+}
+
+
 def build_star(
     source: DataFrame,
     out: str,
     layout: StarLayout = StarLayout(),
     fmt: str = "csv",
     lenient_dates: bool = False,
+    only: Collection[str] = tuple(IDS),
 ) -> dict[str, StructType]:
     """Write the five dimensions and the fact below ``out``; gives the schema of each.
 
+    Also written are the schemas, for the reports to read, and, unless ``only`` some of the tables are asked
+    for, ``star_checks``: how many distinct sales have no date and so are in no fact, and how many
+    natural keys have several rows in their dimension, which multiplies their sales.
+
     The six tables read different columns of ``source``. Parquet lets each read
     only its own, so pass a Parquet frame, or pin a CSV first: otherwise its text
     is parsed six times.
     """
     spark = source.sparkSession
-    schemas = {}
-
-    def write(name: str, table: DataFrame) -> None:
-        write_table(table, table_path(out, name, fmt), fmt)
-        schemas[name] = table.schema
-
-    write(
-        "time_dim",
-        time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates),
-    )
-    time = read_table(spark, table_path(out, "time_dim", fmt), fmt, schemas["time_dim"])
-    write("inventory_fact", inventory_fact(source, time, layout.fact, layout.date))
-    write("customers_dim", distinct_dimension(source, layout.customer, "CUSTOMER_DIM_ID"))
-    write("products_dim", product_dimension(source, layout.product, layout.stock))
-    write("sellers_dim", distinct_dimension(source, layout.seller, "SELLER_DIM_ID"))
-    write("transaction_dim", distinct_dimension(source, layout.transaction, "TRANSACTION_DIM_ID"))
+    schemas: dict[str, StructType] = {}
+
+    def write(name: str, table: Callable[[], DataFrame]) -> None:
+        if name in only:
+            made = table()
+            write_table(made, table_path(out, name, fmt), fmt)
+            schemas[name] = made.schema
+
+    def written(name: str) -> DataFrame:
+        return read_written(spark, table_path(out, name, fmt), fmt, schemas[name])
+
+    with scratch_of_job(spark):
+        if "inventory_fact" in only:
+            only = {*only, "time_dim"}
+        write("time_dim", lambda: time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
+        write("inventory_fact", lambda: inventory_fact(source, written("time_dim"), layout.fact, layout.date))
+        for name, columns in (("customers_dim", layout.customer), ("sellers_dim", layout.seller), ("transaction_dim", layout.transaction)):
+            write(name, lambda c=columns, n=name: distinct_dimension(source, c, IDS[n]))
+        write("products_dim", lambda: product_dimension(source, layout.product, layout.stock))
+        if set(IDS) <= set(only):
+            keys = {"customers_dim": layout.customer, "products_dim": layout.product, "sellers_dim": layout.seller, "transaction_dim": layout.transaction}
+            checks = [undated_sales(source, written("time_dim"), layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
+            checks += [repeated_keys(written(n), c[0]).select(F.lit(n).alias("TABLE"), F.lit("repeated keys").alias("CHECK")) for n, c in keys.items()]
+            all_checks = spark.createDataFrame([("inventory_fact", "undated sales"), *((n, "repeated keys") for n in keys)], "TABLE string, CHECK string")
+            counts = reduce(DataFrame.unionByName, checks).groupBy("TABLE", "CHECK").agg(F.count(F.lit(1)).alias("ROWS"))
+            report = all_checks.join(counts, ["TABLE", "CHECK"], "left").select("TABLE", "CHECK", F.coalesce("ROWS", F.lit(0)).alias("ROWS"))
+            write_table(report.orderBy("TABLE"), table_path(out, CHECKS, fmt), fmt)
+        rows = [(name, schema.json()) for name, schema in schemas.items()]
+        spark.createDataFrame(rows, "name string, schema string").coalesce(1).write.mode("overwrite").json(table_path(out, SCHEMAS, "json"))
     return schemas
 
 
+def stored_schemas(spark: SparkSession, star: str) -> dict[str, StructType]:
+    """The schemas ``build_star`` wrote; none for a star of another origin."""
+    try:
+        rows = spark.read.schema("name string, schema string").json(table_path(star, SCHEMAS, "json")).collect()  # one row per table
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["name"]: StructType.fromJson(json.loads(r["schema"])) for r in rows}
+
+
 def run_reports(
     spark: SparkSession,
     star: str,
@@ -77,28 +126,33 @@ def run_reports(
     fmt: str = "csv",
     schemas: Mapping[str, Schema] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the five reports as CSV below ``out``; gives them as frames too.
+    """Write the five reports as CSV below ``out``; gives them as frames that read what was written.
 
-    ``schemas`` are those of ``build_star``; without them the types of a CSV star
-    are inferred. Sellers take no part in any report and are not read.
+    ``schemas`` are those of ``build_star``, by default as it stored them; without
+    them the types of a CSV star are inferred. Tables of a CSV star that several reports
+    read are parsed once. Sellers take no part in any report and are not read.
     """
-
-    def table(name: str) -> DataFrame:
-        return read_table(spark, table_path(star, name, fmt), fmt, (schemas or {}).get(name))
-
-    fact, time = table("inventory_fact"), table("time_dim")
-    customers, products = table("customers_dim"), table("products_dim")
-    transactions = table("transaction_dim")
-    results = {
-        "top_10_customers": reports.top_customers(fact, customers, time, transactions, year, k),
-        "statewise_orders": reports.state_orders(fact, customers),
-        "payment_mode_by_state": reports.payment_modes(fact, transactions),
-        "quarterly_profit": reports.quarterly_profit(fact, time, year),
-        "quarterly_sales_count": reports.category_sales(fact, time, products, year, category),
-    }
-    for name, report in results.items():
-        write_csv(report, table_path(out, name, "csv"))
-    return results
+    if schemas is None:
+        schemas = stored_schemas(spark, star)
+
+    def table(name: str, often: bool = True) -> DataFrame:
+        read = read_written(spark, table_path(star, name, fmt), fmt, schemas.get(name))
+        return pin(read) if often and fmt == "csv" else read
+
+    with scratch_of_job(spark):
+        fact, time = table("inventory_fact"), table("time_dim")
+        customers, products = table("customers_dim"), table("products_dim", often=False)
+        transactions = table("transaction_dim")
+        results = {
+            "top_10_customers": reports.top_customers(fact, customers, time, transactions, year, k),
+            "statewise_orders": reports.state_orders(fact, customers),
+            "payment_mode_by_state": reports.payment_modes(fact, transactions),
+            "quarterly_profit": reports.quarterly_profit(fact, time, year),
+            "quarterly_sales_count": reports.category_sales(fact, time, products, year, category),
+        }
+        for name, report in results.items():
+            write_csv(report, table_path(out, name, "csv"))
+    return {name: read_written(spark, table_path(out, name, "csv"), "csv", report.schema) for name, report in results.items()}
 
 
 def main(args: list[str] | None = None) -> None:
@@ -109,6 +163,7 @@ def main(args: list[str] | None = None) -> None:
     star.add_argument("out")
     star.add_argument("--source-format", choices=["csv", "parquet"], default="csv")
     star.add_argument("--source-schema", help="DDL of a CSV source; inferred if not given")
+    star.add_argument("--line-breaks", action="store_true", help="fields of a CSV source may hold line breaks; a task then reads whole files")
     star.add_argument("--lenient-dates", action="store_true", help="unreadable dates become null")
     report = jobs.add_parser("reports", help="run the reports")
     report.add_argument("star")
@@ -118,20 +173,24 @@ def main(args: list[str] | None = None) -> None:
     report.add_argument("--top", type=int, default=TOP_CUSTOMERS)
     for job in (star, report):
         job.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of the star")
+        job.add_argument("--split-bytes", type=int, help="input a task reads; the session's setting if not given")
+        job.add_argument("--partition-bytes", type=int, default=PARTITION_BYTES, help="input per shuffle partition")
     given = parser.parse_args(args)
 
     spark = prepare(SparkSession.builder.appName("tallystar").getOrCreate())
+    sizes = given.split_bytes, given.partition_bytes
     if given.job == "star":
-        source = read_table(spark, given.source, given.source_format, given.source_schema)
-        fit_shuffles(source)
-        if given.source_format == "csv":
-            source = pin(source)
-        build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates)
+        with scratch_of_job(spark):
+            source = read_table(spark, given.source, given.source_format, given.source_schema, given.line_breaks)
+            fit_shuffles(source, *sizes)
+            if given.source_format == "csv":
+                source = pin(source)
+            build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates)
     else:
         category = None if given.category == "all" else given.category
         # Only the splits count here, and one declared column spares inferring the types.
         fact = table_path(given.star, "inventory_fact", given.format)
-        fit_shuffles(read_table(spark, fact, given.format, "FACT_ID BIGINT"))
+        fit_shuffles(spark.read.schema("FACT_ID BIGINT").format(given.format).load(fact), *sizes)
         run_reports(spark, given.star, given.out, given.year, category, given.top, given.format)
 
 

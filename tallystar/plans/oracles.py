@@ -28,6 +28,21 @@ _CALENDAR = """
     FROM orders
 """
 
+# A sale is a line with its order, product, customer and seller.
+_WIDE = """
+    FROM lineitem l
+    JOIN orders o ON l.l_orderkey = o.o_orderkey
+    JOIN part p ON l.l_partkey = p.p_partkey
+    JOIN customer c ON o.o_custkey = c.c_custkey
+    JOIN nation n ON c.c_nationkey = n.n_nationkey
+    JOIN supplier s ON l.l_suppkey = s.s_suppkey
+    JOIN nation m ON s.s_nationkey = m.n_nationkey
+"""
+
+_SALE_DATES = f"""
+    SELECT DISTINCT CAST(o.o_orderdate AS DATE) AS "Date" {_WIDE}
+"""
+
 _TOP_CUSTOMERS = f"""
     WITH f AS ({_SALES})
     SELECT CAST(year(f."Date") AS INT) AS "YEAR", c.c_name AS "Customer Name",
@@ -163,6 +178,10 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey, c_name, CAST(c_nationkey AS INT) AS c_nationkey, c_acctbal, c_mktsegment
         FROM customer
     """,
+    "csv_scan_reordered": """
+        SELECT c_custkey, c_name, CAST(c_nationkey AS INT) AS c_nationkey, c_acctbal, c_mktsegment
+        FROM customer
+    """,
     "csv_sink": """
         SELECT o_orderpriority AS transaction_type, count(o_orderkey) AS order_count
         FROM orders
@@ -249,40 +268,35 @@ ORACLES: dict[str, str] = {
         ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS FIRST
         LIMIT 10
     """,
-    "dim_customer": """
+    "dim_customer": f"""
         SELECT *, row_number() OVER (ORDER BY "CUSTOMER_ID" NULLS FIRST) AS "CUSTOMER_DIM_ID"
         FROM (
             SELECT DISTINCT c.c_custkey AS "CUSTOMER_ID", c.c_name AS "Customer Name",
                 n.n_name AS "CUSTOMER_STATE", c.c_mktsegment AS "CUSTOMER_SEGMENT"
-            FROM orders o
-            JOIN customer c ON o.o_custkey = c.c_custkey
-            JOIN nation n ON c.c_nationkey = n.n_nationkey
+            {_WIDE}
         )
     """,
-    "dim_product": """
+    "dim_product": f"""
         SELECT *, row_number() OVER (ORDER BY "PRODUCT_ID" NULLS FIRST) AS "PRODUCT_DIM_ID"
         FROM (
             SELECT p.p_partkey AS "PRODUCT_ID", p.p_type AS "CATEGORY_ID",
                 p.p_name AS "PRODUCT Name", p.p_brand AS "PRODUCT Brand",
                 min(l.l_quantity) AS "PRODUCT_STOCK"
-            FROM lineitem l
-            JOIN part p ON l.l_partkey = p.p_partkey
+            {_WIDE}
             GROUP BY p.p_partkey, p.p_type, p.p_name, p.p_brand
         )
     """,
-    "dim_seller": """
+    "dim_seller": f"""
         SELECT *, row_number() OVER (ORDER BY "SELLER_ID" NULLS FIRST) AS "SELLER_DIM_ID"
         FROM (
             SELECT DISTINCT s.s_suppkey AS "SELLER_ID", s.s_name AS "SELLER_NAME",
-                n.n_name AS "SELLER_STATE"
-            FROM lineitem l
-            JOIN supplier s ON l.l_suppkey = s.s_suppkey
-            JOIN nation n ON s.s_nationkey = n.n_nationkey
+                m.n_name AS "SELLER_STATE"
+            {_WIDE}
         )
     """,
     "dim_time": f"""
         SELECT *, row_number() OVER (ORDER BY "Date" NULLS FIRST) AS "TIME_DIM_ID"
-        FROM ({_CALENDAR})
+        FROM ({_CALENDAR}) WHERE "Date" IN (SELECT "Date" FROM ({_SALE_DATES}))
     """,
     "dim_time_text": """
         SELECT strftime(d, '%d-%b-%y') AS "Date", CAST(year(d) AS INT) AS "YEAR",
@@ -291,21 +305,21 @@ ORACLES: dict[str, str] = {
             row_number() OVER (ORDER BY d NULLS FIRST) AS "TIME_DIM_ID"
         FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)
     """,
-    "dim_transaction": """
+    "dim_transaction": f"""
         SELECT *, row_number() OVER (ORDER BY "TRANSACTION_ID" NULLS FIRST) AS "TRANSACTION_DIM_ID"
         FROM (
-            SELECT DISTINCT o_orderkey AS "TRANSACTION_ID",
-                CAST(o_orderdate AS DATE) AS "TRANSACTION_DATE",
-                CAST(o_totalprice AS DECIMAL(18,2)) AS "TRANSACTION_AMOUNT",
-                o_orderpriority AS "TRANSACTION_TYPE"
-            FROM orders
+            SELECT DISTINCT o.o_orderkey AS "TRANSACTION_ID",
+                CAST(o.o_orderdate AS DATE) AS "TRANSACTION_DATE",
+                CAST(o.o_totalprice AS DECIMAL(18,2)) AS "TRANSACTION_AMOUNT",
+                o.o_orderpriority AS "TRANSACTION_TYPE"
+            {_WIDE}
         )
     """,
     "fact_inventory": f"""
         WITH f AS ({_SALES}),
         t AS (
             SELECT "Date", row_number() OVER (ORDER BY "Date") AS "TIME_DIM_ID"
-            FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS "Date" FROM orders)
+            FROM ({_SALE_DATES})
         )
         SELECT
             row_number() OVER (ORDER BY t."TIME_DIM_ID", f."TRANSACTION_ID" NULLS FIRST,
@@ -325,4 +339,22 @@ ORACLES: dict[str, str] = {
     "report_category_sales_all": _category_sales("TRUE"),
     "job_build_star": _BUILD_STAR,
     "job_run_reports": _RUN_REPORTS,
+    "job_run_reports_csv": _RUN_REPORTS,
+    "undated_sales": f"""
+        SELECT count(*) AS undated_sales FROM ({_SALES}) WHERE year("Date") <> 1998
+    """,
+    "repeated_keys": """
+        SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count(*) > 1
+    """,
 }
+
+# The content of the tables the job writes is that of the dimensions and the fact, in either format.
+for _name, _key in {
+    "time_dim": "dim_time",
+    "inventory_fact": "fact_inventory",
+    "customers_dim": "dim_customer",
+    "products_dim": "dim_product",
+    "sellers_dim": "dim_seller",
+    "transaction_dim": "dim_transaction",
+}.items():
+    ORACLES[f"job_star_{_name}"] = ORACLES[f"job_star_csv_{_name}"] = ORACLES[_key]

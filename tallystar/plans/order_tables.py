@@ -61,8 +61,36 @@ class OrderTables:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def dates(self) -> DataFrame:
+        """The dates of all orders."""
         return self.table("orders").select(F.col("o_orderdate").cast("date").alias("Date"))
 
+    def _sold(self) -> DataFrame:
+        """Keys of the lines that are sales: those whose part and supplier there are."""
+        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+        parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"))
+        sellers = self.sellers().select(F.col("SELLER_ID").alias("l_suppkey"))
+        return lines.join(parts, "l_partkey", "left_semi").join(sellers, "l_suppkey", "left_semi")
+
+    def _ordered(self) -> DataFrame:
+        """Keys and dates of the orders whose customer there is."""
+        orders = self.table("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("Date"))
+        customers = self.customers().select(F.col("CUSTOMER_ID").alias("o_custkey"))
+        return orders.join(customers, "o_custkey", "left_semi")
+
+    def _sold_orders(self) -> DataFrame:
+        """The orders that have sales. Orders without lines are no sales."""
+        keys = self._sold().select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        return self._ordered().join(keys, "o_orderkey", "left_semi")
+
+    def _sold_lines(self) -> DataFrame:
+        """The lines whose order there is too."""
+        keys = self._ordered().select(F.col("o_orderkey").alias("l_orderkey"))
+        return self._sold().join(keys, "l_orderkey", "left_semi")
+
+    def sale_dates(self) -> DataFrame:
+        """The dates of the sales."""
+        return self._sold_orders().select("Date")
+
     def customers(self) -> DataFrame:
         """All customers."""
         nation = self.table("nation").select("n_nationkey", F.col("n_name").alias("CUSTOMER_STATE"))
@@ -78,8 +106,8 @@ class OrderTables:
         )
 
     def ordering_customers(self) -> DataFrame:
-        """The customers that have orders."""
-        keys = self.table("orders").select(F.col("o_custkey").alias("CUSTOMER_ID")).distinct()
+        """The customers that have sales."""
+        keys = self._sold_orders().select(F.col("o_custkey").alias("CUSTOMER_ID")).distinct()
         return self.customers().join(keys, "CUSTOMER_ID", "left_semi")
 
     def sellers(self) -> DataFrame:
@@ -97,7 +125,7 @@ class OrderTables:
 
     def selling_sellers(self) -> DataFrame:
         """The sellers that have sales."""
-        keys = self.table("lineitem").select(F.col("l_suppkey").alias("SELLER_ID")).distinct()
+        keys = self._sold_lines().select(F.col("l_suppkey").alias("SELLER_ID")).distinct()
         return self.sellers().join(keys, "SELLER_ID", "left_semi")
 
     def _parts(self) -> DataFrame:
@@ -117,6 +145,8 @@ class OrderTables:
         """The products that have sales, with their smallest quantity as stock."""
         stock = (
             self.table("lineitem")
+            .join(self._ordered().select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+            .join(self.sellers().select(F.col("SELLER_ID").alias("l_suppkey")), "l_suppkey", "left_semi")
             .groupBy(F.col("l_partkey").alias("PRODUCT_ID"))
             .agg(F.min("l_quantity").alias("PRODUCT_STOCK"))
         )
@@ -133,6 +163,12 @@ class OrderTables:
         )
 
     def transactions(self) -> DataFrame:
+        """The orders that have sales."""
+        keys = self._sold_orders().select(F.col("o_orderkey").alias("TRANSACTION_ID"))
+        return self._orders().select(*LAYOUT.transaction).join(keys, "TRANSACTION_ID", "left_semi")
+
+    def all_transactions(self) -> DataFrame:
+        """All orders, for joins with sales, which find only those they need."""
         return self._orders().select(*LAYOUT.transaction)
 
     def _lines(self, orders: DataFrame, orders_first: bool = False) -> DataFrame:

@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 from tallystar.functions.dates import date_parts, in_year, parse_date
 from tallystar.operators.surrogate import dense_surrogate_key
 from tallystar.plans import reports
-from tallystar.plans.jobs import build_star, run_reports
+from tallystar.plans.jobs import IDS, build_star, run_reports
 from tallystar.plans.order_tables import LAYOUT, MONEY, SCHEMAS, OrderTables
 from tallystar.plans.star import (
-    calendar,
     distinct_dimension,
     inventory_fact,
     product_dimension,
+    repeated_keys,
     time_dimension,
+    undated_sales,
 )
-from tallystar.session import prepare
+from tallystar.session import fit_shuffles, prepare
 from tallystar.sources.scratch import pin, scratch_path
-from tallystar.sources.tables import read_csv, table_path, write_csv
+from tallystar.sources.tables import read_csv, read_written, table_path, write_csv
 
 Query = Callable[[OrderTables], DataFrame]
 
@@ -48,6 +49,13 @@ def csv_scan_schema(t: OrderTables) -> DataFrame:
     return read_csv(t.spark, _customer_csv(t), SCHEMAS["customer"])
 
 
+def csv_scan_reordered(t: OrderTables) -> DataFrame:
+    """The columns are found by name: the schema lists them in another order and case than the file."""
+    backwards = "C_MKTSEGMENT STRING, c_acctbal DOUBLE, c_nationkey INT, c_name STRING, c_custkey BIGINT"
+    read = read_csv(t.spark, _customer_csv(t), backwards)
+    return read.withColumnRenamed("C_MKTSEGMENT", "c_mktsegment")
+
+
 def csv_sink(t: OrderTables) -> DataFrame:
     counts = (
         t.table("orders")
@@ -226,7 +234,7 @@ def dim_seller(t: OrderTables) -> DataFrame:
 
 
 def dim_time(t: OrderTables) -> DataFrame:
-    return time_dimension(t.dates())
+    return time_dimension(t.sale_dates())
 
 
 def dim_time_text(t: OrderTables) -> DataFrame:
@@ -238,7 +246,7 @@ def dim_transaction(t: OrderTables) -> DataFrame:
 
 
 def fact_inventory(t: OrderTables) -> DataFrame:
-    return inventory_fact(t.sale_lines(), pin(time_dimension(t.dates())), LAYOUT.fact)
+    return inventory_fact(t.sale_lines(), pin(time_dimension(t.sale_dates())), LAYOUT.fact)
 
 
 # Reports
@@ -246,7 +254,7 @@ def fact_inventory(t: OrderTables) -> DataFrame:
 
 def report_top_customers(t: OrderTables) -> DataFrame:
     return reports.top_customers(
-        t.sales(YEAR), t.customers(), calendar(t.dates()), t.transactions(), YEAR, time_key="Date"
+        t.sales(YEAR), t.customers(), None, t.all_transactions(), YEAR, time_key="Date"
     )
 
 
@@ -255,22 +263,22 @@ def report_state_orders(t: OrderTables) -> DataFrame:
 
 
 def report_payment_mode(t: OrderTables) -> DataFrame:
-    return reports.payment_modes(t.sales(), t.transactions())
+    return reports.payment_modes(t.sales(), t.all_transactions())
 
 
 def report_quarterly_profit(t: OrderTables) -> DataFrame:
-    return reports.quarterly_profit(t.sales(YEAR), calendar(t.dates()), YEAR, time_key="Date")
+    return reports.quarterly_profit(t.sales(YEAR), None, YEAR, time_key="Date")
 
 
 def report_category_sales(t: OrderTables) -> DataFrame:
     return reports.category_sales(
-        t.sales(YEAR), calendar(t.dates()), t.products(), YEAR, CATEGORY, time_key="Date"
+        t.sales(YEAR), None, t.products(), YEAR, CATEGORY, time_key="Date"
     )
 
 
 def report_category_sales_all(t: OrderTables) -> DataFrame:
     return reports.category_sales(
-        t.sales(YEAR), calendar(t.dates()), t.products(), YEAR, time_key="Date"
+        t.sales(YEAR), None, t.products(), YEAR, time_key="Date"
     )
 
 
@@ -281,14 +289,6 @@ def job_build_star(t: OrderTables) -> DataFrame:
     """Builds the star from the wide table; gives the rows and ids of each table."""
     out = scratch_path(t.spark)
     build_star(pin(t.wide()), out, LAYOUT, fmt="parquet")
-    ids = {
-        "customers_dim": "CUSTOMER_DIM_ID",
-        "products_dim": "PRODUCT_DIM_ID",
-        "sellers_dim": "SELLER_DIM_ID",
-        "time_dim": "TIME_DIM_ID",
-        "transaction_dim": "TRANSACTION_DIM_ID",
-        "inventory_fact": "FACT_ID",
-    }
     counts = [
         t.spark.read.parquet(table_path(out, name, "parquet")).select(
             F.lit(name).alias("table_name"),
@@ -297,16 +297,27 @@ def job_build_star(t: OrderTables) -> DataFrame:
             F.max(key).alias("last_id"),
             F.sum(F.col(key).cast("decimal(20,0)")).cast("decimal(38,0)").alias("id_sum"),
         )
-        for name, key in ids.items()
+        for name, key in IDS.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-def job_run_reports(t: OrderTables) -> DataFrame:
+def _built(name: str, fmt: str) -> Query:
+    """What the job writes for one table of the star, read back."""
+
+    def query(t: OrderTables) -> DataFrame:
+        out = scratch_path(t.spark)
+        schemas = build_star(pin(t.wide()), out, LAYOUT, fmt=fmt, only=[name])
+        return read_written(t.spark, table_path(out, name, fmt), fmt, schemas[name])
+
+    return query
+
+
+def _run_reports(t: OrderTables, fmt: str) -> DataFrame:
     """Wide table to star to CSV reports; gives the lines of all five."""
     star, out = scratch_path(t.spark), scratch_path(t.spark)
-    schemas = build_star(pin(t.wide()), star, LAYOUT, fmt="parquet")
-    written = run_reports(t.spark, star, out, YEAR, CATEGORY, fmt="parquet", schemas=schemas)
+    build_star(pin(t.wide()), star, LAYOUT, fmt=fmt)
+    written = run_reports(t.spark, star, out, YEAR, CATEGORY, fmt=fmt)
     labels = {
         "top_10_customers": ("CUSTOMER_ID", "TOTAL_SELLING_PRICE"),
         "statewise_orders": ("CUSTOMER_STATE", "ORDER_COUNT"),
@@ -315,7 +326,7 @@ def job_run_reports(t: OrderTables) -> DataFrame:
         "quarterly_sales_count": (F.concat_ws("/", "QUARTER", "PRODUCT Name"), "SALES_COUNT"),
     }
     lines = [
-        read_csv(t.spark, table_path(out, name, "csv"), written[name].schema).select(
+        written[name].select(
             F.lit(name).alias("report"),
             (F.col(label) if isinstance(label, str) else label).cast("string").alias("label"),
             F.col(value).cast("decimal(38,2)").alias("value"),
@@ -325,9 +336,35 @@ def job_run_reports(t: OrderTables) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
+def job_run_reports(t: OrderTables) -> DataFrame:
+    return _run_reports(t, "parquet")
+
+
+def job_run_reports_csv(t: OrderTables) -> DataFrame:
+    """All through text: the CSV star and what it stores of its types."""
+    return _run_reports(t, "csv")
+
+
+# Checks
+
+
+def undated(t: OrderTables) -> DataFrame:
+    """How many distinct sales are in no fact, as none of their days is in the calendar of a year."""
+    time = time_dimension(t.sale_dates().where(in_year(F.col("Date"), YEAR)))
+    missing = undated_sales(t.sale_lines(), pin(time), LAYOUT.fact)
+    return missing.agg(F.count(F.lit(1)).alias("undated_sales"))
+
+
+def repeated(t: OrderTables) -> DataFrame:
+    """Customers with several orders, as keys of a table of orders that are not unique."""
+    counts = repeated_keys(t.table("orders").select("o_custkey"), "o_custkey")
+    return counts.select("o_custkey", F.col("ROWS").alias("n_rows"))
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_scan_schema": csv_scan_schema,
+    "csv_scan_reordered": csv_scan_reordered,
     "csv_sink": csv_sink,
     "project_columns": project_columns,
     "spaced_alias": spaced_alias,
@@ -364,9 +401,16 @@ QUERIES: dict[str, Query] = {
     "report_category_sales_all": report_category_sales_all,
     "job_build_star": job_build_star,
     "job_run_reports": job_run_reports,
+    "job_run_reports_csv": job_run_reports_csv,
+    **{f"job_star_{name}": _built(name, "parquet") for name in IDS},
+    **{f"job_star_csv_{name}": _built(name, "csv") for name in IDS},
+    "undated_sales": undated,
+    "repeated_keys": repeated,
 }
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """Query ``name`` over the tables of ``folder``."""
-    return QUERIES[name](OrderTables(prepare(spark), folder))
+    tables = OrderTables(prepare(spark), folder)
+    fit_shuffles(tables.table("lineitem"))
+    return QUERIES[name](tables)

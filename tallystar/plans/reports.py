@@ -13,14 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.functions.money import exact
+from tallystar.functions.money import exact, times
 from tallystar.operators.yearly import facts_of_year
 
 
 def top_customers(
     fact: DataFrame,
     customers: DataFrame,
-    time: DataFrame,
+    time: DataFrame | None,
     transactions: DataFrame,
     year: int,
     k: int = 10,
@@ -29,11 +29,12 @@ def top_customers(
     """The ``k`` customers with the largest transaction amounts in a year.
 
     An amount counts once for each line of its transaction. Equal totals are
-    ordered by customer.
+    ordered by customer. The year is the same in all rows, so it is in no
+    key: what is summed per customer lies where the join with the customers needs it.
     """
     lines = (
         facts_of_year(fact, time, year, time_key)
-        .groupBy("YEAR", "CUSTOMER_ID", "TRANSACTION_ID")
+        .groupBy("CUSTOMER_ID", "TRANSACTION_ID")
         .agg(F.count(F.lit(1)).alias("LINES"))
     )
     amounts = transactions.select(
@@ -41,13 +42,14 @@ def top_customers(
     )
     spent = (
         lines.join(amounts, "TRANSACTION_ID")
-        .groupBy("YEAR", "CUSTOMER_ID")
-        .agg(F.sum(F.col("LINES") * F.col("AMOUNT")).alias("SPENT"))
+        .groupBy("CUSTOMER_ID")
+        .agg(F.sum(times(F.col("LINES"), amounts, "AMOUNT")).alias("SPENT"))
     )
     return (
         spent.join(customers.select("CUSTOMER_ID", "Customer Name"), "CUSTOMER_ID")
-        .groupBy("YEAR", "Customer Name", "CUSTOMER_ID")
+        .groupBy("CUSTOMER_ID", "Customer Name")
         .agg(F.sum("SPENT").alias("TOTAL_SELLING_PRICE"))
+        .select(F.lit(year).alias("YEAR"), "Customer Name", "CUSTOMER_ID", "TOTAL_SELLING_PRICE")
         .orderBy(F.desc("TOTAL_SELLING_PRICE"), "CUSTOMER_ID", "Customer Name")
         .limit(k)
     )
@@ -78,7 +80,7 @@ def payment_modes(fact: DataFrame, transactions: DataFrame) -> DataFrame:
 
 
 def quarterly_profit(
-    fact: DataFrame, time: DataFrame, year: int, time_key: str = "TIME_DIM_ID"
+    fact: DataFrame, time: DataFrame | None, year: int, time_key: str = "TIME_DIM_ID"
 ) -> DataFrame:
     """Selling price less cost price by quarter of a year; the sum's fraction is cut off."""
     profit = exact(fact, "PRODUCT_SELLING_PRICE") - exact(fact, "PRODUCT_COST_PRICE")
@@ -92,7 +94,7 @@ def quarterly_profit(
 
 def category_sales(
     fact: DataFrame,
-    time: DataFrame,
+    time: DataFrame | None,
     products: DataFrame,
     year: int,
     category: int | str | None = None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,10 @@ from tallystar.functions.dates import DATE_FORMAT, date_parts, parse_date
 from tallystar.operators.surrogate import dense_surrogate_key
 
 
+#: Letters of date formats for times of day and zones.
+_FINER = set("aBhHkKmsSAnNVvzOXx")
+
+
 def distinct_dimension(source: DataFrame, columns: Sequence[str], id_column: str) -> DataFrame:
     """The distinct values of ``columns`` with an id: customers, sellers, transactions.
 
@@ -35,8 +40,11 @@ def calendar(
     """The distinct dates of ``source`` with their parts.
 
     ``date`` is a DATE or a text in ``fmt``, so the rows are bounded by the days
-    there are; a timestamp has no such bound and must be cast first.
+    there are, each in a few spellings; a timestamp, or a format with a time of
+    day, has no such bound and is refused: cut it to days first.
     """
+    if finer := sorted(set(re.sub(r"'[^']*'", "", fmt)) & _FINER):
+        raise ValueError(f"the date format {fmt!r} is finer than a day: {', '.join(finer)}")
     days = source.select(date).dropDuplicates()
     kind = days.schema[0].dataType
     if not isinstance(kind, (T.DateType, T.StringType)):

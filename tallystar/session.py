@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
-# More shuffle partitions than this cost more in blocks than they save in spill.
-_MOST_PARTITIONS = 50_000
+#: Bytes of input a task reads, and a shuffle partition is made for.
+SPLIT_BYTES = 128 << 20
+PARTITION_BYTES = 128 << 20
+#: Sort keys the driver may receive when the bounds of a range partitioning are sampled, and least per partition.
+_SAMPLED_KEYS = 2_000_000
+_LEAST_SAMPLED = 10
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -21,15 +27,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit_shuffles(table: DataFrame) -> int:
-    """Raise the number of shuffle partitions to the number of splits of a table on disk.
+def fit_shuffles(table: DataFrame, split_bytes: int | None = None, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Let shuffle partitions grow with a table on disk: one for each ``partition_bytes`` of its splits.
 
-    A split is 128 MB unless set otherwise, and planning the scan tells how many
-    there are. Adaptive execution merges partitions that turn out small, but
-    splits large ones only for a skewed join.
+    ``split_bytes`` sets the size of a split for later reads (the session's own if not given).
+    There is no upper limit, so partitions keep their size however large the
+    input; raise both sizes where there are too many. The planned scan tells how many splits there are.
+    Adaptive execution merges partitions that turn out small, but splits
+    large ones only for a skewed join. The more partitions, the fewer keys of each are sampled
+    for a sort, so that the driver receives about as many in all.
     """
     spark = table.sparkSession
+    if split_bytes is not None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fitting = max(present, min(table.rdd.getNumPartitions(), _MOST_PARTITIONS))
+    splits = table.rdd.getNumPartitions()
+    fitting = max(present, math.ceil(splits * (split_bytes or SPLIT_BYTES) / partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(fitting))
+    sampled = max(_LEAST_SAMPLED, min(100, _SAMPLED_KEYS // fitting))
+    spark.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", str(sampled))
     return fitting

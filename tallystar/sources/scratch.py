@@ -2,36 +2,69 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_JOB: ContextVar[str | None] = ContextVar("job", default=None)
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path below the folder the cluster names in ``spark.checkpoint.dir``."""
+    """A new path below the folder the cluster names in ``spark.checkpoint.dir``, or below the job's own folder there."""
+    return f"{_JOB.get() or _root(spark)}/{uuid.uuid4().hex}"
+
+
+def _root(spark: SparkSession) -> str:
     base = spark.conf.get(_SETTING, None) or _own_folder(spark)
-    return f"{base.rstrip('/')}/tallystar/{uuid.uuid4().hex}"
+    one_machine = _one_machine(spark)
+    if not one_machine and re.match(r"file:|/(?!/)", base):
+        warnings.warn(f"{_SETTING} is {base}: on a cluster this must be a mount that all machines share", stacklevel=3)
+    return f"{base.rstrip('/')}/tallystar"
+
+
+def _one_machine(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master) is not None
 
 
 def _own_folder(spark: SparkSession) -> str:
-    """The folder set in the session, or a temporary one if all runs on one machine."""
+    """The folder set in the session, or a temporary one if all runs in one process."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
+        if not _one_machine(spark):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallystar-"))
     return context.getCheckpointDir()
 
 
+@contextmanager
+def scratch_of_job(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for what is pinned meanwhile, deleted at the end, also of a job that fails.
+
+    Frames that read it are of no use afterwards.
+    """
+    path = scratch_path(spark)
+    token = _JOB.set(path)
+    try:
+        yield path
+    finally:
+        _JOB.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` and read it back, so that every later use sees the same rows.
 
     The copy outlives lost executors, and unlike a checkpoint it is columnar:
     later steps read only the columns they need, and the planner knows its size.
-    It is kept until the checkpoint folder is cleaned.
+    It is kept until the job's scratch ends (``scratch_of_job``), else until the checkpoint folder is cleaned.
     """
     spark = df.sparkSession
     path = scratch_path(spark)

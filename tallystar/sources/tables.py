@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Quotes inside a quoted field are doubled, as spreadsheet and pandas writers do it.
 _CSV = {"header": True, "escape": '"'}
+# A row that does not fit its schema stops the read: one with too few or too many fields also if few columns are asked for.
+_STRICT = {"mode": "FAILFAST", "columnPruning": "false"}
+
+
+# What the reader puts for a field with nothing between its commas, before it becomes null: no text, so that "" stays one.
+_NO_TEXT = "\x00"
+
+
+def _declared(spark: SparkSession, schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
 
 
 def read_csv(
@@ -14,22 +25,38 @@ def read_csv(
     path: str,
     schema: StructType | str | None = None,
     line_breaks: bool = False,
+    line_end: str | None = None,
 ) -> DataFrame:
     """A headered CSV file or folder. Blanks at either end of a field are kept.
 
-    Without ``schema`` the types are inferred, which reads the whole input once
-    more; give the schema for large or repeated reads. Quoted fields that hold
-    line breaks need ``line_breaks``, which reads each file in one task.
+    ``schema`` declares the columns by name, in any order and any case; they come out in
+    its order. A column that is missing or not declared, a file whose
+    header differs from the first one's, and a row that does not fit stop the read. Without ``schema`` the types
+    are inferred, which reads the whole input once more. Quoted fields that hold line breaks need ``line_breaks``,
+    which reads each file in one task. ``line_end`` is given for files of ``write_csv``: ends of lines within fields
+    then stay as they are, and a quoted empty field is an empty text, not null.
     """
+    options = {**_CSV, **_STRICT, "multiLine": line_breaks}
+    if line_end is not None:
+        options |= {"lineSep": line_end, "nullValue": _NO_TEXT}
     if schema is None:
-        return spark.read.csv(path, inferSchema=True, multiLine=line_breaks, **_CSV)
-    return spark.read.csv(path, schema=schema, multiLine=line_breaks, **_CSV)
+        return spark.read.options(**options).csv(path, inferSchema=True)
+    wanted = _declared(spark, schema)
+    header = spark.read.options(**(options | {"mode": "PERMISSIVE"})).csv(path).columns
+    by_name = {f.name.lower(): f for f in wanted}
+    missing = [f.name for f in wanted if f.name.lower() not in {c.lower() for c in header}]
+    extra = [c for c in header if c.lower() not in by_name]
+    if missing or extra or len(header) != len(wanted):
+        raise ValueError(f"{path}: columns missing: {missing}; not declared: {extra}; header: {header}")
+    there = StructType([by_name[c.lower()] for c in header])
+    read = spark.read.options(**options).csv(path, schema=there, enforceSchema=False)
+    return read.select(*[F.col(f"`{f.name}`") for f in wanted])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as a folder of headered CSV files, each by the task that holds the rows."""
     df.write.mode("overwrite").csv(
-        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_CSV
+        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n", **_CSV
     )
 
 
@@ -39,15 +66,28 @@ def table_path(folder: str, name: str, fmt: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str, schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    schema: StructType | str | None = None,
+    line_breaks: bool = False,
+    line_end: str | None = None,
 ) -> DataFrame:
     """A table in format ``csv`` or ``parquet``."""
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, line_breaks, line_end)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.format(fmt).load(path)
 
 
+def read_written(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None = None) -> DataFrame:
+    """A table that ``write_table`` wrote, with line breaks in fields and all.
+
+    Each of its files is what one task wrote, so a file per task is no burden.
+    """
+    return read_table(spark, path, fmt, schema, line_breaks=True, line_end="\n")
+
+
 def write_table(df: DataFrame, path: str, fmt: str) -> None:
     """Write a table in format ``csv`` or ``parquet``, replacing what is there."""
     if fmt == "csv":

@@ -1,6 +1,5 @@
 """A few hand-written sales in the columns of the sales data."""
 
-import datetime
 from decimal import Decimal
 
 SCHEMA = """
@@ -29,7 +28,7 @@ PRODUCTS = {
     11: (11, 4005, "LAPTOP", "DELL", 101),
     12: (12, 4004, "TELEVISION", "SONY", 102),
 }
-SELLER = (70, "Sal Spruce", 5, "7 Ivy", "BREST", "BRITTANY", 76000, "08 1")
+SELLER = (70, "Sal Spruce", 3, "7 Ivy", "NORTHAM", "WESSEX", 41000, "044-9")
 
 
 def sale(date, transaction, product, customer, cost, price, stock=5, amount=100, kind="COD"):
@@ -68,5 +67,3 @@ def table(df):
 
     return sorted((tuple(map(plain, row)) for row in df.collect()), key=repr)
 
-
-DAY = datetime.date

@@ -1,19 +1,22 @@
 """Reports: hand-written cases, and the plain joins they must agree with."""
 
+import os
 import random
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallystar.plans import reports
-from tallystar.plans.jobs import build_star, main, run_reports
+from tallystar.plans import jobs, reports
+from tallystar.plans.jobs import build_star, main, run_reports, stored_schemas
 from tallystar.plans.layout import StarLayout
 from tallystar.plans.order_tables import OrderTables
 from tallystar.plans.star import inventory_fact, time_dimension
 from tallystar.sources.scratch import pin, scratch_path
-from tallystar.sources.tables import read_csv, read_table, table_path, write_csv
-from tests.data import table, wide
+from tallystar.sources.tables import read_csv, read_written, table_path, write_csv
+from tests.data import ROWS, SCHEMA, table, wide
 
 TABLES = ["inventory_fact", "customers_dim", "products_dim", "sellers_dim", "time_dim", "transaction_dim"]
 
@@ -36,7 +39,7 @@ def test_star_tables(spark, star):
     path, fmt, schemas = star
     assert sorted(schemas) == sorted(TABLES)
     for name, schema in schemas.items():
-        written = read_table(spark, table_path(path, name, fmt), fmt, schema)
+        written = read_written(spark, table_path(path, name, fmt), fmt, schema)
         ids = [c for c in written.columns if c == "FACT_ID" or c.endswith("_DIM_ID")]
         own = "FACT_ID" if name == "inventory_fact" else ids[-1]
         values = [r[0] for r in written.select(own).orderBy(own).collect()]
@@ -58,6 +61,68 @@ def test_reports(spark, star):
     assert report("quarterly_sales_count") == [(2011, 1, 4005, "LAPTOP", 1), (2011, 3, 4005, "LAPTOP", 2)]
 
 
+def test_checks_of_the_star(spark, star):
+    path, fmt, _ = star
+    got = read_written(spark, table_path(path, "star_checks", fmt), fmt)
+    assert table(got) == [
+        ("customers_dim", "repeated keys", 1),
+        ("inventory_fact", "undated sales", 1),
+        ("products_dim", "repeated keys", 0),
+        ("sellers_dim", "repeated keys", 0),
+        ("transaction_dim", "repeated keys", 0),
+    ]
+
+
+def test_schemas_are_stored_with_the_star(spark, star):
+    path, _, schemas = star
+    assert stored_schemas(spark, path) == schemas
+    assert stored_schemas(spark, scratch_path(spark)) == {}
+
+
+def test_a_line_break_in_an_address(spark):
+    """The same reports from both formats."""
+    broken = [tuple("1 Elm\nRear" if v == "1 Elm, Rear" else v for v in row) for row in ROWS]
+    for fmt in ("csv", "parquet"):
+        path = scratch_path(spark)
+        build_star(wide(spark, broken), path, fmt=fmt)
+        out = run_reports(spark, path, scratch_path(spark), 2011, fmt=fmt)
+        assert [tuple(r) for r in out["statewise_orders"].collect()] == [("CALIFORNIA", 4), ("OHIO", 4)]
+
+
+def test_a_source_whose_columns_come_in_another_order(spark):
+    source, built, out = (scratch_path(spark) for _ in range(3))
+    write_csv(wide(spark), source)
+    names = [f.strip() for f in SCHEMA.replace("\n", " ").split(",")]
+    main(["star", source, built, "--source-schema", ", ".join(reversed(names))])
+    main(["reports", built, out])
+    got = [tuple(r) for r in read_csv(spark, f"{out}/quarterly_profit.csv").collect()]
+    assert got == [(2011, 1, 5), (2011, 3, -6), (2011, 4, 4)]
+
+
+def test_jobs_leave_no_scratch(spark):
+    source, built, out = (scratch_path(spark) for _ in range(3))
+    write_csv(wide(spark), source)
+    root = os.path.dirname(source).removeprefix("file:")
+    before = set(os.listdir(root))
+    main(["star", source, built])
+    main(["reports", built, out])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        main(["star", source, built + "x", "--source-schema", "Date INT, " + SCHEMA.split(",", 1)[1]])
+    made = {os.path.basename(p) for p in (built, out, built + "x")}
+    assert set(os.listdir(root)) - before <= made
+
+
+def test_a_csv_star_is_parsed_once(spark, monkeypatch):
+    path, read = scratch_path(spark), []
+    build_star(wide(spark), path)
+    original = jobs.read_written
+    monkeypatch.setattr(jobs, "read_written", lambda s, p, *a: read.append(p) or original(s, p, *a))
+    results = run_reports(spark, path, scratch_path(spark), 2011)
+    stars = [os.path.basename(p) for p in read if p.startswith(path)]
+    assert sorted(stars) == ["customers_dim.csv", "inventory_fact.csv", "products_dim.csv", "time_dim.csv", "transaction_dim.csv"]
+    assert len(results) == 5
+
+
 def test_report_columns(spark, star):
     path, fmt, schemas = star
     results = run_reports(spark, path, scratch_path(spark), 2011, fmt=fmt, schemas=schemas)
@@ -219,6 +284,30 @@ def test_only_the_year_is_read_from_a_written_fact_table(spark):
     assert max(rows_scanned(plan)) < fact.count() / 2
 
 
+def test_customers_are_joined_without_a_further_shuffle(spark, random_star):
+    s = random_star
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ours = reports.top_customers(s["fact"], s["customers"], s["time"], s["transactions"], 2011)
+        plan = ours._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = [line for line in plan.split("\n") if "Exchange hashpartitioning(CUSTOMER_ID" in line and "TRANSACTION_ID" not in line]
+    assert len(lines) == 2  # one for each side of the join
+
+
+def test_a_date_key_reads_no_calendar(spark):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    t = OrderTables(spark, folder)
+    plan = reports.quarterly_profit(t.sales(1998), None, 1998, time_key="Date")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "o_orderdate" in line]
+    assert len(scans) == 1 and "GreaterThanOrEqual(o_orderdate" in scans[0]
+
+
 def test_a_hot_order_is_split(spark):
     """A third of all lines in one order: the join splits them, and no line is lost."""
     folder = scratch_path(spark)
