@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallystar.llm.block_labeller import Vectors, train
 from tallystar.llm.html_blocks import blocks
-from tallystar.llm.tables import by_position, plain, table
+from tallystar.llm.tables import by_position, first_by_hash, plain, table
 
 #: Pages the labeller is taught with, and the longest of these in characters.
 MOST_PAGES = 200
@@ -36,7 +36,7 @@ def main_text(pages: DataFrame, most_pages: int = MOST_PAGES, key: str = "page_i
     pages = pages.drop("__text")
     short = pages.where(F.length(plain(html)) <= LONGEST_PAGE)
     # At most ``most_pages`` rows.
-    sample = [r[0] for r in short.select(plain(html), plain(key)).orderBy(F.xxhash64(plain(key)), plain(key)).limit(most_pages).collect()]
+    sample = [r[html] for r in first_by_hash(short.select(plain(key), plain(html)), key, most_pages).collect()]
     model = train(sample)
     names = pages.columns
     at = names.index(html)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.spans import Texts, hash_spans, texts
-from tallystar.llm.tables import plain, table, unused
+from tallystar.llm.tables import first_by_hash, plain, table, unused
 from tallystar.llm.text_stats import CHAR_CLASSES, base_counts, char_classes
 from tallystar.sources.scratch import pin
 
@@ -81,13 +81,8 @@ class Logistic:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Logistic:
     """A classifier from at most ``most`` labelled documents, those whose ids come first by hash."""
-    chosen = (
-        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").cast("long").alias("__id"))
-        .agg(F.max("quality").cast("double").alias("__y"))
-        .orderBy(F.xxhash64("__id"), "__id")
-        .limit(most)
-    )
+    labelled = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id"))
+    chosen = first_by_hash(pin(labelled.agg(F.max("quality").cast("double").alias("__y"))), "__id", most)
     # At most ``most`` rows.
     labelled = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("text", "__y", "doc_id")
 
