@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ STAGE_PERCENT, STAGE_WIDTH = 80, 5
 #: Layout, not limits: documents of a block, and columns multiplied at once.
 BLOCK = 1024
 COLUMNS = 4096
+#: N-grams of one document in so many are common.
+COMMON = 512
 _NULL = -(2**63)
 
 
@@ -68,7 +71,9 @@ class Scheme:
     elements. A class of sizes up to ``high`` cuts every set into more parts, by hash,
     than two linked sets of the class can differ in; so some part is the same in both.
     Empty parts tell nothing: a set signs all its filled parts, and if these are not more than it
-    can differ in from a linked one, also each element by itself. A set signs for
+    can differ in from a linked one, also each element by itself. Elements that very many sets have
+    can be left out of the parts, since sets without them differ no more; else all documents with a common passage would
+    look alike where a part holds nothing but that. A set signs for
     its own class, and for the next if a larger partner may be there.
     """
 
@@ -86,40 +91,65 @@ class Scheme:
         largest = np.minimum(self.highs[kinds], sizes * 100 // self.percent)
         return (sizes + largest) * (100 - self.percent) // (100 + self.percent)
 
-    def sign(self, grams: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures, and the set of each."""
+    def sign(self, grams: np.ndarray, begin: np.ndarray, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures, and the set of each. ``common`` (sorted) are elements left out of parts."""
         sizes = np.diff(begin)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        rare = np.ones(len(grams), bool)
+        if common is not None and len(common):
+            rare = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] != grams
         own = np.searchsorted(self.highs, sizes)
         up = (sizes > 0) & (100 * sizes >= self.percent * (self.highs[own] + 1))
         signs, sets = [], []
         for kinds, chosen in ((own, sizes > 0), (own + 1, up)):
             chosen = chosen & (self.differ[kinds] > 0)  # else only equal sets are linked
-            take = np.repeat(chosen, sizes)
-            which = np.repeat(np.arange(len(sizes)), sizes)[take]
-            if not len(which):
-                continue
-            values, kind = grams[take], np.repeat(kinds, sizes)[take]
-            parts = self.parts[kind]
-            part = ((values >> np.uint64(20)) % parts.astype(np.uint64)).astype(np.int64)
-            place = np.concatenate([[0], np.cumsum(np.where(chosen, self.parts[kinds], 0))])
-            slot = place[which] + part
-            order = np.argsort(slot, kind="stable")
-            slot = slot[order]
-            new = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-            sums = np.add.reduceat(mix(values[order]), new)
-            part_set, part_at, part_kind = which[order][new], part[order][new], kind[order][new]
-            signs.append(mix(sums + mix((part_kind.astype(np.uint64) << np.uint64(44)) + part_at.astype(np.uint64))))
-            sets.append(part_set)
-            filled = np.bincount(part_set, minlength=len(sizes))
+            inside = chosen[owner]
+            which, values = owner[inside & rare], grams[inside & rare]
+            filled = np.zeros(len(sizes), np.int64)
+            if len(which):
+                kind = kinds[which]
+                part = ((values >> np.uint64(20)) % self.parts[kind].astype(np.uint64)).astype(np.int64)
+                place = np.concatenate([[0], np.cumsum(np.where(chosen, self.parts[kinds], 0))])
+                slot = place[which] + part
+                order = np.argsort(slot, kind="stable")
+                slot = slot[order]
+                new = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+                sums = np.add.reduceat(mix(values[order]), new)
+                part_set, part_at, part_kind = which[order][new], part[order][new], kind[order][new]
+                signs.append(mix(sums + mix((part_kind.astype(np.uint64) << np.uint64(44)) + part_at.astype(np.uint64))))
+                sets.append(part_set)
+                filled = np.bincount(part_set, minlength=len(sizes))
             unsure = chosen & (filled <= self._most_differing(sizes, kinds))
-            alone = unsure[which]
-            signs.append(mix(values[alone] + mix(kind[alone].astype(np.uint64) + (np.uint64(1) << np.uint64(60)))))
-            sets.append(which[alone])
-        if not signs:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            alone = unsure[owner]
+            signs.append(mix(grams[alone] + mix(kinds[owner[alone]].astype(np.uint64) + (np.uint64(1) << np.uint64(60)))))
+            sets.append(owner[alone])
         return np.concatenate(signs), np.concatenate(sets)
 
 
+def _often(width: int):
+    """N-grams that several documents of a slice share, and how many do."""
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in texts(batch.column(0)):
+                grams, counts = np.unique(ngram_sets(t, width)[0], return_counts=True)
+                several = counts >= 3
+                yield pa.RecordBatch.from_arrays([pa.array(grams[several].view(np.int64)), pa.array(counts[several])], ["gram", "n"])
+
+    return often
+
+
+def _common(docs: DataFrame, width: int, n_docs: int) -> np.ndarray:
+    """N-grams of about one document in ``COMMON`` or more, sorted.
+
+    There are at most ``COMMON`` times as many as an average document has, however many
+    documents there are, so the driver can hold them. Which they are changes the work, not the result.
+    """
+    least = max(8, n_docs // COMMON)
+    often = docs.select("text").mapInArrow(_often(width), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return np.sort(np.array([r["gram"] for r in often.select("gram").collect()], np.int64).view(np.uint64))
+
+
 def _measure(width: int):
     """Size and checksums of each document's set."""
 
@@ -152,7 +182,7 @@ def _group(signs: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return signs[new], sets[new], links
 
 
-def _send(percent: int, width: int, buckets: int):
+def _send(percent: int, width: int, buckets: int, common: Broadcast):
     """Signatures to their buckets, packed, each once per slice; sets that share one here are linked at once."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +191,7 @@ def _send(percent: int, width: int, buckets: int):
             for t in texts(batch.column(0)):
                 grams, begin = ngram_sets(t, width)
                 names = _sums(mix(grams ^ _SALTS[0]), begin).view(np.int64)
-                signs, owners = scheme.sign(grams, begin)
+                signs, owners = scheme.sign(grams, begin, common.value)
                 if not len(signs):
                     continue
                 signs, sets, links = _group(signs, names[owners])
@@ -339,8 +369,9 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     docs = docs.select(F.coalesce(plain(key).cast("long"), F.lit(_NULL)).alias("id"), plain(text).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     measured = pin(docs.mapInArrow(_measure(width), "id long, n long, set1 long, set2 long"))
+    common = docs.sparkSession.sparkContext.broadcast(_common(docs, width, measured.count()))
     # The signatures are many, so they are made on their way to the buckets and not written.
-    sent = docs.select("text").mapInArrow(_send(percent, width, buckets), _PACKET)
+    sent = docs.select("text").mapInArrow(_send(percent, width, buckets, common), _PACKET)
     families = components(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, "a long, b long"))
 
     classes = measured.where("n > 0").groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))

@@ -65,6 +65,15 @@ def test_near_copies(spark, percent, width):
     assert found(ngram_components(documents(spark, rows), percent, width)) == expected(rows, percent, width)
 
 
+def test_a_common_passage(spark):
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [f"{passage} {t}" for words in (3, 9, 30, 120) for t in copies(rng, 12, words, max(1, words // 15))]
+    texts += [f"{passage} " + " ".join(f"y{k}" for k in rng.integers(0, 10**6, n)) for n in rng.integers(0, 60, 60)]
+    rows = list(enumerate(texts))
+    assert found(ngram_components(documents(spark, rows), 80, 5)) == expected(rows, 80, 5)
+
+
 def test_families_larger_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     rng = np.random.default_rng(3)
@@ -85,8 +94,9 @@ def test_linked_sets_share_a_signature(percent):
         most = len(a) * (100 - percent) // 100
         b = np.unique(np.concatenate([a[: len(a) - most], rng.integers(0, 2**63, rng.integers(0, 2 + size * (100 - percent) // 100)).astype(np.uint64)]))
         if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)) and set(a) != set(b):
-            signs, sets = scheme.sign(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
-            assert set(signs[sets == 0]) & set(signs[sets == 1]), size
+            for common in (None, a[:: 2 + size % 7], a):
+                signs, sets = scheme.sign(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), common)
+                assert set(signs[sets == 0]) & set(signs[sets == 1]), size
 
 
 def test_products_agree_with_sets(monkeypatch):
