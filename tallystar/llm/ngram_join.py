@@ -74,14 +74,17 @@ class Scheme:
     can differ in from a linked one, also each element by itself. Elements that very many sets have
     can be left out of the parts, since sets without them differ no more; else all documents with a common passage would
     look alike where a part holds nothing but that. A set signs for
-    its own class, and for the next if a larger partner may be there.
+    its own class, and for the next if a larger partner may be there. Classes grow by a quarter, so from 80 percent
+    on no partner is farther off, and parts hold about as much as they can.
     """
 
     def __init__(self, percent: int):
+        if not 80 <= percent <= 100:
+            raise ValueError("links ask for 80 to 100 percent")
         self.percent = percent
         highs = [1]
         while highs[-1] < 1 << 40:
-            highs.append(max(highs[-1] + 1, int(highs[-1] * 1.6)))
+            highs.append(max(highs[-1] + 1, highs[-1] * 5 // 4))
         self.highs = np.array(highs)
         self.differ = 2 * self.highs * (100 - percent) // (100 + percent)
         self.parts = self.differ + 2 + self.differ // 50
