@@ -25,8 +25,9 @@ STAGE_PERCENT, STAGE_WIDTH = 80, 5
 #: Layout, not limits: documents of a block, and columns multiplied at once.
 BLOCK = 1024
 COLUMNS = 4096
-#: N-grams of one document in so many are common.
-COMMON = 512
+#: N-grams of one document in so many are common, in the pipeline. Three words are too often common for that: documents
+#: without rare parts would sign every n-gram.
+STAGE_COMMON = 512
 _NULL = -(2**63)
 
 
@@ -142,13 +143,13 @@ def _often(width: int):
     return often
 
 
-def _common(docs: DataFrame, width: int, n_docs: int) -> np.ndarray:
-    """N-grams of about one document in ``COMMON`` or more, sorted.
+def _common(docs: DataFrame, width: int, n_docs: int, one_in: int) -> np.ndarray:
+    """N-grams of about one document in ``one_in`` or more, sorted.
 
-    There are at most ``COMMON`` times as many as an average document has, however many
+    There are at most ``one_in`` times as many as an average document has, however many
     documents there are, so the driver can hold them. Which they are changes the work, not the result.
     """
-    least = max(8, n_docs // COMMON)
+    least = max(8, n_docs // one_in)
     often = docs.select("text").mapInArrow(_often(width), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return np.sort(np.array([r["gram"] for r in often.select("gram").collect()], np.int64).view(np.uint64))
 
@@ -351,7 +352,9 @@ def links_within_families(docs: DataFrame, members: DataFrame, percent: int, wid
     return found.unionByName(_products_of(docs, targets, percent, width))
 
 
-def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+def ngram_components(
+    docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common_one_in: int | None = None, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """Per document ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
     A document is the set of its different n-grams of ``width`` words (white space
@@ -372,7 +375,8 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     docs = docs.select(F.coalesce(plain(key).cast("long"), F.lit(_NULL)).alias("id"), plain(text).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     measured = pin(docs.mapInArrow(_measure(width), "id long, n long, set1 long, set2 long"))
-    common = docs.sparkSession.sparkContext.broadcast(_common(docs, width, measured.count()))
+    often = np.zeros(0, np.uint64) if common_one_in is None else _common(docs, width, measured.count(), common_one_in)
+    common = docs.sparkSession.sparkContext.broadcast(often)
     # The signatures are many, so they are made on their way to the buckets and not written.
     sent = docs.select("text").mapInArrow(_send(percent, width, buckets, common), _PACKET)
     families = components(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, "a long, b long"))
@@ -397,7 +401,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows equal in id and text one stays; rows that share an id but not the text stay together.
     """
     (id_name,) = unused(docs.columns, "__id")
-    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_name)).distinct()
+    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH, STAGE_COMMON).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_name)).distinct()
     return docs.join(groups, plain("doc_id").cast("long").eqNullSafe(F.col(id_name)), "left_semi").dropDuplicates(["doc_id", "text"])
 
 

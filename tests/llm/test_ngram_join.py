@@ -71,7 +71,8 @@ def test_a_common_passage(spark):
     texts = [f"{passage} {t}" for words in (3, 9, 30, 120) for t in copies(rng, 12, words, max(1, words // 15))]
     texts += [f"{passage} " + " ".join(f"y{k}" for k in rng.integers(0, 10**6, n)) for n in rng.integers(0, 60, 60)]
     rows = list(enumerate(texts))
-    assert found(ngram_components(documents(spark, rows), 80, 5)) == expected(rows, 80, 5)
+    for one_in in (None, 512, 3):
+        assert found(ngram_components(documents(spark, rows), 80, 5, one_in)) == expected(rows, 80, 5)
 
 
 def test_families_larger_than_a_block(spark, monkeypatch):
