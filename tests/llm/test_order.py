@@ -72,6 +72,31 @@ def test_a_schedule_uses_every_slot_once():
         Schedule({"x": 1}, {"x": 0})
 
 
+@pytest.mark.parametrize(
+    "weights, slots",
+    [
+        ({"s0": 5, "s1": 1, "s2": 2, "s3": 1, "": 3}, 120_000),
+        ({"big": 0.999} | {f"s{k}": 0.001 / 99 for k in range(99)}, 30_000),
+        ({"big": 0.874} | {f"s{k}": 0.126 / 999 for k in range(999)}, 30_000),
+        ({f"s{k}": float(k + 2) ** 0.5 for k in range(7)}, 60_000),
+    ],
+)
+def test_a_phase_never_strays_a_block_from_the_given_weights(weights, slots):
+    total = sum(weights.values())
+    blocks = {s: int(slots * w / total) + 2 for s, w in weights.items()}
+    schedule = Schedule(blocks, weights)
+    seen = 0
+    for s, n in blocks.items():
+        phase, slot = place(schedule.phases[s], np.arange(n))
+        slot = slot[phase == 0]
+        exact = slot * (weights[s] / total)
+        i = np.arange(len(slot))
+        # Before and after each own slot.
+        assert (np.abs(i - exact) < 1 + 1e-6).all() and (np.abs(i + 1 - exact - weights[s] / total) < 1 + 1e-6).all()
+        seen += len(slot)
+    assert seen > 0.9 * slots
+
+
 def test_documents_come_in_their_shares(spark):
     rng = np.random.default_rng(1)
     rows = [(i, "x" * int(rng.integers(0, 900))) for i in range(4000)]
