@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.tables import plain, running, table
+from tallystar.llm.tables import in_written_order, plain, running, table, unused
 from tallystar.llm.tokens import WordEncoder
 from tallystar.sources.scratch import pin
 
@@ -175,19 +175,25 @@ class Plan:
 # --- documents -----------------------------------------------------------------------
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids: bool = False, key: str = "doc_id", text: str = "text", order: Sequence[str] = ()
+) -> DataFrame:
     """The documents as token pieces of at most ``capacity``: doc_id, piece, start, length, ids_crc32, and ``ids`` if asked.
 
+    The long columns ``order`` go along as order0, order1 and so on.
+
     A document is the ids of its whole text (null: empty) and then id 0. If longer
     than ``capacity`` it is cut so that all pieces but the first are full.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids + "".join(f", order{k} long" for k in range(len(order)))
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids + [f"order{k}" for k in range(len(order))]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * with_ids, *[pa.int64()] * len(order)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(vocabulary)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            places = list(zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True)) if order else [()] * len(texts)
             begin = 0
             while begin < len(texts):
                 end, chars = begin, 0
@@ -195,21 +201,20 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
                     chars += len(texts[end])
                     end += 1
                 rows = []
-                for doc, ids in zip(keys[begin:end], encoder.encode(texts[begin:end]), strict=True):
+                for doc, at, ids in zip(keys[begin:end], places[begin:end], encoder.encode(texts[begin:end]), strict=True):
                     ids = np.append(ids, END).astype("<u4")
                     first = len(ids) % capacity or capacity
                     cuts = [0, *range(first, len(ids) + 1, capacity)]
                     for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                         part = ids[a:b]
-                        rows.append((doc, i, a, b - a, zlib.crc32(part.tobytes()), *([part.astype(np.int32)] * with_ids)))
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)], names)
+                        rows.append((doc, i, a, b - a, zlib.crc32(part.tobytes()), *([part.astype(np.int32)] * with_ids), *at))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
                 begin = end
 
-    return docs.select(plain(key).cast("long"), plain(text)).mapInArrow(cut, schema)
+    return docs.select(plain(key).cast("long"), plain(text), *[plain(c) for c in order]).toDF(*[f"c{i}" for i in range(2 + len(order))]).mapInArrow(cut, schema)
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, grains: int = GRAINS) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, grains: int = GRAINS, order: Sequence[str] = ()) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``, gapless from 0 in each sequence.
 
     The histogram of lengths (at most ``capacity`` rows) goes to the driver. There
@@ -219,8 +224,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grains: int = GRAINS) -> Data
     plan has rows per length and pattern and goes to all tasks; a piece finds
     its place by its length and its number among the pieces of that length, a running count.
 
-    ``cut`` must be a written table, since it is read twice. Equal pieces get
-    places of their own.
+    ``cut`` must be a written table, since it is read twice. Pieces of a length are numbered by
+    ``order``, then doc_id, piece, start and checksum. Equal pieces get places of their own.
     """
     spark = cut.sparkSession
     hist = np.zeros(capacity + 1, np.int64)
@@ -228,7 +233,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grains: int = GRAINS) -> Data
         hist[length] = n
     plan = Plan(hist, capacity, grains)
     shared = spark.sparkContext.broadcast(((plan.length << 42) + plan.rank, plan.rank, plan.sequence, plan.offset))
-    numbered = running(cut.select("doc_id", "piece", "start", "length", "ids_crc32"), "length", ["doc_id", "piece", "start", "ids_crc32"], ["length"])
+    numbered = running(
+        cut.select("doc_id", "piece", "start", "length", "ids_crc32", *order), "length", [*order, "doc_id", "piece", "start", "ids_crc32"], ["length"]
+    )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, rank0, sequence, offset = shared.value
@@ -269,10 +276,15 @@ def sequences(cut: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents packed in the order they are written in: of the pieces of a length, those of earlier rows come first."""
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    order = unused(docs.columns, "__file", "__row")
+    cut = pieces(in_written_order(docs, *order), public_tokenizers.path("byte_bpe_50k.json"), order=order)
+    return pack(pin(cut), order=["order0", "order1"])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, table(spark, sf_dir, "documents"), sf_dir)
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,6 +15,9 @@ from pyspark.sql import types as T
 
 from tallystar.sources.scratch import pin
 
+#: Task and number within the task in the name of a file that Spark wrote.
+_PART = re.compile(r"^part-(\d+)-.*-c(\d+)\.")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -46,6 +50,21 @@ def first_by_hash(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.where(place < int(share * (1 << 32))).orderBy(place, plain(key)).limit(most)
 
 
+def in_written_order(df: DataFrame, file: str, row: str) -> DataFrame:
+    """``df`` with two long columns that tell the order it is written in: number of the file, row in it.
+
+    Read from the files if ``df`` is nothing but a table that Spark wrote; any other frame is written first, and
+    its rows follow its partitions.
+    """
+    names = [f.rsplit("/", 1)[-1] for f in df.inputFiles()]
+    scan = df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    if not (scan and all(_PART.search(n) for n in names)):
+        df = pin(df)
+    name = F.col("_metadata.file_name")
+    part, chunk = (F.regexp_extract(name, _PART.pattern, k).cast("long") for k in (1, 2))
+    return df.select(*[plain(c) for c in df.columns], (part * 1_000_000 + chunk).alias(file), F.col("_metadata.row_index").alias(row))
+
+
 def by_position(df: DataFrame) -> DataFrame:
     """The same columns with plain names: ``mapInArrow`` cannot find a column whose name has a dot."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

@@ -1,7 +1,10 @@
+from functools import partial
+
 import duckdb
 import pytest
 
 import corpus_pipeline
+from tallystar.llm import mixing, packing
 from tallystar.llm.queries import ORACLES, QUERIES
 
 
@@ -36,3 +39,22 @@ def test_stages_feed_each_other(spark, folder):
 
 def test_run(spark, folder):
     assert corpus_pipeline.run(spark, folder).select("doc_id").distinct().count() > 50
+
+
+def test_packing_keeps_the_written_order(spark):
+    ids = [5, 3, 9, 1, 7, 8, 0, 2]
+    docs = spark.createDataFrame([(i, "same words") for i in ids], "doc_id long, text string").coalesce(1)
+    for given in (docs, docs.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id")):
+        wanted = [r.doc_id for r in given.collect()]
+        got = sorted(packing.stage(spark, given, "").collect(), key=lambda r: (r.sequence_id, r.offset))
+        rank = {r.doc_id: (r.offset, r.sequence_id) for r in got}
+        assert sorted(wanted, key=rank.get) == wanted
+
+
+def test_weights_of_the_mix_reach_the_sequences(spark, folder, monkeypatch):
+    sources = [r.source or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("source").distinct().collect()]
+    mix, found = mixing.mix_sources, []
+    for heavy in sources[:2]:
+        monkeypatch.setattr(mixing, "mix_sources", partial(mix, weights={s: 100 if s == heavy else 1 for s in sources}, block_bytes=2000))
+        found.append({tuple(r) for r in corpus_pipeline.run(spark, folder).collect()})
+    assert {x[:5] for x in found[0]} == {x[:5] for x in found[1]} and found[0] != found[1]
