@@ -32,6 +32,9 @@ def words(seed, n=30):
         ("<script>if (a<b) '</p>'</script>x<style>y", ["x"]),
         ("<form><select><option>o</select><textarea>t</textarea>lab</form>", ["lab"]),
         ("</div></p>x</b>", ["x"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>2</mn><mi>y</mi></mfrac></math> holds<p>b", ["so x=2y holds", "b"]),
+        ("a <math><semantics><mrow><mi>x</mi><mspace/></mrow><annotation>x_0</annotation></semantics></math> b<div>c</div>", ["a x x_0 b", "c"]),
+        ("<p>a <math><mi>x</mi><p>b</p><div>c</div>", ["a x", "b", "c"]),
         ("", []),
     ],
 )
