@@ -276,7 +276,8 @@ def _products(percent: int):
     def products(frame: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         for _, family in frame.groupby("family", sort=False):
-            family = family.drop_duplicates("id")
+            # Rows of one id may have several sets.
+            family = family.drop_duplicates(["id", "set1"])
             ids = family["id"].to_numpy()
             if len(ids) < 2:
                 continue
@@ -296,7 +297,7 @@ def _grams(width: int):
                 sets = pa.array([values[a:b].tobytes() for a, b in zip(begin, begin[1:], strict=False)], pa.binary())
                 check = pa.array(_sums(mix(values ^ _SALTS[0]), begin).view(np.int64))
                 id_, _, family, set1, of, block = (c.slice(t.rows.start, len(t)) for c in batch.columns)
-                out = pa.RecordBatch.from_arrays([id_, family, sets, of, block], ["id", "family", "grams", "of", "block"])
+                out = pa.RecordBatch.from_arrays([id_, family, set1, sets, of, block], ["id", "family", "set1", "grams", "of", "block"])
                 # Another row of the same id has another text.
                 yield out.filter(pc.equal(check, set1))
 
@@ -307,7 +308,7 @@ def _products_of(docs: DataFrame, targets: DataFrame, percent: int, width: int)
     """Links (a, b) that hold together what is linked in each group (``of``, ``block``) of ``targets``."""
     # A broadcast of the targets would follow their number; both sides are sorted and merged at any size.
     rows = docs.join(targets.hint("merge"), "id").select("id", "text", "family", "set1", "of", "block")
-    grams = rows.mapInArrow(_grams(width), "id long, family long, grams binary, of long, block long")
+    grams = rows.mapInArrow(_grams(width), "id long, family long, set1 long, grams binary, of long, block long")
     return pin(grams.groupBy("of", "block").applyInPandas(_products(percent), "a long, b long"))
 
 

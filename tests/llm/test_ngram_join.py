@@ -82,6 +82,19 @@ def test_families_larger_than_a_block(spark, monkeypatch):
     assert found(ngram_components(documents(spark, rows))) == expected(rows, 90, 3)
 
 
+def test_two_texts_of_one_id_in_a_family(spark):
+    def text(**changed):
+        words = [f"w{k}" for k in range(100)]
+        for at, word in changed.items():
+            words[int(at[1:])] = word
+        return " ".join(words)
+
+    # 2 is near only the first text of 5, and 3 only the second.
+    rows = [(5, text()), (5, text(_50="x")), (2, text(_80="y")), (3, text(_50="x", _20="z"))]
+    assert found(ngram_components(documents(spark, rows))) == expected(rows, 90, 3)
+    assert found(ngram_components(documents(spark, rows[::-1]))) == expected(rows, 90, 3)
+
+
 def test_no_documents(spark):
     assert ngram_components(documents(spark, [])).count() == 0
 
