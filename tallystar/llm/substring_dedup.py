@@ -103,8 +103,8 @@ def windows(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarra
 # --- who is first ----------------------------------------------------------------------------
 
 
-def later_ones(window: np.ndarray, *place: np.ndarray) -> np.ndarray:
-    """Marks the rows whose window is also at an earlier place. Places are compared column by column."""
+def later_ones(window: np.ndarray, rest: tuple[np.ndarray, ...], *place: np.ndarray) -> np.ndarray:
+    """Marks the rows whose window, told by ``window`` and ``rest``, is also at an earlier place. Places are compared column by column."""
     out = np.zeros(len(window), bool)
     order = np.argsort(window, kind="stable")
     equal = window[order][1:] == window[order][:-1]
@@ -114,8 +114,9 @@ def later_ones(window: np.ndarray, *place: np.ndarray) -> np.ndarray:
     rows = order[some]
     if not len(rows):
         return out
-    rows = rows[np.lexsort([p[rows] for p in reversed(place)] + [window[rows]])]
-    new = np.concatenate([[True], window[rows][1:] != window[rows][:-1]])
+    told = [window, *rest]
+    rows = rows[np.lexsort([p[rows] for p in reversed(place)] + [x[rows] for x in reversed(told)])]
+    new = np.concatenate([[True], np.logical_or.reduce([x[rows][1:] != x[rows][:-1] for x in told])])
     head = rows[np.flatnonzero(new)][np.cumsum(new) - 1]
     out[rows] = np.logical_or.reduce([p[rows] != p[head] for p in place])
     return out
@@ -178,7 +179,7 @@ def _send_slice(t: Texts, ids: pa.Array, sums: pa.Array, width: int, buckets: in
     starts, ends, first = t.words()
     at, text, anchor, key, hashed = windows(hash_spans(t.buf, starts, ends), first, width)
     start = at - first[text]
-    again = later_ones(hashed ^ mix(key), ids[text], sums[text], start)
+    again = later_ones(hashed, (key,), ids[text], sums[text], start)
     rows = _replies(ids[text[again]], sums[text[again]], start[again], buckets)
     at, text, anchor, key, hashed, start = (x[~again] for x in (at, text, anchor, key, hashed, start))
     bucket = (mix(key ^ _K2) % np.uint64(buckets)).astype(np.int64)
@@ -211,20 +212,23 @@ def _judge(buckets: int):
                 number = np.frombuffer(row["anchors"], "<u4", n, 10 * n)
                 of = np.repeat(np.arange(n), np.frombuffer(row["anchors"], np.uint8, n, 14 * n))
                 hashed, before = _from_bytes(row["hashes"][: 6 * m], 6), np.frombuffer(row["hashes"], np.uint8, m, 6 * m)
-                window = mix(key)[of] + hashed * _K2 + before
+                # 48 bits of hash and 48 of key, in 64 and 32.
+                window = (hashed << np.uint64(16)) | (key & np.uint64(0xFFFF))[of]
                 found.append(
                     [
                         window,
+                        (key >> np.uint64(16)).astype(np.uint32)[of],
+                        before,
                         np.frombuffer(row["docs"], np.int64)[number][of],
                         np.frombuffer(row["sums"], np.int32)[number][of],
                         (place[of] - before).astype(np.int32),
                     ]
                 )
         if found:
-            window, ids, sums, starts = (np.concatenate(c) for c in zip(*found, strict=True))
+            window, keys, before, ids, sums, starts = (np.concatenate(c) for c in zip(*found, strict=True))
             found.clear()
-            again = later_ones(window, ids, sums, starts)
-            del window
+            again = later_ones(window, (keys, before), ids, sums, starts)
+            del window, keys, before
             if rows := _replies(ids[again], sums[again], starts[again], buckets):
                 yield _batch(rows)
 

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from tallystar.llm import substring_dedup
-from tallystar.llm.substring_dedup import AFTER, BEFORE, remove_repeats, symbols
+from tallystar.llm.spans import mix
+from tallystar.llm.substring_dedup import _K2, AFTER, BEFORE, _batch, _judge, remove_repeats, symbols
 
 from .common import WORD, awkward, documents
 
@@ -80,3 +81,19 @@ def test_symbols_depend_on_near_words_only():
         assert one.get(at) == two.get(at)
         gaps = np.diff(sorted(one))
         assert gaps.max() <= 4
+
+
+def test_windows_are_told_by_key_and_hash():
+    # Keys and hashes of 48 bits whose mix(key) + hash * _K2 is one value of 64 bits.
+    keys = np.arange(8, 1 << 21, dtype=np.uint64)
+    other = np.uint64(5) + (mix(np.array([7], np.uint64)) - mix(keys)) * np.uint64(pow(int(_K2), -1, 1 << 64))
+    hit = np.flatnonzero(other < 1 << 48)[0]
+
+    def replies(key, hashed):
+        words = lambda x, n, kind: b"".join(int(v).to_bytes(n, "little") for v in x) if kind is None else np.array(x, kind).tobytes()
+        anchors = words(key, 6, None) + words([3, 3], 4, "<u4") + words([0, 1], 4, "<u4") + words([1, 1], 1, np.uint8)
+        row = (0, False, words([1, 2], 8, np.int64), words([0, 0], 4, np.int32), anchors, words(hashed, 6, None) + words([2, 2], 1, np.uint8))
+        return sum(b.num_rows for b in _judge(1)([_batch([row])]))
+
+    assert replies([7, 7], [5, 5]) == 1
+    assert replies([7, int(keys[hit])], [5, int(other[hit])]) == 0
