@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tallystar.llm import (
+    byte_pairs,
+    centroids,
     embedding_dedup,
     html_extract,
     line_dedup,
@@ -13,6 +15,7 @@ from tallystar.llm import (
     quality_rules,
     sharding,
     substring_dedup,
+    whitening,
 )
 
 QUERIES = {
@@ -26,10 +29,14 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_ngram_join": ngram_join.query,
     "op10_best_fit_packing": packing.query,
+    "op11_embedding_whitening": whitening.query,
+    "op12_byte_bpe": byte_pairs.query,
+    "op13_centroid_clustering": centroids.query,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_embedding_dedup": embedding_dedup.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
     "op9_ngram_join": ngram_join.ORACLE,
+    "op13_centroid_clustering": centroids.ORACLE,
 }

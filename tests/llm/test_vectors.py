@@ -1,0 +1,213 @@
+"""Whitening and clustering of embeddings."""
+
+import hashlib
+import os
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tallystar.llm import centroids, whitening
+from tallystar.llm.centroids import Rotation, cluster, nearest
+from tallystar.llm.spectrum import above, leading
+from tallystar.llm.tables import table
+from tallystar.llm.whitening import whiten
+
+SCHEMA = T.StructType(
+    [T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), *[T.StructField(c, T.StringType()) for c in ("id", "dim", "y", "cluster", "a.b")]]
+)
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, *"other"[:5]) for i, v in rows], SCHEMA)
+
+
+def awkward(d, seed=0):
+    rng = np.random.default_rng(seed)
+    good = (rng.standard_normal((90, d)) * np.linspace(0.3, 0.02, d) + rng.standard_normal(d)).astype(np.float32)
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(90), good, strict=True)]
+    wrong = [[float("nan")] * d, [float("inf"), *[0.0] * (d - 1)], [None, *[0.0] * (d - 1)], None, []]
+    rows += [(100 + i, v) for i, v in enumerate(wrong)]
+    rows += [(None, good[0].tolist()), (3, good[1].tolist()), rows[5], rows[5]]
+    return rows
+
+
+def usable(rows, d):
+    return [(i, np.array(v, np.float32).astype(float)) for i, v in rows if v and len(v) == d and all(x is not None and np.isfinite(x) for x in v)]
+
+
+# Spectrum slicing
+
+
+def same(a, most):
+    values, vectors = leading(a, most)
+    size = max(np.abs(a).sum(axis=1).max(), 1e-300)
+    expected = np.linalg.eigvalsh(a)[::-1][:most]
+    assert np.abs(values - expected).max() <= 1e-13 * size
+    assert np.abs(vectors @ vectors.T - np.eye(len(vectors))).max() < 1e-13
+    assert np.abs(a @ vectors.T - vectors.T * values).max() <= 1e-13 * size
+
+
+def test_eigenvalues_of_many_kinds():
+    rng = np.random.default_rng(5)
+    turn = np.linalg.qr(rng.standard_normal((40, 40)))[0]
+    for spectrum in (np.linspace(1, 2, 40), np.logspace(0, -9, 40), np.repeat([4.0, 2, 1, 0.5], 10), 1 + np.arange(40) * 1e-11, np.r_[5.0, np.zeros(39)], 1 + np.arange(40) * 1e-15):
+        a = turn @ np.diag(spectrum) @ turn.T
+        same((a + a.T) / 2, 12)
+    same(np.eye(7), 7)
+    same(np.zeros((4, 4)), 3)
+    same(np.array([[2.0]]), 5)
+    same(np.diag([1.0, -3.0, 2.0]), 3)
+
+
+def test_pivots_count_eigenvalues():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        n = int(rng.integers(1, 12))
+        a = rng.integers(-2, 3, (n, n)) + (rng.standard_normal((n, n)) if rng.random() < 0.5 else 0.0)
+        a, shift = a + a.T, rng.standard_normal()
+        assert above(a, shift) == (np.linalg.eigvalsh(a) > shift).sum()
+
+
+# Whitening
+
+
+def check_whitened(found, rows, d, most):
+    kept = usable(rows, d)
+    x = np.array([[int(np.floor(64 * c)) + 1_000_000 for c in v] for _, v in kept], dtype=object)
+    n, total = len(x), x.sum(axis=0)
+    centred = (x * n - total).astype(float) / n
+    v = centred.T @ centred / n
+    values, axes = np.linalg.eigh(v)
+    values, axes = values[::-1][:most], axes.T[::-1][:most]
+    expected = centred @ axes.T / np.sqrt(values)
+    deviation = [int(sum((n * e - s) ** 2 for e, s in zip(row, total, strict=True))) for row in x]
+    key = {}
+    for k, (i, _) in enumerate(kept):
+        key.setdefault((i, deviation[k]), []).append(k)
+    by_row = {}
+    for r in found:
+        by_row.setdefault((r.vec_id, r.deviation), {}).setdefault(r.component, []).append(r)
+    assert by_row.keys() == key.keys()
+    signs = np.zeros(most)
+    for rid, components in by_row.items():
+        assert sorted(components) == list(range(1, most + 1))
+        for c, got in components.items():
+            assert len(got) == len(key[rid])
+            want = expected[key[rid][0], c - 1]
+            for r in got:
+                assert r.n == n and r.explained == pytest.approx(values[c - 1] / np.trace(v), rel=1e-9) and r.identity_error < 1e-9
+                assert abs(r.whitened) == pytest.approx(abs(want), abs=1e-8)
+                if abs(want) > 1e-6:
+                    sign = np.sign(r.whitened * want)
+                    assert signs[c - 1] in (0, sign)
+                    signs[c - 1] = sign
+
+
+def test_whitening_awkward_rows(spark):
+    rows = awkward(40)
+    check_whitened(whiten(vectors(spark, rows)).collect(), rows, 40, 32)
+    assert whiten(vectors(spark, [])).count() == 0
+    assert whiten(vectors(spark, [(1, None), (2, []), (3, [None])])).count() == 0
+
+
+def test_whitening_lengths_apart(spark):
+    rows = awkward(5) + awkward(3, 1)
+    found = whiten(vectors(spark, rows)).collect()
+    fitted = {r.n for r in found}
+    assert len(fitted) == 1  # both have as many usable vectors
+    n = next(iter(fitted))
+    assert len(found) == n * 5 + n * 3
+
+
+def test_whitening_without_variance(spark):
+    found = whiten(vectors(spark, [(1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 3.0])])).collect()
+    assert [(r.whitened, r.explained, r.identity_error, r.deviation) for r in found] == [(None, 0.0, 0.0, 0)] * 6
+    # Two vectors span one component.
+    found = whiten(vectors(spark, [(1, [1.0, 2.0, 3.0]), (2, [2.0, 2.0, 5.0])]), components=2).collect()
+    assert sorted((r.vec_id, r.component, None if r.whitened is None else round(abs(r.whitened), 9), round(r.explained, 9)) for r in found) == [
+        (1, 1, 1.0, 1.0), (1, 2, None, 0.0), (2, 1, 1.0, 1.0), (2, 2, None, 0.0)]
+
+
+def test_whitening_of_large_entries(spark):
+    rows = [(i, [1e6 * (i % 7), float(i), -3e5 * (i % 3)]) for i in range(40)] + [(99, [1e30, 0.0, 0.0])]
+    found = whiten(vectors(spark, rows)).collect()
+    assert {r.vec_id for r in found} == set(range(40)) and max(r.identity_error for r in found) < 1e-6
+    check = {r.vec_id: r.deviation for r in found}
+    x = [[int(np.floor(64 * c)) + 1_000_000 for c in v] for _, v in rows[:40]]
+    total = [sum(c) for c in zip(*x, strict=True)]
+    for i, row in enumerate(x):
+        exact = sum((40 * e - s) ** 2 for e, s in zip(row, total, strict=True))
+        assert check[i] == (exact if exact < 2**63 else None)
+
+
+def test_whitening_of_all_embeddings(spark, folder):
+    df = table(spark, folder, "embeddings")
+    check_whitened(whitening.query(spark, folder).collect(), [(r.vec_id, r.embedding) for r in df.collect()], 64, 32)
+
+
+# Clusters
+
+
+def clusters_plainly(rows, d, k, rounds):
+    kept = sorted(((hashlib.sha256(f"3:{'' if i is None else i}".encode()).hexdigest(), [int(np.floor(1024 * x)) for x in v], i) for i, v in usable(rows, d)), key=lambda r: r[:2])
+    y = np.array([r[1] for r in kept], dtype=object)
+    centre = [list(c) for c in y[:k]]
+
+    def assign():
+        distance = np.array([[sum((a - b) ** 2 for a, b in zip(v, c, strict=True)) for c in centre] for v in y], dtype=object)
+        best = [min(range(len(centre)), key=lambda c: (row[c], c)) for row in distance]
+        return best, [row[b] for row, b in zip(distance, best, strict=True)]
+
+    for _ in range(rounds):
+        own = assign()[0]
+        for c in range(len(centre)):
+            mine = [v for v, o in zip(y, own, strict=True) if o == c]
+            if mine:
+                centre[c] = [sum(col) // len(mine) for col in zip(*mine, strict=True)]
+    own, distance = assign()
+    inertia = [sum(x for x, o in zip(distance, own, strict=True) if o == c) for c in range(len(centre))]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centre]
+    return sorted((-1 if r[2] is None else r[2], o, x, inertia[o], sum(inertia), digest[o]) for r, o, x in zip(kept, own, distance, strict=True))
+
+
+def found_clusters(df):
+    return sorted((-1 if r.vec_id is None else r.vec_id, *r[1:]) for r in df.collect())
+
+
+@pytest.mark.parametrize(("d", "k", "rounds"), [(64, 8, 10), (5, 4, 3), (3, 200, 2), (20, 1, 1)])
+def test_clusters_awkward_rows(spark, d, k, rounds):
+    rows = awkward(d) + [(700, [0.5] * (d + 1)), (701, [0.5] * (d - 1))]
+    assert found_clusters(cluster(vectors(spark, rows), k, rounds, d)) == clusters_plainly(rows, d, k, rounds)
+
+
+def test_clusters_of_ties_and_nothing(spark):
+    rows = [(i, [float(i % 2), 0.0]) for i in range(12)] + [(i, [0.5, 0.0]) for i in range(20, 24)]
+    assert found_clusters(cluster(vectors(spark, rows), 5, 4, 2)) == clusters_plainly(rows, 2, 5, 4)
+    for nothing in ([], [(1, None)], [(1, [1.0])]):
+        assert cluster(vectors(spark, nothing)).collect() == []
+
+
+def test_bounds_rule_out_but_never_the_nearest():
+    rng = np.random.default_rng(3)
+    y = np.concatenate([np.floor(1024 * (c + rng.standard_normal((200, 64)) * 0.3)) for c in rng.standard_normal((8, 64)) * np.linspace(2, 0.1, 64)]).astype(np.int64)
+    y[:3] *= 50_000
+    moments = np.concatenate([y.sum(axis=0), (y.T.astype(float) @ y).ravel()])
+    for stored in (1, 16, 64):
+        rotation = Rotation(len(y), moments, 64, stored)
+        centre = y[rng.choice(len(y), 20, replace=False)]
+        centre[7] = centre[3]
+        own, distance, computed = nearest(y, rotation.outline(y).astype(np.float32), centre, rotation.outline(centre))
+        exact = ((y[:, None, :] - centre[None, :, :]) ** 2).sum(axis=2)
+        assert (own == exact.argmin(axis=1)).all() and (distance == exact.min(axis=1)).all()
+        assert computed < (0.5 if stored > 1 else 1) * exact.size
+
+
+def test_clusters_of_all_embeddings(spark, folder):
+    connection = duckdb.connect()
+    connection.execute(f"create view embeddings as select * from read_parquet('{os.path.join(folder, 'embeddings.parquet')}')")
+    names = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    found = centroids.query(spark, folder)
+    assert found.columns == names
+    assert sorted(tuple(r) for r in found.collect()) == sorted(connection.sql(centroids.ORACLE).select(*names).fetchall())
