@@ -44,7 +44,7 @@ def above(a: np.ndarray, shift: float) -> int:
             count += d > 0
             if k + 1 < n:
                 c = s[k + 1 :, k]
-                s[k + 1 :, k + 1 :] -= np.outer(c, c / d)
+                s[k + 1 :, k + 1 :] -= np.outer(c, c) / d
         else:
             block = s[k : k + 2, k : k + 2].copy()
             det = block[0, 0] * block[1, 1] - block[0, 1] * block[1, 0]
@@ -52,7 +52,8 @@ def above(a: np.ndarray, shift: float) -> int:
             if k + 2 < n:
                 c = s[k + 2 :, k : k + 2].copy()
                 inverse = np.array([[block[1, 1], -block[0, 1]], [-block[1, 0], block[0, 0]]]) / det
-                s[k + 2 :, k + 2 :] -= c @ inverse @ c.T
+                update = c @ inverse @ c.T
+                s[k + 2 :, k + 2 :] -= (update + update.T) / 2
         k += width
     return count
 
