@@ -11,13 +11,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm.pieces import Pieces
+from tallystar.llm.pieces import MOST_PIECES, Memory, Pieces
 from tallystar.llm.spans import texts
 from tallystar.llm.tables import plain, table
 
-#: Layout, not limits: bytes of words and tokens in a query, and bytes of a word from which its steps, which
+#: Layout, not limits: bytes of words in a query, of texts encoded at once, and tokens in a query; and bytes of a word from which its steps, which
 #: a query writes down one and all, would take too much room.
-_WORD_BYTES = 1 << 19
+_WORD_BYTES = 1 << 17
+_TEXT_BYTES = 8 << 20
 _TOKENS = 1 << 20
 _LONG_WORD = 256
 
@@ -34,8 +35,7 @@ from parts join vocabulary l on l.bytes = parts.a join vocabulary r on r.bytes =
 # up the two pairs that are new. A word without a pair has no further step.
 _CONTRACT = """
 with recursive steps as (
-  select t.word, t.pos, t.id, m.id as merged, 0 as step
-  from tokens t left join tokens n on n.word = t.word and n.pos = t.pos + 1 left join merges m on m.l = t.id and m.r = n.id
+  select t.word, t.pos, t.id, m.id as merged, 0 as step from tokens t left join merges m on m.l = t.id and m.r = t.after
   union all
   select c.word, c.pos, c.id, case when c.beside is null then c.merged else m.id end, c.step
   from (
@@ -86,6 +86,9 @@ class Codec:
         vocabulary = pa.table({"bytes": pa.array(list(self.ranks), pa.binary()), "id": pa.array(list(self.ranks.values()), pa.int32())})
         self._run("create table vocabulary as select * from given", given=vocabulary)
         self._run(_MERGES)
+        self.known = np.zeros(max(self.ranks.values()) + 1, bool)
+        self.known[list(self.ranks.values())] = True
+        self.words = Memory()
         self.pieces = Pieces(self._learn)
 
     def _run(self, query: str, **tables: pa.Table) -> pa.Table | None:
@@ -97,18 +100,23 @@ class Codec:
             self.db.unregister(name)
         return out
 
-    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of words, by the query."""
+    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, by the query: one word's after the other's, and how many each has."""
         lens = np.array([len(w) for w in words])
+        ends = np.cumsum(lens)
+        ids = self.byte[np.frombuffer(b"".join(words), np.uint8)]
+        after = np.append(ids[1:], -1)
+        after[ends - 1] = -1
         tokens = pa.table(
             {
                 "word": np.repeat(np.arange(len(words), dtype=np.int32), lens),
-                "pos": (np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32),
-                "id": self.byte[np.frombuffer(b"".join(words), np.uint8)],
+                "pos": (np.arange(len(ids)) - np.repeat(ends - lens, lens)).astype(np.int32),
+                "id": ids,
+                "after": after,
             }
         )
         lists = self._run(_CONTRACT, tokens=tokens).column("ids").combine_chunks()
-        return np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+        return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
 
     def _contract_long(self, word: bytes) -> np.ndarray:
         """The same for one long word, whose steps would fill a table with the square of its length."""
@@ -135,27 +143,36 @@ class Codec:
         return np.array([self.ranks[t] for t in token if t], np.int32)
 
     def _learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of different pieces of text, which the pattern splits into words; each different word is contracted once."""
-        words = [[w.encode() for w in self.split(p.decode())] for p in pieces]
-        known: dict[bytes, np.ndarray] = {}
-        todo = []
-        for word in dict.fromkeys(w for ws in words for w in ws):
-            if word in self.ranks:
-                known[word] = np.array([self.ranks[word]], np.int32)
-            elif len(word) >= _LONG_WORD:
-                known[word] = self._contract_long(word)
+        """Ids of different pieces of text, which the pattern splits into words."""
+        split = [self.split(p.decode()) for p in pieces]
+        if len(self.words.places) > MOST_PIECES:
+            self.words = Memory()
+        flat_words = [w for ws in split for w in ws]
+        self._learn_words([w for w in dict.fromkeys(flat_words) if w not in self.words.places])
+        ids, lens = self.words.get(flat_words)
+        ends = np.concatenate([[0], np.cumsum(lens)])[np.cumsum([len(ws) for ws in split])]
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Each different word is contracted once."""
+        whole, todo, size = [], [], 0
+        for word in words:
+            coded = word.encode()
+            if coded in self.ranks:
+                whole.append((word, self.ranks[coded]))
+            elif len(coded) >= _LONG_WORD:
+                ids = self._contract_long(coded)
+                self.words.put([word], ids, np.array([len(ids)]))
             else:
-                todo.append(word)
-        ends = np.cumsum([len(w) for w in todo])
-        for k in np.split(np.arange(len(todo)), np.searchsorted(ends, np.arange(_WORD_BYTES, ends[-1] if len(todo) else 0, _WORD_BYTES))):
-            if len(k):
-                some = todo[k[0] : k[-1] + 1]
-                known.update(zip(some, self._contract(some), strict=True))
-        parts = [known[w] for ws in words for w in ws]
-        counts = np.array([len(ws) for ws in words])
-        lens = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        ends = lens[np.cumsum(counts)]
-        return np.concatenate(parts), np.diff(np.concatenate([[0], ends]))
+                todo.append((word, coded))
+                size += len(coded)
+                if size >= _WORD_BYTES:
+                    self.words.put([w for w, _ in todo], *self._contract([c for _, c in todo]))
+                    todo, size = [], 0
+        if todo:
+            self.words.put([w for w, _ in todo], *self._contract([c for _, c in todo]))
+        if whole:
+            self.words.put([w for w, _ in whole], np.array([i for _, i in whole], np.int32), np.ones(len(whole), np.int64))
 
     def decode(self, ids: np.ndarray, begins: np.ndarray) -> list[bytes]:
         """The bytes of lists of ids that lie one after the other."""
@@ -163,9 +180,10 @@ class Codec:
         n = np.diff(begins)
         text = np.repeat(np.arange(len(n)), n).astype(np.int32)
         pos = (np.arange(len(ids)) - np.repeat(begins[:-1], n)).astype(np.int32)
-        unknown = np.setdiff1d(ids, np.fromiter(self.ranks.values(), np.int64))
+        beyond = (ids < 0) | (ids >= len(self.known))
+        unknown = np.flatnonzero(beyond | ~self.known[np.where(beyond, 0, ids)])
         if len(unknown):
-            raise ValueError(f"no token has id {unknown[0]}")
+            raise ValueError(f"no token has id {ids[unknown[0]]}")
         # Lists of many tokens are decoded in parts, so that a query has a bounded number of rows.
         cuts = np.append(np.arange(0, len(ids), _TOKENS), len(ids))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -191,7 +209,7 @@ def _encoding(codec: Callable[[], Codec]):
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec()
         for batch in batches:
-            for some in texts(batch.column(1)):
+            for some in texts(batch.column(1), _TEXT_BYTES):
                 ids, begins = own.pieces.encode(some)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[some.rows.start : some.rows.stop], _lists(ids, begins)], ["key", "ids"])
 
@@ -207,7 +225,7 @@ def _decoding(codec: Callable[[], Codec]):
             if not batch.num_rows:
                 continue
             lists = batch.column(1)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             begins = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.decode(ids, begins), pa.binary())], ["key", "ids", "bytes"])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
@@ -45,37 +47,49 @@ def flat(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lens), lens)
 
 
+class Memory:
+    """Lists of ids by key, in one flat array."""
+
+    def __init__(self):
+        self.places: dict = {}
+        self.starts, self.lens, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def put(self, keys: list, ids: np.ndarray, lens: np.ndarray) -> None:
+        """New keys, the ids of all of them one after the other, and how many each has."""
+        lens = lens.astype(np.int64)
+        self.places.update(zip(keys, range(len(self.places), len(self.places) + len(keys)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lens) - lens])
+        self.lens = np.concatenate([self.lens, lens])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def get(self, keys: list, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of keys (of the keys numbered ``at``, if given) one after the other, and how many each has."""
+        places = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
+        places = places if at is None else places[at]
+        lens = self.lens[places]
+        return self.ids[flat(self.starts[places], lens)], lens
+
+
 class Pieces:
     """Ids of texts from the ids of their pieces, which ``learn`` gives for pieces not seen yet.
 
     ``learn`` takes a list of different pieces (bytes) and returns their ids, one after the other, and how many each has.
     """
 
-    def __init__(self, learn):
-        self.learn = learn
-        self._reset()
-
-    def _reset(self) -> None:
-        self.places: dict[bytes, int] = {}
-        self.starts, self.lens, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
+        self.learn, self.memory = learn, Memory()
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's begin (one more than texts)."""
-        if len(self.places) > MOST_PIECES:
-            self._reset()
+        if len(self.memory.places) > MOST_PIECES:
+            self.memory = Memory()
         starts = piece_starts(texts)
         offsets = np.append(starts, len(texts.buf)).astype(np.int64)
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(texts.buf)])
         coded = column.dictionary_encode()
         different = coded.dictionary.to_pylist()
-        new = [p for p in different if p not in self.places]
+        new = [p for p in different if p not in self.memory.places]
         if new:
-            ids, lens = self.learn(new)
-            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lens) - lens])
-            self.lens = np.concatenate([self.lens, lens])
-            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-        at = np.fromiter(map(self.places.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy()]
-        lens = self.lens[at]
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        return self.ids[flat(self.starts[at], lens)], ends[np.searchsorted(starts, texts.bounds)]
+            self.memory.put(new, *self.learn(new))
+        ids, lens = self.memory.get(different, coded.indices.to_numpy())
+        return ids, np.concatenate([[0], np.cumsum(lens)])[np.searchsorted(starts, texts.bounds)]
