@@ -5,21 +5,25 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystar.llm.pieces import MOST_PIECES, Memory, Pieces
+from tallystar.llm.pieces import Memory, Pieces
 from tallystar.llm.spans import texts
 from tallystar.llm.tables import plain, table
 
+#: Different words a worker keeps; beyond that its memory of words starts anew.
+MOST_WORDS = 900_000
 #: Layout, not limits: bytes of words in a query, of texts encoded at once, and tokens in a query; and bytes of a word from which its steps, which
 #: a query writes down one and all, would take too much room.
 _WORD_BYTES = 1 << 17
-_TEXT_BYTES = 8 << 20
-_TOKENS = 1 << 20
+_TEXT_BYTES = 4 << 20
+_TOKENS = 1 << 18
 _LONG_WORD = 256
 
 _MERGES = """
@@ -145,7 +149,7 @@ class Codec:
     def _learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different pieces of text, which the pattern splits into words."""
         split = [self.split(p.decode()) for p in pieces]
-        if len(self.words.places) > MOST_PIECES:
+        if len(self.words.places) > MOST_WORDS:
             self.words = Memory()
         flat_words = [w for ws in split for w in ws]
         self._learn_words([w for w in dict.fromkeys(flat_words) if w not in self.words.places])
@@ -233,12 +237,15 @@ def _decoding(codec: Callable[[], Codec]):
 
 
 def _once(ranks: bytes, pattern: str) -> Callable[[], Codec]:
-    made: list[Codec] = []
+    """One codec for each Python worker, which keeps it, and the words that it has met, for its later tasks."""
+    name = hashlib.sha256(ranks + pattern.encode()).hexdigest()
 
     def codec() -> Codec:
-        if not made:
-            made.append(Codec(ranks, pattern))
-        return made[0]
+        # A module of the worker's own: the globals of a pickled function live no longer than its task.
+        kept = vars(sys.modules.setdefault("tallystar_kept", ModuleType("tallystar_kept")))
+        if name not in kept:
+            kept[name] = Codec(ranks, pattern)
+        return kept[name]
 
     return codec
 
@@ -250,8 +257,8 @@ def encode(documents: DataFrame, ranks: bytes, pattern: str, key: str = "doc_id"
     leftmost of equals, until no pair has a rank. A word that is a token is that token. What ``tiktoken`` calls special
     tokens is ordinary text.
 
-    How: a task cuts its texts where no word reaches across and keeps the ids of the pieces it has met. The words of new
-    pieces are contracted by a recursive query of DuckDB: rows of (word, position, token) meet the table of
+    How: a task cuts its texts where no word reaches across; a worker keeps the ids of pieces and words it has met. New words
+    are contracted by a recursive query of DuckDB: rows of (word, position, token) meet the table of
     merges, and each step contracts the leftmost pair of least rank in every word. Words of at least 256 bytes, whose
     steps would fill a table with the square of their length, are contracted by the same rule one by one.
 

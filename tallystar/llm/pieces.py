@@ -10,7 +10,7 @@ import pyarrow as pa
 from tallystar.llm.spans import Texts
 
 #: Different pieces kept; beyond that the memory of pieces starts anew.
-MOST_PIECES = 1_000_000
+MOST_PIECES = 600_000
 
 # Bytes that may begin white space after a space: ASCII alone, others with their second byte.
 _WHITE = np.zeros(256, bool)
