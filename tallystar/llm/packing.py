@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.llm.spans import texts
 from tallystar.llm.tables import in_written_order, plain, running, table, unused
 from tallystar.llm.tokens import WordEncoder
 from tallystar.sources.scratch import pin
@@ -19,10 +20,9 @@ from tallystar.sources.scratch import pin
 CAPACITY = 2048
 #: Lengths are rounded up to so many grains of a sequence when patterns are fitted.
 GRAINS = 128
+#: Bytes of text encoded at once.
+_TEXT_BYTES = 8 << 20
 END = 0
-#: Texts encoded together, in characters.
-_TEXTS_CHARS = 4 << 20
-
 
 # --- patterns ------------------------------------------------------------------------
 
@@ -187,29 +187,28 @@ def pieces(
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids + "".join(f", order{k} long" for k in range(len(order)))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids + [f"order{k}" for k in range(len(order))]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * with_ids, *[pa.int64()] * len(order)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(vocabulary)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            places = list(zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True)) if order else [()] * len(texts)
-            begin = 0
-            while begin < len(texts):
-                end, chars = begin, 0
-                while end < len(texts) and (end == begin or chars + len(texts[end]) <= _TEXTS_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                rows = []
-                for doc, at, ids in zip(keys[begin:end], places[begin:end], encoder.encode(texts[begin:end]), strict=True):
-                    ids = np.append(ids, END).astype("<u4")
-                    first = len(ids) % capacity or capacity
-                    cuts = [0, *range(first, len(ids) + 1, capacity)]
-                    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        part = ids[a:b]
-                        rows.append((doc, i, a, b - a, zlib.crc32(part.tobytes()), *([part.astype(np.int32)] * with_ids), *at))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                begin = end
+            for some in texts(batch.column(1), _TEXT_BYTES):
+                ids, begins = encoder.encode_texts(some)
+                # Every document's own id at its end, and then the bounds of its pieces: the first takes what is left over.
+                ids, begins = np.insert(ids, begins[1:], END).astype("<u4"), begins + np.arange(len(begins))
+                n = np.diff(begins)
+                count = -(-n // capacity)
+                doc = np.repeat(np.arange(len(n)), count)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                start = np.where(piece == 0, 0, np.repeat(n - count * capacity, count) + piece * capacity)
+                length = np.append(start[1:], 0) - start
+                last = np.cumsum(count) - 1
+                length[last] = n - start[last]
+                data, ends = memoryview(ids.tobytes()), 4 * np.cumsum(length)
+                crc = [zlib.crc32(data[a:b]) for a, b in zip((ends - 4 * length).tolist(), ends.tolist(), strict=True)]
+                row = pa.array(doc + some.rows.start)
+                lists = [pa.ListArray.from_arrays(pa.array(np.append(0, ends // 4).astype(np.int32)), pa.array(ids.astype(np.int32)))] * with_ids
+                own = [batch.column(0).take(row), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*own, *lists, *[c.take(row) for c in batch.columns[2:]]], names)
 
     return docs.select(plain(key).cast("long"), plain(text), *[plain(c) for c in order]).toDF(*[f"c{i}" for i in range(2 + len(order))]).mapInArrow(cut, schema)
 

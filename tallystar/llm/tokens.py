@@ -1,19 +1,14 @@
-"""Token ids of a byte-level BPE, encoding each different word of a task once."""
+"""Token ids of a byte-level BPE, encoding each different piece of a task's texts once."""
 
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
+import pyarrow as pa
 
-#: Different words kept; beyond that the memory of words starts anew.
-MOST_WORDS = 1_000_000
-
-# Where white space stands alone, a space or line break always begins a new token, so
-# the pieces between can be encoded one by one. Other texts are encoded whole.
-_TOGETHER = re.compile(r"\s\s")
-
+from tallystar.llm.pieces import Pieces, flat, piece_starts
+from tallystar.llm.spans import Texts, texts
 
 def _byte_of_char() -> dict[str, int]:
     """The printable character that stands for each byte in vocabulary files of this kind."""
@@ -26,7 +21,8 @@ class WordEncoder:
     """Encodes texts as ``tokenizers`` does with the same file, without special tokens added.
 
     ``path`` is a vocabulary of ``tokenizers`` whose ids are the ranks of its merges.
-    Its words are handed to ``tiktoken``, which gives the same ids in less time.
+    Its words are handed to ``tiktoken``, which gives the same ids in less time. Texts that hold the string of
+    a special token, which cuts them elsewhere, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -39,47 +35,48 @@ class WordEncoder:
         byte = _byte_of_char()
         ranks = {bytes(byte[c] for c in word): i for word, i in content["model"]["vocab"].items() if word not in special}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special = list(special)
+        self.special = [x.encode() for x in special]
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         self.lengths[list(ranks.values())] = [len(w) for w in ranks]
-        self._reset()
-
-    def _reset(self) -> None:
-        self.places: dict[str, int] = {}
-        self.starts, self.lens, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pieces = Pieces(self._learn)
 
     def _whole(self, text: str) -> np.ndarray:
         return self.encoding.encode_to_numpy(text, allowed_special="all").astype(np.int32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        # A piece follows a space, if it does not start with its line break.
-        texts = [p if p[0] == "\n" else " " + p for p in pieces]
-        ids = self._whole("".join(texts))
-        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(t.encode()) for t in texts])) + 1
-        starts = np.concatenate([[0], ends[:-1]])
-        self.places.update(zip(pieces, range(len(self.places), len(self.places) + len(pieces)), strict=True))
-        self.starts = np.concatenate([self.starts, starts + len(self.flat)])
-        self.lens = np.concatenate([self.lens, ends - starts])
-        self.flat = np.concatenate([self.flat, ids])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; a batch learns its new words together."""
-        alone = [bool(_TOGETHER.search(t)) or t[-1:] == " " or any(s in t for s in self.special) for t in texts]
-        split = [[] if whole else t.replace("\n", " \n").split(" ") for t, whole in zip(texts, alone, strict=True)]
-        if len(self.places) > MOST_WORDS:
-            self._reset()
-        new = set().union(*(s[1:] for s in split)).difference(self.places)
-        if new:
-            self._learn(list(new))
-        out, place = [], self.places.__getitem__
-        for text, whole, pieces in zip(texts, alone, split, strict=True):
-            if whole or len(pieces) < 2:
-                out.append(self._whole(text))
-                continue
-            at = np.fromiter(map(place, pieces[1:]), np.int64, len(pieces) - 1)
-            lens = self.lens[at]
-            ends = np.cumsum(lens)
-            within = np.arange(int(ends[-1])) - np.repeat(ends - lens, lens)
-            rest = self.flat[np.repeat(self.starts[at], lens) + within]
-            out.append(np.concatenate([self._whole(pieces[0]), rest]) if pieces[0] else rest)
+    def _learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces that begin with a space before a word are encoded as one text, which is cut again by bytes; others alone."""
+        bounds = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        joined = np.frombuffer(b"".join(pieces), np.uint8)
+        # Where a piece still begins if all of them are one text, it may follow others.
+        begins = np.isin(bounds[:-1], piece_starts(Texts(slice(0, 1), joined, np.array([0, len(joined)]))))
+        follows = begins & (joined[bounds[:-1]] == 0x20)
+        sizes, order = np.diff(bounds), np.concatenate([np.flatnonzero(follows), np.flatnonzero(~follows)])
+        together = int(follows.sum())
+        parts = [self._whole(b"".join([pieces[i] for i in order[:together]]).decode())]
+        ends = np.searchsorted(np.cumsum(self.lengths[parts[0]]), np.cumsum(sizes[order[:together]])) + 1
+        parts += [self._whole(pieces[i].decode()) for i in order[together:]]
+        lens, starts = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        lens[order] = np.concatenate([np.diff(ends, prepend=0), [len(x) for x in parts[1:]]])
+        starts[order] = np.cumsum(lens[order]) - lens[order]
+        return np.concatenate(parts)[flat(starts, lens)], lens
+
+    def encode_texts(self, some: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, one after the other, and where each text's begin (one more than texts)."""
+        data = some.buf.tobytes()
+        if not any(s in data for s in self.special):
+            return self.pieces.encode(some)
+        out = []
+        for a, b in zip(some.bounds[:-1].tolist(), some.bounds[1:].tolist(), strict=True):
+            if any(s in data[a:b] for s in self.special):
+                out.append(self._whole(data[a:b].decode()))
+            else:
+                out.append(self.pieces.encode(Texts(slice(0, 1), some.buf[a:b], np.array([0, b - a])))[0])
+        return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
+
+    def encode(self, values: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[np.ndarray] = []
+        for some in texts(pa.array(values, pa.large_string())):
+            ids, begins = self.encode_texts(some)
+            out += np.split(ids, begins[1:-1])
         return out
