@@ -22,12 +22,14 @@ PERCENT = 90
 WIDTH = 3
 #: Near duplicates of the pipeline, as elsewhere: five words, 80 percent.
 STAGE_PERCENT, STAGE_WIDTH = 80, 5
-#: Layout, not limits: documents of a block, and columns multiplied at once.
+#: Layout, not limits: documents and n-grams of a block, and columns multiplied at once.
 BLOCK = 1024
+BLOCK_GRAMS = 1 << 20
 COLUMNS = 4096
-#: N-grams of one document in so many are common, in the pipeline. Three words are too often common for that: documents
-#: without rare parts would sign every n-gram.
-STAGE_COMMON = 512
+#: N-grams of one document in so many are common.
+COMMON = 2048
+#: Bytes of text in which n-grams are counted together.
+_COUNTED_BYTES = 16 << 20
 _NULL = -(2**63)
 
 
@@ -72,8 +74,9 @@ class Scheme:
     elements. A class of sizes up to ``high`` cuts every set into more parts, by hash,
     than two linked sets of the class can differ in; so some part is the same in both.
     Empty parts tell nothing: a set signs all its filled parts, and if these are not more than it
-    can differ in from a linked one, also each element by itself. Elements that very many sets have
-    can be left out of the parts, since sets without them differ no more; else all documents with a common passage would
+    can differ in from a linked one, also elements by themselves. Two linked sets have one in common among the first ``n - p n / 100 + 1``
+    of their n elements in any order that is the same for all sets; here common ones come last. Elements that very many sets have
+    are also left out of the parts, since sets without them differ no more; else all documents with a common passage would
     look alike where a part holds nothing but that. A set signs for
     its own class, and for the next if a larger partner may be there. Classes grow by a quarter, so from 80 percent
     on no partner is farther off, and parts hold about as much as they can.
@@ -102,6 +105,12 @@ class Scheme:
         rare = np.ones(len(grams), bool)
         if common is not None and len(common):
             rare = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] != grams
+        # Places of the elements, rare ones first, and how many of a set are signed at most.
+        rares = np.concatenate([[0], np.cumsum(rare)])
+        place_rare = rares[:-1] - rares[begin[owner]]
+        place_common = (rares[begin[1:]] - rares[begin[:-1]])[owner] + np.arange(len(grams)) - begin[owner] - place_rare
+        rank = np.where(rare, place_rare, place_common)
+        ahead = sizes + (-self.percent * sizes // 100) + 1
         own = np.searchsorted(self.highs, sizes)
         up = (sizes > 0) & (100 * sizes >= self.percent * (self.highs[own] + 1))
         signs, sets = [], []
@@ -124,7 +133,7 @@ class Scheme:
                 sets.append(part_set)
                 filled = np.bincount(part_set, minlength=len(sizes))
             unsure = chosen & (filled <= self._most_differing(sizes, kinds))
-            alone = unsure[owner]
+            alone = unsure[owner] & (rank < ahead[owner])
             signs.append(mix(grams[alone] + mix(kinds[owner[alone]].astype(np.uint64) + (np.uint64(1) << np.uint64(60)))))
             sets.append(owner[alone])
         return np.concatenate(signs), np.concatenate(sets)
@@ -135,7 +144,7 @@ def _often(width: int):
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in texts(batch.column(0)):
+            for t in texts(batch.column(0), _COUNTED_BYTES):
                 grams, counts = np.unique(ngram_sets(t, width)[0], return_counts=True)
                 several = counts >= 3
                 yield pa.RecordBatch.from_arrays([pa.array(grams[several].view(np.int64)), pa.array(counts[several])], ["gram", "n"])
@@ -238,38 +247,55 @@ def _links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 # --- products ------------------------------------------------------------------------------
 
 
-def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which sets are linked: their overlaps from products of the incidence matrix, some columns at a time."""
-    sizes = np.array([len(s) for s in sets])
-    total = sizes[:, None] + sizes[None, :]
-    least = np.minimum(sizes[:, None], sizes[None, :])
+def linked(sets: list[np.ndarray], percent: int, others: list[np.ndarray] | None = None) -> np.ndarray:
+    """Which sets are linked with each other, or with the ``others``: overlaps from products of incidence matrices, some columns at a time."""
+    square = others is None
+    both = sets if square else [*sets, *others]
+    size = np.array([len(s) for s in both])
+    n = len(sets)
+    left, right = np.arange(n), np.arange(n) if square else np.arange(n, len(both))
+    total = size[left][:, None] + size[right][None, :]
     # The overlap is the smaller set's size at most.
-    possible = (100 + percent) * least >= percent * total
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    shared = count[column] > 1
-    row, column = row[shared], np.cumsum(count > 1)[column[shared]] - 1
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    overlap = np.zeros((len(sets), len(sets)), np.float32)
-    np.fill_diagonal(overlap, sizes - np.bincount(row, minlength=len(sets)))
+    possible = (100 + percent) * np.minimum(size[left][:, None], size[right][None, :]) >= percent * total
+    if square:
+        np.fill_diagonal(possible, False)
+    row = np.repeat(np.arange(len(both)), size)
+    order = np.argsort(np.concatenate(both), kind="stable")
+    row, value = row[order], np.concatenate(both)[order]
+    column = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]]))
+    on_left = np.bincount(column, row < n)
+    count = np.bincount(column)
+    # Columns that no pair shares multiply to nothing.
+    met = count > 1 if square else (on_left > 0) & (on_left < count)
+    row, column = row[met[column]], (np.cumsum(met) - 1)[column[met[column]]]
+    overlap = np.zeros(possible.shape, np.float32)
     wide = int(column[-1]) + 1 if len(column) else 0
-    left = np.bincount(row, minlength=len(sets)).astype(np.float32)
+    rest = np.bincount(row, minlength=len(both)).astype(np.float32)
+
+    def incidence(rows: np.ndarray, columns: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        here = np.unique(rows)
+        part = np.zeros((len(here), width), np.float32)
+        part[np.searchsorted(here, rows), columns] = 1
+        return here, part
+
     for begin in range(0, wide, COLUMNS):
         a, b = np.searchsorted(column, [begin, begin + COLUMNS])
-        here = np.unique(row[a:b])
-        part = np.zeros((len(here), min(COLUMNS, wide - begin)), np.float32)
-        part[np.searchsorted(here, row[a:b]), column[a:b] - begin] = 1
-        overlap[np.ix_(here, here)] += part @ part.T
-        left -= np.bincount(row[a:b], minlength=len(sets))
+        rows, columns, width = row[a:b], column[a:b] - begin, min(COLUMNS, wide - begin)
+        if square:
+            (x, part) = (y, other) = incidence(rows, columns, width)
+        else:
+            x, part = incidence(rows[rows < n], columns[rows < n], width)
+            y, other = incidence(rows[rows >= n], columns[rows >= n], width)
+        overlap[np.ix_(x, y if square else y - n)] += part @ other.T
+        rest -= np.bincount(rows, minlength=len(both))
         if begin + COLUMNS < wide:
             # Pairs that cannot reach their bound with all columns left are out; sets without a pair need no more products.
-            possible &= (100 + percent) * (overlap + np.minimum(left[:, None], left[None, :])) >= percent * total
-            alive = (possible.sum(axis=1) > 1)[row[b:]]
-            row, column = np.concatenate([row[:b], row[b:][alive]]), np.concatenate([column[:b], column[b:][alive]])
-    out = possible & ((100 + percent) * overlap.astype(np.int64) >= percent * total)
-    np.fill_diagonal(out, False)
-    return out
+            possible &= (100 + percent) * (overlap + np.minimum(rest[left][:, None], rest[right][None, :])) >= percent * total
+            alive = possible.any(axis=1)
+            alive = alive | possible.any(axis=0) if square else np.concatenate([alive, possible.any(axis=0)])
+            going = alive[row[b:]]
+            row, column = np.concatenate([row[:b], row[b:][going]]), np.concatenate([column[:b], column[b:][going]])
+    return possible & ((100 + percent) * overlap.astype(np.int64) >= percent * total)
 
 
 def _products(percent: int):
@@ -277,13 +303,17 @@ def _products(percent: int):
         out: list[tuple[int, int]] = []
         for _, family in frame.groupby("family", sort=False):
             # Rows of one id may have several sets.
-            family = family.drop_duplicates(["id", "set1"])
-            ids = family["id"].to_numpy()
-            if len(ids) < 2:
-                continue
-            order = np.argsort(ids)
-            ids, sets = ids[order], [np.frombuffer(family["grams"].iloc[i], np.uint64) for i in order]
-            out += [(ids[a], ids[b]) for a, b in spanning(linked(sets, percent))]
+            family = family.drop_duplicates(["id", "set1", "row"]).sort_values("id", kind="stable")
+            ids, row = family["id"].to_numpy(), family["row"].to_numpy(dtype=bool)
+            sets = [np.frombuffer(g, np.uint64) for g in family["grams"]]
+            if not row.any():
+                matrix = linked(sets, percent) if len(ids) > 1 else np.zeros((1, 1), bool)
+            else:
+                x, y = np.flatnonzero(row), np.flatnonzero(~row)
+                matrix = np.zeros((len(ids), len(ids)), bool)
+                matrix[np.ix_(x, y)] = linked([sets[i] for i in x], percent, [sets[i] for i in y])
+                matrix |= matrix.T
+            out += [(ids[a], ids[b]) for a, b in spanning(matrix)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return products
@@ -296,8 +326,8 @@ def _grams(width: int):
                 values, begin = ngram_sets(t, width)
                 sets = pa.array([values[a:b].tobytes() for a, b in zip(begin, begin[1:], strict=False)], pa.binary())
                 check = pa.array(_sums(mix(values ^ _SALTS[0]), begin).view(np.int64))
-                id_, _, family, set1, of, block = (c.slice(t.rows.start, len(t)) for c in batch.columns)
-                out = pa.RecordBatch.from_arrays([id_, family, set1, sets, of, block], ["id", "family", "set1", "grams", "of", "block"])
+                id_, _, family, set1, of, block, row = (c.slice(t.rows.start, len(t)) for c in batch.columns)
+                out = pa.RecordBatch.from_arrays([id_, family, set1, sets, of, block, row], ["id", "family", "set1", "grams", "of", "block", "row"])
                 # Another row of the same id has another text.
                 yield out.filter(pc.equal(check, set1))
 
@@ -307,35 +337,36 @@ def _grams(width: int):
 def _products_of(docs: DataFrame, targets: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) that hold together what is linked in each group (``of``, ``block``) of ``targets``."""
     # A broadcast of the targets would follow their number; both sides are sorted and merged at any size.
-    rows = docs.join(targets.hint("merge"), "id").select("id", "text", "family", "set1", "of", "block")
-    grams = rows.mapInArrow(_grams(width), "id long, family long, set1 long, grams binary, of long, block long")
+    rows = docs.join(targets.hint("merge"), "id").select("id", "text", "family", "set1", "of", "block", "row")
+    grams = rows.mapInArrow(_grams(width), "id long, family long, set1 long, grams binary, of long, block long, row boolean")
     return pin(grams.groupBy("of", "block").applyInPandas(_products(percent), "a long, b long"))
 
 
 def links_within_families(docs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links (a, b) with the components of all links between members (id, set1, family).
+    """Links (a, b) with the components of all links between members (id, set1, n, family).
 
     Small families are multiplied whole, many to a task. A large family is cut into
-    blocks, each multiplied with itself and the family's first document. What hangs
+    blocks, by documents and by n-grams, each multiplied with itself and the family's first document. What hangs
     together then needs no more products within: only the documents
-    outside the largest part so far meet all blocks.
+    outside the largest part so far meet all blocks, as the rows of products whose columns are a block.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"))
-    sized = pin(members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("size") / BLOCK)))
-    buckets = max(4 * tasks, -(-sized.count() // BLOCK))
-    columns = ["id", "set1", "family", "of", "block"]
+    sizes = members.groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("blocks"), F.min("id").alias("first"))
+    sized = pin(members.join(sizes, "family"))
+    rows, grams = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = max(4 * tasks, -(-rows // BLOCK), -(-grams // BLOCK_GRAMS))
+    columns = ["id", "set1", "family", "of", "block", "row"]
     own = F.when(F.col("blocks") == 1, F.expr(f"pmod(xxhash64(family), {buckets}L)")).otherwise(F.expr("pmod(xxhash64(id), blocks)"))
     of = F.when(F.col("blocks") == 1, F.lit(_NULL)).otherwise(F.col("family"))
     first = sized.where("blocks > 1 and id = first").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    targets = sized.withColumn("block", own).withColumn("of", of).select(columns).unionByName(first.withColumn("of", F.col("family")).select(columns))
+    targets = sized.withColumn("block", own).withColumn("of", of).unionByName(first.withColumn("of", F.col("family"))).withColumn("row", F.lit(False)).select(columns)
     found = _products_of(docs, targets, percent, width)
 
     parts = components(found)
     large = sized.where("blocks > 1").join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
     by_part = large.groupBy("family", "part").count().groupBy("family").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
     large = pin(large.join(by_part, "family").withColumn("outside", F.col("part") != F.col("main")).drop("component", "main"))
-    outside = large.where("outside").groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rows"))
+    outside = large.where("outside").groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("rows"))
     if outside.isEmpty():
         return found
     both = large.join(outside, "family")
@@ -349,12 +380,13 @@ def links_within_families(docs: DataFrame, members: DataFrame, percent: int, wid
     at_row, at_column = F.expr("pmod(xxhash64(id, 2), rows)"), F.expr("pmod(xxhash64(id), blocks)")
     rows = both.where("outside").withColumn("r", at_row).withColumn("c", all_of("blocks"))
     cols = both.withColumn("c", at_column).withColumn("r", all_of("rows"))
-    targets = rows.unionByName(cols).withColumn("block", name("r", "c")).withColumn("of", F.col("family")).select(columns).distinct()
+    sides = rows.withColumn("row", F.lit(True)).unionByName(cols.withColumn("row", F.lit(False)))
+    targets = sides.withColumn("block", name("r", "c")).withColumn("of", F.col("family")).select(columns)
     return found.unionByName(_products_of(docs, targets, percent, width))
 
 
 def ngram_components(
-    docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common_one_in: int | None = None, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common_one_in: int | None = COMMON, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per document ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
@@ -364,7 +396,8 @@ def ngram_components(
     their union. Null text and text without words are linked with nothing.
 
     How: equal sets are one class. Each set signs its parts (``Scheme``), so that any
-    two linked sets share a signature; sets that do form families. Within a family the
+    two linked sets share a signature; sets that do form families. N-grams that one document in ``common_one_in`` or more
+    has (if given) sign last or not at all, so that a passage of many documents makes no family of them. Within a family the
     overlaps are blocked products of the incidence matrix of documents and n-grams;
     pairs that cannot reach the bound their sizes set are discarded on
     the way. Only links that hold components together leave a task, never all
@@ -383,7 +416,7 @@ def ngram_components(
     families = components(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, "a long, b long"))
 
     classes = measured.where("n > 0").groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))
-    members = classes.join(families, F.col("set1") == F.col("node")).select(F.col("rep").alias("id"), "set1", F.col("component").alias("family"))
+    members = classes.join(families, F.col("set1") == F.col("node")).select(F.col("rep").alias("id"), "set1", "n", F.col("component").alias("family"))
     parts = components(links_within_families(docs, members, percent, width))
     placed = classes.join(parts, F.col("rep") == F.col("node"), "left").select(
         F.col("set1").alias("s1"), F.col("set2").alias("s2"), F.col("n").alias("m"), F.coalesce("component", "rep").alias("component")
@@ -402,7 +435,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows equal in id and text one stays; rows that share an id but not the text stay together.
     """
     (id_name,) = unused(docs.columns, "__id")
-    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH, STAGE_COMMON).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_name)).distinct()
+    groups = ngram_components(docs, STAGE_PERCENT, STAGE_WIDTH).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_name)).distinct()
     return docs.join(groups, plain("doc_id").cast("long").eqNullSafe(F.col(id_name)), "left_semi").dropDuplicates(["doc_id", "text"])
 
 

@@ -123,6 +123,37 @@ def test_products_agree_with_sets(monkeypatch):
             assert out[i, j] == (i != j and 100 * len(np.intersect1d(a, b)) >= 60 * len(np.union1d(a, b)))
 
 
+def test_products_of_two_sides_agree_with_sets(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 30)).astype(np.uint64)) for _ in range(60)]
+    out = linked(sets[:20], 60, sets[20:])
+    assert out.shape == (20, 40) and out.any()
+    for i, a in enumerate(sets[:20]):
+        for j, b in enumerate(sets[20:]):
+            assert out[i, j] == (100 * len(np.intersect1d(a, b)) >= 60 * len(np.union1d(a, b)))
+
+
+def test_blocks_by_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 500)
+    rng = np.random.default_rng(4)
+    rows = list(enumerate(copies(rng, 60, 80, 4) + copies(rng, 40, 50, 8)))
+    assert found(ngram_components(documents(spark, rows))) == expected(rows, 90, 3)
+
+
+@pytest.mark.parametrize("percent, width", [(90, 3), (80, 5)])
+def test_strangers_with_one_passage_are_no_family(spark, monkeypatch, percent, width):
+    sent = []
+    original = ngram_join._products_of
+    monkeypatch.setattr(ngram_join, "_products_of", lambda docs, targets, *a: sent.append(targets.count()) or original(docs, targets, *a))
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, " ".join(f"y{k}" for k in rng.integers(0, 10**7, n)) + " " + passage) for i, n in enumerate(rng.integers(20, 300, 3000))]
+    rows += [(3000 + i, t) for i, t in enumerate(copies(rng, 20, 100, 3))]
+    assert found(ngram_components(documents(spark, rows), percent, width))[:3000] == sorted((i, len(grams(t, width)), i) for i, t in rows[:3000])
+    assert sum(sent) <= 2 * len(rows)
+
+
 def test_one_document_of_each_group_stays(spark):
     df = documents(spark, [(5, "a b c d e f g h"), (3, "A b c d e f g h"), (7, None), (8, ""), (9, "z"), (9, "z")], clashes=True)
     out = ngram_join.stage(spark, df, "")
