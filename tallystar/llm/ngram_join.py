@@ -29,7 +29,7 @@ COLUMNS = 4096
 #: N-grams of one document in so many are common.
 COMMON = 2048
 #: Bytes of text in which n-grams are counted together.
-_COUNTED_BYTES = 16 << 20
+_COUNTED_BYTES = 4 << 20
 _NULL = -(2**63)
 
 
