@@ -2,54 +2,73 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.sources.scratch import pin
+#: Rows that one task sorts and numbers where the number of rows is told.
+ROWS_PER_RANGE = 1 << 20
+#: Most ranges (their bounds go to every task), rows sampled for each, and in all.
+MOST_RANGES = 1 << 16
+_SAMPLED = 100
+_MOST_SAMPLED = 1 << 20
+_HASHES = 1 << 32
 
-# monotonically_increasing_id puts the partition number above bit 33 and the
-# position within the partition below it.
-_POSITION_BITS = 33
 
+def _range_of(key: Column, bounds: Column, ranges: int, df: DataFrame) -> DataFrame:
+    """``df`` with ``__range``, the number of bounds up to the key: a binary search, one step for each bit."""
+    df = df.withColumns({"__bounds": bounds, "__range": F.lit(0)})
+    for bit in reversed(range((ranges - 1).bit_length())):
+        beyond = F.col("__range") + (1 << bit)
+        reached = (beyond <= ranges - 1) & (F.get("__bounds", beyond - 1) <= key)
+        df = df.withColumn("__range", F.when(reached, beyond).otherwise(F.col("__range")))
+    return df.drop("__bounds")
 
-def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str]) -> DataFrame:
+
+def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str], rows: int | None = None) -> DataFrame:
     """``df`` with ids 1..N (bigint) in the order of ``order_by``.
 
     The ids equal ``row_number() over (order by order_by, <other columns>)``, but
     no task sees more than its own range of rows:
 
-    1. a range-partitioned sort, where each row notes its partition and its
-       position in it, written to the scratch folder: the bounds of a range
-       partitioning are sampled, so the rows must be numbered and counted from
-       one and the same copy;
-    2. row counts per partition and their running sum: one row per partition,
-       from a column that is constant in each file and takes next to no space;
-    3. id = rows in earlier partitions + position, with no further shuffle.
+    1. bounds of the ranges from a sample, which the hash of a whole row decides: the same rows in every run, and as
+       many from each part of the order as there are different rows;
+    2. rows per range, and the running sum of these: one row per range;
+    3. one shuffle by the number of the range, a sort within it, and id = rows in earlier ranges + position.
+
+    All of it is one query. The bounds are values, not sampled anew by each reader, so counting and numbering see the same
+    ranges and nothing is written in between. ``df`` is read for the sample, the counts and the
+    rows (and once more for its number of rows if ``rows``, about how many there are, is not given): if it ends in a
+    shuffle, as a distinct does, these read the files of that one shuffle. Pin other frames that are dear to compute.
 
+    ``rows`` only sets the number of ranges and the sample: where a task can sort them all there is one range.
     All columns take part in the order, so that the ids are the same for every
     partitioning and a key value shared by many rows is still cut into several
     ranges. Rows should be distinct (equal rows get different ids, but all of
     them in one task); the star tables are.
     """
-    order = [*order_by, *(c for c in df.columns if c not in order_by)]
-    slot = F.col("__slot")
-    numbered = pin(
-        df.orderBy(*order)
-        .withColumn("__slot", F.monotonically_increasing_id())
-        .withColumn("__part", F.shiftright(slot, _POSITION_BITS))
-        .withColumn("__position", slot.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
-        .drop("__slot")
-    )
-
-    # One row per partition, so neither the window nor the broadcast grows with the rows.
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        numbered.groupBy("__part")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
-    )
-    return numbered.join(F.broadcast(offsets), "__part").select(
-        *df.columns, (F.col("__before") + F.col("__position") + 1).alias(id_column)
-    )
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    order = [F.col(f"`{c}`") for c in [*order_by, *(c for c in df.columns if c not in order_by)]]
+    ranges = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
+    if rows is not None:
+        ranges = max(1, min(ranges, math.ceil(rows / ROWS_PER_RANGE)))
+    if ranges == 1:
+        number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return df.select(*columns, number.alias(id_column))
+
+    key = F.struct(*order)
+    total = F.lit(rows) if rows is not None else df.agg(F.count(F.lit(1))).scalar()
+    below = F.lit(float(min(_SAMPLED * ranges, _MOST_SAMPLED)) * _HASHES) / F.greatest(total, F.lit(1))
+    sampled = F.when(F.pmod(F.xxhash64(*order), F.lit(_HASHES)) < below, key)
+    sample = df.agg(F.sort_array(F.collect_list(sampled)).alias("s"))
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("s", (i * F.size("s") / ranges).cast("int")))
+    ranged = _range_of(key, sample.select(cuts).scalar(), ranges, df)
+
+    # One row per range, so neither the window nor the broadcast grows with the rows.
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")).select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    within = Window.partitionBy("__range").orderBy(*order)
+    numbered = ranged.repartitionById(ranges, F.col("__range")).withColumn("__position", F.row_number().over(within))
+    return numbered.join(F.broadcast(offsets), "__range").select(*columns, (F.col("__before") + F.col("__position")).alias(id_column))

@@ -3,17 +3,16 @@
     spark-submit run_job.py star sales.csv output
     spark-submit run_job.py reports output output-reports --year 2011
 
-Every table is a folder of files named after it, such as output/time_dim.csv.
+Every table is a folder of files named after it, such as time_dim.csv; those of a star lie in the folder of its
+version, which the newest file of output/manifests names.
 """
 
 from __future__ import annotations
 
 import argparse
-import json
 from collections.abc import Callable, Collection, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,12 +24,13 @@ from tallystar.plans.star import (
     inventory_fact,
     product_dimension,
     repeated_keys,
+    sales_without_date,
     time_dimension,
-    undated_sales,
 )
 from tallystar.session import PARTITION_BYTES, fit_shuffles, prepare
 from tallystar.sources.scratch import pin, scratch_of_job
 from tallystar.sources.tables import read_table, read_written, table_path, write_csv, write_table
+from tallystar.sources.versions import Version, current
 
 # The year, the category and the number of customers the reports show.
 YEAR = 2011
@@ -40,8 +40,6 @@ TOP_CUSTOMERS = 10
 Schema = StructType | str
 
 
-# The table that holds the schemas of the others, one row each.
-SCHEMAS = "star_schemas"
 # Rows the star leaves out or that will count more than once, by table.
 CHECKS = "star_checks"
 IDS = {
@@ -62,58 +60,83 @@ def build_star(
     lenient_dates: bool = False,
     only: Collection[str] = tuple(IDS),
 ) -> dict[str, StructType]:
-    """Write the five dimensions and the fact below ``out``; gives the schema of each.
+    """Write the five dimensions and the fact as a new version of the star in ``out``; gives the schema of each table written.
 
-    Also written are the schemas, for the reports to read, and, unless ``only`` some of the tables are asked
-    for, ``star_checks``: how many distinct sales have no date and so are in no fact, and how many
+    Readers see the new tables all at once, when the last is written (``sources.versions``); if the job fails they keep the old
+    ones. With ``only`` some tables are rebuilt and the others stay as they are. The fact refers to the ids of the time table, so the
+    one is never rebuilt without the other.
+
+    Also written, unless ``only`` some of the tables are asked
+    for, is ``star_checks``: how many distinct sales have no date and so are in no fact, and how many
     natural keys have several rows in their dimension, which multiplies their sales.
 
     The six tables read different columns of ``source``. Parquet lets each read
     only its own, so pass a Parquet frame, or pin a CSV first: otherwise its text
-    is parsed six times.
+    is parsed six times, and once more to learn how many rows the tables will have.
     """
     spark = source.sparkSession
-    schemas: dict[str, StructType] = {}
+    version = Version(spark, out)
+    wanted = set(only)
+    if "inventory_fact" in wanted or "time_dim" in wanted and "inventory_fact" in version.before.tables:
+        wanted |= {"inventory_fact", "time_dim"}
+    dimensions = {"customers_dim": layout.customer, "products_dim": layout.product, "sellers_dim": layout.seller, "transaction_dim": layout.transaction}
+    counted = [F.approx_count_distinct(f"`{columns[0]}`").alias(name) for name, columns in dimensions.items() if name in wanted]
+    rows = source.agg(F.count(F.lit(1)).alias("inventory_fact"), *counted).first().asDict()
 
-    def write(name: str, table: Callable[[], DataFrame]) -> None:
-        if name in only:
-            made = table()
-            write_table(made, table_path(out, name, fmt), fmt)
-            schemas[name] = made.schema
+    def write(name: str, made: DataFrame) -> None:
+        write_table(made, version.add(name, fmt, made.schema).path, fmt)
 
     def written(name: str) -> DataFrame:
-        return read_written(spark, table_path(out, name, fmt), fmt, schemas[name])
+        there = version.added[name]
+        return read_written(spark, there.path, fmt, there.schema)
 
-    with scratch_of_job(spark):
-        if "inventory_fact" in only:
-            only = {*only, "time_dim"}
-        write("time_dim", lambda: time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
-        write("inventory_fact", lambda: inventory_fact(source, written("time_dim"), layout.fact, layout.date))
-        for name, columns in (("customers_dim", layout.customer), ("sellers_dim", layout.seller), ("transaction_dim", layout.transaction)):
-            write(name, lambda c=columns, n=name: distinct_dimension(source, c, IDS[n]))
-        write("products_dim", lambda: product_dimension(source, layout.product, layout.stock))
-        if set(IDS) <= set(only):
-            keys = {"customers_dim": layout.customer, "products_dim": layout.product, "sellers_dim": layout.seller, "transaction_dim": layout.transaction}
-            checks = [undated_sales(source, written("time_dim"), layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
-            checks += [repeated_keys(written(n), c[0]).select(F.lit(n).alias("TABLE"), F.lit("repeated keys").alias("CHECK")) for n, c in keys.items()]
-            all_checks = spark.createDataFrame([("inventory_fact", "undated sales"), *((n, "repeated keys") for n in keys)], "TABLE string, CHECK string")
-            counts = reduce(DataFrame.unionByName, checks).groupBy("TABLE", "CHECK").agg(F.count(F.lit(1)).alias("ROWS"))
-            report = all_checks.join(counts, ["TABLE", "CHECK"], "left").select("TABLE", "CHECK", F.coalesce("ROWS", F.lit(0)).alias("ROWS"))
-            write_table(report.orderBy("TABLE"), table_path(out, CHECKS, fmt), fmt)
-        rows = [(name, schema.json()) for name, schema in schemas.items()]
-        spark.createDataFrame(rows, "name string, schema string").coalesce(1).write.mode("overwrite").json(table_path(out, SCHEMAS, "json"))
+    try:
+        with scratch_of_job(spark):
+            if "time_dim" in wanted:
+                write("time_dim", time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
+            if "inventory_fact" in wanted:
+                write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=rows["inventory_fact"]))
+            for name in dimensions:
+                if name == "products_dim" and name in wanted:
+                    write(name, product_dimension(source, layout.product, layout.stock, rows=rows[name]))
+                elif name in wanted:
+                    write(name, distinct_dimension(source, dimensions[name], IDS[name], rows=rows[name]))
+            schemas = {name: version.added[name].schema for name in IDS if name in wanted}
+            if set(IDS) <= wanted:
+                checks = [sales_without_date(source, layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
+                checks += [repeated_keys(written(n), c[0]).select(F.lit(n).alias("TABLE"), F.lit("repeated keys").alias("CHECK")) for n, c in dimensions.items()]
+                all_checks = spark.createDataFrame([("inventory_fact", "undated sales"), *((n, "repeated keys") for n in dimensions)], "TABLE string, CHECK string")
+                counts = reduce(DataFrame.unionByName, checks).groupBy("TABLE", "CHECK").agg(F.count(F.lit(1)).alias("ROWS"))
+                report = all_checks.join(counts, ["TABLE", "CHECK"], "left").select("TABLE", "CHECK", F.coalesce("ROWS", F.lit(0)).alias("ROWS"))
+                write(CHECKS, report.orderBy("TABLE"))
+        version.publish()
+    except BaseException:
+        version.discard()
+        raise
     return schemas
 
 
 def stored_schemas(spark: SparkSession, star: str) -> dict[str, StructType]:
-    """The schemas ``build_star`` wrote; none for a star of another origin."""
-    try:
-        rows = spark.read.schema("name string, schema string").json(table_path(star, SCHEMAS, "json")).collect()  # one row per table
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return {r["name"]: StructType.fromJson(json.loads(r["schema"])) for r in rows}
+    """The schemas of the tables of a star that ``build_star`` wrote; none for a star of another origin."""
+    return {name: there.schema for name, there in current(spark, star).tables.items() if name in IDS}
+
+
+def read_star(spark: SparkSession, star: str, name: str, fmt: str = "csv", schema: Schema | None = None) -> DataFrame:
+    """Table ``name`` of a star: as the newest version has it, or what lies in the folder if another program wrote the star."""
+    return _reader(spark, star, fmt, {} if schema is None else {name: schema})(name)
+
+
+def _reader(spark: SparkSession, star: str, fmt: str, schemas: Mapping[str, Schema]) -> Callable[[str], DataFrame]:
+    """Reads tables of one and the same version, also while a new one is built."""
+    manifest = current(spark, star)
+
+    def read(name: str) -> DataFrame:
+        there = manifest.tables.get(name)
+        if there is not None:
+            return read_written(spark, there.path, there.fmt, schemas.get(name, there.schema))
+        return read_written(spark, table_path(star, name, fmt), fmt, schemas.get(name))
+
+    return read
 
 
 def run_reports(
@@ -128,16 +151,16 @@ def run_reports(
 ) -> dict[str, DataFrame]:
     """Write the five reports as CSV below ``out``; gives them as frames that read what was written.
 
-    ``schemas`` are those of ``build_star``, by default as it stored them; without
-    them the types of a CSV star are inferred. Tables of a CSV star that several reports
+    The star is the newest version of ``build_star``, whose manifest says format and types; or one of another origin in format
+    ``fmt``, with types from ``schemas`` or inferred. Tables of a CSV star that several reports
     read are parsed once. Sellers take no part in any report and are not read.
     """
-    if schemas is None:
-        schemas = stored_schemas(spark, star)
+    stored = current(spark, star).tables
+    read = _reader(spark, star, fmt, schemas or {})
 
     def table(name: str, often: bool = True) -> DataFrame:
-        read = read_written(spark, table_path(star, name, fmt), fmt, schemas.get(name))
-        return pin(read) if often and fmt == "csv" else read
+        text = (stored[name].fmt if name in stored else fmt) == "csv"
+        return pin(read(name)) if often and text else read(name)
 
     with scratch_of_job(spark):
         fact, time = table("inventory_fact"), table("time_dim")
@@ -172,7 +195,7 @@ def main(args: list[str] | None = None) -> None:
     report.add_argument("--category", default=str(CATEGORY), help="a category, or 'all'")
     report.add_argument("--top", type=int, default=TOP_CUSTOMERS)
     for job in (star, report):
-        job.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of the star")
+        job.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of the star; reports of a star built here need not say it")
         job.add_argument("--split-bytes", type=int, help="input a task reads; the session's setting if not given")
         job.add_argument("--partition-bytes", type=int, default=PARTITION_BYTES, help="input per shuffle partition")
     given = parser.parse_args(args)
@@ -189,8 +212,9 @@ def main(args: list[str] | None = None) -> None:
     else:
         category = None if given.category == "all" else given.category
         # Only the splits count here, and one declared column spares inferring the types.
-        fact = table_path(given.star, "inventory_fact", given.format)
-        fit_shuffles(spark.read.schema("FACT_ID BIGINT").format(given.format).load(fact), *sizes)
+        stored = current(spark, given.star).tables.get("inventory_fact")
+        path, fmt = (stored.path, stored.fmt) if stored else (table_path(given.star, "inventory_fact", given.format), given.format)
+        fit_shuffles(spark.read.schema("FACT_ID BIGINT").format(fmt).load(path), *sizes)
         run_reports(spark, given.star, given.out, given.year, category, given.top, given.format)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallystar.functions.dates import date_parts, in_year, parse_date
 from tallystar.operators.surrogate import dense_surrogate_key
 from tallystar.plans import reports
-from tallystar.plans.jobs import IDS, build_star, run_reports
+from tallystar.plans.jobs import IDS, build_star, read_star, run_reports
 from tallystar.plans.order_tables import LAYOUT, MONEY, SCHEMAS, OrderTables
 from tallystar.plans.star import (
     distinct_dimension,
@@ -23,7 +23,7 @@ from tallystar.plans.star import (
 )
 from tallystar.session import fit_shuffles, prepare
 from tallystar.sources.scratch import pin, scratch_path
-from tallystar.sources.tables import read_csv, read_written, table_path, write_csv
+from tallystar.sources.tables import read_csv, write_csv
 
 Query = Callable[[OrderTables], DataFrame]
 
@@ -195,7 +195,7 @@ def group_by_expression(t: OrderTables) -> DataFrame:
 
 def dense_key(t: OrderTables) -> DataFrame:
     pairs = t.table("orders").select("o_custkey", "o_orderpriority").dropDuplicates()
-    return dense_surrogate_key(pairs, "id", ["o_custkey", "o_orderpriority"])
+    return dense_surrogate_key(pairs, "id", ["o_custkey", "o_orderpriority"], t.rows("orders"))
 
 
 # Sort and limit
@@ -222,15 +222,15 @@ def top_k(t: OrderTables) -> DataFrame:
 
 
 def dim_customer(t: OrderTables) -> DataFrame:
-    return distinct_dimension(t.ordering_customers(), LAYOUT.customer, "CUSTOMER_DIM_ID")
+    return distinct_dimension(t.ordering_customers(), LAYOUT.customer, "CUSTOMER_DIM_ID", t.rows("customer"))
 
 
 def dim_product(t: OrderTables) -> DataFrame:
-    return product_dimension(t.stocked_products(), LAYOUT.product, LAYOUT.stock)
+    return product_dimension(t.stocked_products(), LAYOUT.product, LAYOUT.stock, rows=t.rows("part"))
 
 
 def dim_seller(t: OrderTables) -> DataFrame:
-    return distinct_dimension(t.selling_sellers(), LAYOUT.seller, "SELLER_DIM_ID")
+    return distinct_dimension(t.selling_sellers(), LAYOUT.seller, "SELLER_DIM_ID", t.rows("supplier"))
 
 
 def dim_time(t: OrderTables) -> DataFrame:
@@ -242,11 +242,11 @@ def dim_time_text(t: OrderTables) -> DataFrame:
 
 
 def dim_transaction(t: OrderTables) -> DataFrame:
-    return distinct_dimension(t.transactions(), LAYOUT.transaction, "TRANSACTION_DIM_ID")
+    return distinct_dimension(t.transactions(), LAYOUT.transaction, "TRANSACTION_DIM_ID", t.rows("orders"))
 
 
 def fact_inventory(t: OrderTables) -> DataFrame:
-    return inventory_fact(t.sale_lines(), pin(time_dimension(t.sale_dates())), LAYOUT.fact)
+    return inventory_fact(t.sale_lines(), pin(time_dimension(t.sale_dates())), LAYOUT.fact, rows=t.rows("lineitem"))
 
 
 # Reports
@@ -290,7 +290,7 @@ def job_build_star(t: OrderTables) -> DataFrame:
     out = scratch_path(t.spark)
     build_star(pin(t.wide()), out, LAYOUT, fmt="parquet")
     counts = [
-        t.spark.read.parquet(table_path(out, name, "parquet")).select(
+        read_star(t.spark, out, name).select(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
             F.min(key).alias("first_id"),
@@ -307,8 +307,8 @@ def _built(name: str, fmt: str) -> Query:
 
     def query(t: OrderTables) -> DataFrame:
         out = scratch_path(t.spark)
-        schemas = build_star(pin(t.wide()), out, LAYOUT, fmt=fmt, only=[name])
-        return read_written(t.spark, table_path(out, name, fmt), fmt, schemas[name])
+        build_star(pin(t.wide()), out, LAYOUT, fmt=fmt, only=[name])
+        return read_star(t.spark, out, name)
 
     return query
 
@@ -409,8 +409,17 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# Shuffle partitions that fit the lines of a folder, by application: the files are looked at once.
+_FITTED: dict[tuple[str, str], int] = {}
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """Query ``name`` over the tables of ``folder``."""
     tables = OrderTables(prepare(spark), folder)
-    fit_shuffles(tables.table("lineitem"))
+    key = spark.sparkContext.applicationId, folder
+    if key not in _FITTED:
+        _FITTED[key] = fit_shuffles(tables.table("lineitem"))
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if present < _FITTED[key]:
+        spark.conf.set("spark.sql.shuffle.partitions", str(_FITTED[key]))
     return QUERIES[name](tables)

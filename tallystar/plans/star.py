@@ -1,4 +1,7 @@
-"""Dimensions and the fact table out of one wide table of sales."""
+"""Dimensions and the fact table out of one wide table of sales.
+
+``rows`` is about how many rows a table will have, if that is known: see ``dense_surrogate_key``.
+"""
 
 from __future__ import annotations
 
@@ -12,26 +15,27 @@ from pyspark.sql import types as T
 from tallystar.functions.dates import DATE_FORMAT, date_parts, parse_date
 from tallystar.operators.surrogate import dense_surrogate_key
 
-
+#: Rows a calendar is taken to have at most: one task sorts it.
+DAYS = 1 << 18
 #: Letters of date formats for times of day and zones.
 _FINER = set("aBhHkKmsSAnNVvzOXx")
 
 
-def distinct_dimension(source: DataFrame, columns: Sequence[str], id_column: str) -> DataFrame:
+def distinct_dimension(source: DataFrame, columns: Sequence[str], id_column: str, rows: int | None = None) -> DataFrame:
     """The distinct values of ``columns`` with an id: customers, sellers, transactions.
 
     Rows are kept whole, so a customer with two addresses has two rows, and each
     of their sales joins both. ``repeated_keys`` finds them.
     """
-    return dense_surrogate_key(source.select(*columns).dropDuplicates(), id_column, columns)
+    return dense_surrogate_key(source.select(*columns).dropDuplicates(), id_column, columns, rows)
 
 
 def product_dimension(
-    source: DataFrame, columns: Sequence[str], stock: str, id_column: str = "PRODUCT_DIM_ID"
+    source: DataFrame, columns: Sequence[str], stock: str, id_column: str = "PRODUCT_DIM_ID", rows: int | None = None
 ) -> DataFrame:
     """One row per product, with the smallest of its stock values."""
     products = source.groupBy(*columns).agg(F.min(stock).alias(stock))
-    return dense_surrogate_key(products, id_column, columns)
+    return dense_surrogate_key(products, id_column, columns, rows)
 
 
 def calendar(
@@ -59,10 +63,11 @@ def time_dimension(
     fmt: str = DATE_FORMAT,
     id_column: str = "TIME_DIM_ID",
     lenient: bool = False,
+    rows: int | None = DAYS,
 ) -> DataFrame:
     """``calendar`` with ids that follow the calendar, not the text of the date."""
     days = calendar(source, date, fmt, lenient)
-    return dense_surrogate_key(days, id_column, ["__day", date]).drop("__day")
+    return dense_surrogate_key(days, id_column, ["__day", date], rows).drop("__day")
 
 
 def inventory_fact(
@@ -72,6 +77,7 @@ def inventory_fact(
     date: str = "Date",
     id_column: str = "FACT_ID",
     time_id: str = "TIME_DIM_ID",
+    rows: int | None = None,
 ) -> DataFrame:
     """The distinct sales with the id of their date; sales without a date drop out.
 
@@ -81,7 +87,7 @@ def inventory_fact(
     """
     sales = source.select(date, *columns).dropDuplicates()
     dated = sales.join(time.select(date, time_id), date).select(time_id, *columns)
-    return dense_surrogate_key(dated, id_column, [time_id, *columns]).select(
+    return dense_surrogate_key(dated, id_column, [time_id, *columns], rows).select(
         id_column, time_id, *columns
     )
 
@@ -96,3 +102,11 @@ def undated_sales(
 ) -> DataFrame:
     """The distinct sales that ``inventory_fact`` leaves out."""
     return source.select(date, *columns).dropDuplicates().join(time, date, "left_anti")
+
+
+def sales_without_date(source: DataFrame, columns: Sequence[str], date: str = "Date") -> DataFrame:
+    """``undated_sales`` where the calendar was made of the same ``source``: then only sales whose date is null have no day.
+
+    The scan looks for these, so the other sales are neither made distinct nor joined again.
+    """
+    return source.where(F.col(date).isNull()).select(date, *columns).dropDuplicates()

@@ -10,12 +10,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallystar.plans import jobs, reports
-from tallystar.plans.jobs import build_star, main, run_reports, stored_schemas
+from tallystar.plans.jobs import build_star, main, read_star, run_reports, stored_schemas
 from tallystar.plans.layout import StarLayout
 from tallystar.plans.order_tables import OrderTables
 from tallystar.plans.star import inventory_fact, time_dimension
 from tallystar.sources.scratch import pin, scratch_path
-from tallystar.sources.tables import read_csv, read_written, table_path, write_csv
+from tallystar.sources.tables import read_csv, table_path, write_csv, write_table
+from tallystar.sources.versions import current
 from tests.data import ROWS, SCHEMA, table, wide
 
 TABLES = ["inventory_fact", "customers_dim", "products_dim", "sellers_dim", "time_dim", "transaction_dim"]
@@ -39,7 +40,8 @@ def test_star_tables(spark, star):
     path, fmt, schemas = star
     assert sorted(schemas) == sorted(TABLES)
     for name, schema in schemas.items():
-        written = read_written(spark, table_path(path, name, fmt), fmt, schema)
+        written = read_star(spark, path, name)
+        assert written.schema.simpleString() == schema.simpleString()
         ids = [c for c in written.columns if c == "FACT_ID" or c.endswith("_DIM_ID")]
         own = "FACT_ID" if name == "inventory_fact" else ids[-1]
         values = [r[0] for r in written.select(own).orderBy(own).collect()]
@@ -63,7 +65,7 @@ def test_reports(spark, star):
 
 def test_checks_of_the_star(spark, star):
     path, fmt, _ = star
-    got = read_written(spark, table_path(path, "star_checks", fmt), fmt)
+    got = read_star(spark, path, "star_checks")
     assert table(got) == [
         ("customers_dim", "repeated keys", 1),
         ("inventory_fact", "undated sales", 1),
@@ -79,6 +81,68 @@ def test_schemas_are_stored_with_the_star(spark, star):
     assert stored_schemas(spark, scratch_path(spark)) == {}
 
 
+def sums(spark, path):
+    out = run_reports(spark, path, scratch_path(spark), 2011)
+    return {name: [tuple(r) for r in report.collect()] for name, report in out.items()}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_job_that_fails_leaves_the_old_star(spark, monkeypatch, fmt):
+    path = scratch_path(spark)
+    build_star(wide(spark), path, fmt=fmt)
+    before, old = sums(spark, path), current(spark, path)
+    more = ROWS + [tuple("02-Jan-11" if v == "05-Jan-11" else v for v in ROWS[0])]
+    tables = []
+
+    def dies(made, at, kind):
+        if len(tables) == 2:
+            raise RuntimeError("killed")
+        tables.append(at)
+        write_table(made, at, kind)
+
+    monkeypatch.setattr(jobs, "write_table", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        build_star(wide(spark, more), path, fmt=fmt)
+    assert [os.path.basename(t) for t in tables] == [f"time_dim.{fmt}", f"inventory_fact.{fmt}"]
+    assert current(spark, path) == old and sums(spark, path) == before
+    assert not os.path.exists(os.path.dirname(tables[0]).removeprefix("file:"))
+    monkeypatch.undo()
+    build_star(wide(spark, more), path, fmt=fmt)
+    assert current(spark, path).number == old.number + 1 and sums(spark, path) != before
+
+
+def test_old_versions_are_deleted_but_the_last(spark):
+    path = scratch_path(spark)
+    for _ in range(4):
+        build_star(wide(spark), path, fmt="parquet", only=["sellers_dim"])
+    folder = path.removeprefix("file:")
+    assert len(os.listdir(f"{folder}/versions")) == len(os.listdir(f"{folder}/manifests")) == 2
+    assert current(spark, path).number == 4 and read_star(spark, path, "sellers_dim").count() == 1
+
+
+def test_one_table_is_rebuilt_and_the_others_stay(spark):
+    path = scratch_path(spark)
+    first = build_star(wide(spark), path)
+    there = current(spark, path).tables
+    assert list(build_star(wide(spark), path, fmt="parquet", only=["products_dim"])) == ["products_dim"]
+    now = current(spark, path).tables
+    assert {n for n in there if there[n] != now[n]} == {"products_dim"} and now["products_dim"].fmt == "parquet"
+    assert stored_schemas(spark, path) == first
+    assert sums(spark, path)["quarterly_sales_count"] == [(2011, 1, 4005, "LAPTOP", 1), (2011, 3, 4005, "LAPTOP", 2)]
+    # The fact refers to the ids of the time table: one is not rebuilt without the other.
+    assert sorted(build_star(wide(spark), path, only=["time_dim"])) == ["inventory_fact", "time_dim"]
+
+
+def test_a_star_of_another_origin(spark):
+    path = scratch_path(spark)
+    build_star(wide(spark), path)
+    plain = scratch_path(spark)
+    for name in TABLES:
+        write_csv(read_star(spark, path, name), table_path(plain, name, "csv"))
+    assert current(spark, plain).tables == {}
+    assert sums(spark, plain) == sums(spark, path)
+
+
 def test_a_line_break_in_an_address(spark):
     """The same reports from both formats."""
     broken = [tuple("1 Elm\nRear" if v == "1 Elm, Rear" else v for v in row) for row in ROWS]

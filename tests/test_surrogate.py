@@ -1,14 +1,14 @@
 """Dense ids: the same for every partitioning, whatever the keys look like."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallystar.operators import surrogate
 from tallystar.operators.surrogate import dense_surrogate_key
-from tallystar.sources.scratch import pin
+from tallystar.sources.scratch import pin, scratch_path
 from tests.data import table
 
 
@@ -42,24 +42,43 @@ def test_other_columns_break_ties_of_the_key(spark, pairs):
     assert table(ours) == table(by_window(pairs, "id", ["s"]))
 
 
-def test_a_hot_key_is_cut_into_several_ranges(spark, monkeypatch):
-    pinned = []
-    monkeypatch.setattr(surrogate, "pin", lambda df: pinned.append(pin(df)) or pinned[-1])
-    rows = spark.range(60_000).select(
+def skewed(spark):
+    return spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ours = dense_surrogate_key(rows, "id", ["k"])
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    per_task = pinned[0].groupBy("__part").count().toPandas()["count"]
-    assert len(per_task) == 8
-    assert per_task.max() < 2 * 60_000 / 8
-    got = ours.agg(F.count("id"), F.countDistinct("id"), F.min("id"), F.max("id")).first()
+
+
+@pytest.mark.parametrize("rows", [None, 10 << 20])
+def test_a_hot_key_is_cut_into_several_ranges(spark, rows):
+    ours = dense_surrogate_key(skewed(spark), "id", ["k"], rows)
+    pinned = pin(ours.withColumn("part", F.spark_partition_id()))
+    per_task = pinned.groupBy("part").agg(F.count("id").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).orderBy("part").collect()
+    if rows is None:
+        assert len(per_task) == 8 and max(r.n for r in per_task) < 2 * 60_000 / 8
+    # Files in the order of the ids.
+    assert all(r.last - r.first + 1 == r.n for r in per_task) and [r.first for r in per_task] == sorted(r.first for r in per_task)
+    got = pinned.agg(F.count("id"), F.countDistinct("id"), F.min("id"), F.max("id")).first()
     assert tuple(got) == (60_000, 60_000, 1, 60_000)
 
 
+@pytest.mark.parametrize("rows", [1, 1000, 5 << 20, 1 << 40])
+def test_the_number_told_does_not_change_the_ids(spark, pairs, rows):
+    assert table(dense_surrogate_key(pairs, "id", ["s"], rows)) == table(by_window(pairs, "id", ["s"]))
+
+
+def test_bounds_counts_and_rows_read_one_shuffle(spark):
+    """The input of a distinct is scanned once, and nothing is written on the way."""
+    folder = scratch_path(spark)
+    skewed(spark).write.parquet(folder)
+    ours = dense_surrogate_key(spark.read.parquet(folder).dropDuplicates(), "id", ["k"])
+    assert ours.agg(F.max("id")).first()[0] == 60_000
+    rows = ours.collect()
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    # The distinct is shuffled for one of four readers: number of rows, sample, counts and rows.
+    assert len(rows) == 60_000 and len(re.findall(r"ReusedExchange \[k#\d+L, v#\d+L\], Exchange hashpartitioning\(k", plan)) >= 3
+    assert "rangepartitioning" not in plan and "shufflepartitionidpassthrough" in plan
+
+
 def test_equal_rows_get_different_ids(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",)], "s STRING")
     assert table(dense_surrogate_key(rows, "id", ["s"])) == [("a", 1), ("a", 2), ("b", 3)]
