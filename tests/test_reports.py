@@ -311,6 +311,33 @@ def test_category_sales_is_the_plain_join(random_star, category):
     assert table(ours) == table(plain)
 
 
+@pytest.mark.parametrize("category", [4005, None])
+def test_all_reports_are_the_single_ones(random_star, category):
+    s = random_star
+    ours = reports.all_reports(s["fact"], s["customers"], s["time"], s["products"], s["transactions"], 2011, category, 1000)
+    single = {
+        "top_10_customers": reports.top_customers(s["fact"], s["customers"], s["time"], s["transactions"], 2011, 1000),
+        "statewise_orders": reports.state_orders(s["fact"], s["customers"]),
+        "payment_mode_by_state": reports.payment_modes(s["fact"], s["transactions"]),
+        "quarterly_profit": reports.quarterly_profit(s["fact"], s["time"], 2011),
+        "quarterly_sales_count": reports.category_sales(s["fact"], s["time"], s["products"], 2011, category),
+    }
+    assert {n: table(r) for n, r in ours.items()} == {n: table(r) for n, r in single.items()}
+    assert {n: r.schema.simpleString() for n, r in ours.items()} == {n: r.schema.simpleString() for n, r in single.items()}
+
+
+def test_all_reports_pass_over_the_fact_twice(spark, random_star, monkeypatch):
+    pinned = []
+    monkeypatch.setattr(reports, "pin", lambda df: pinned.append(df) or pin(df))
+    s = random_star
+    ours = reports.all_reports(s["fact"], s["customers"], s["time"], s["products"], s["transactions"], 2011)
+
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count(s["fact"].inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://"))
+
+    assert [scans(df) for df in pinned] == [1, 1] and [scans(r) for r in ours.values()] == [0] * 5
+
+
 def rows_scanned(plan):
     """Rows that each scan below ``plan`` gave out."""
     name = plan.nodeName()
