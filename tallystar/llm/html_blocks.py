@@ -13,18 +13,14 @@ _TAG = re.compile(
 _NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
-_INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub "
-    "sup time tt u var wbr math".split()
-)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup, and those whose text nobody reads.
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _SILENT = frozenset("script style textarea title iframe noembed noframes noscript template select option button svg canvas audio video object".split())
-#: Elements that are blocks even below ``math``, all others of which are parts of a formula in its line.
-_BLOCK_IN_MATH = frozenset(
-    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
-    "hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
+#: Elements that are blocks. All others, unknown ones too, stand within a line.
+_BLOCK = frozenset(
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
+    "head header hgroup hr html legend li listing main menu nav ol p plaintext pre search section summary table tbody td tfoot th thead tr ul xmp".split()
 )
 #: Elements that end at the start of another one, up to the element named last.
 _CLOSED_BY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd", ("dl",)), "dd": ("dt", ("dl",)), "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}
@@ -54,8 +50,9 @@ def blocks(page: str) -> list[Block]:
     """The texts between block elements, decoded and with single spaces, in page order.
 
     Never fails: what does not close ends with its parent or the page, and a
-    closing tag without an element is ignored. Scripts, styles, comments and form choices have no text. Formulas in
-    MathML keep theirs, also what annotates them, in the block they stand in.
+    closing tag without an element is ignored. Scripts, styles, comments and form choices have no text and do not cut
+    the line they stand in, nor do elements that are not known. Formulas in
+    MathML keep their text, also what annotates them, in the block they stand in.
     """
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
@@ -81,6 +78,11 @@ def blocks(page: str) -> list[Block]:
             if top == name:
                 return
 
+    def outside(name: str) -> bool:
+        """Whether the innermost element of that name is not within one without text."""
+        last = max((i for i, (x, _) in enumerate(stack) if x == name), default=0)
+        return not any(x in _SILENT for x, _ in stack[:last])
+
     def say(text: str) -> None:
         nonlocal linked
         if text and not silent:
@@ -97,7 +99,8 @@ def blocks(page: str) -> list[Block]:
         if not found[2]:
             continue
         name = found[2].lower()
-        block = name not in _INLINE and (name in _BLOCK_IN_MATH or not open_count.get("math"))
+        # What is inside an element without text does not cut the line that this stands in.
+        block = name in _BLOCK and (not silent or bool(found[1]) and outside(name))
         if name.startswith("annotation") and open_count.get("math"):
             say(" ")
         if name == "br":

@@ -157,10 +157,14 @@ def repeated_positions(lines: DataFrame, least_docs: int) -> DataFrame:
     shards = max(4 * tasks, -(-total // SHARD_KEYS))
     most = max(LEAST_PROBES, min(SHARD_PROBES, total // (2 * tasks)))
     lines = lines.withColumn("shard", _shard(shards))
-    # One row per shard.
-    copies = lines.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("copies"))
-    probes = lines.join(F.broadcast(copies), "shard").withColumn("copy", F.expr("pmod(xxhash64(id, pos), copies)").cast("int"))
-    index = pin(_index(lines, shards)).join(F.broadcast(copies), "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    # Only shards with hot lines have several copies. Written, so that the planner knows their size and decides how to join them.
+    split = pin(lines.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("copies")).where("copies > 1"))
+
+    def with_copies(rows: DataFrame) -> DataFrame:
+        return rows.join(split, "shard", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+    probes = with_copies(lines).withColumn("copy", F.expr("pmod(xxhash64(id, pos), copies)").cast("int"))
+    index = with_copies(pin(_index(lines, shards))).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     return (
         probes.select("shard", "copy", "id", "sum", "pos", "h1", "h2")
         .groupBy("shard", "copy")

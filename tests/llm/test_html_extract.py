@@ -35,6 +35,16 @@ def words(seed, n=30):
         ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>2</mn><mi>y</mi></mfrac></math> holds<p>b", ["so x=2y holds", "b"]),
         ("a <math><semantics><mrow><mi>x</mi><mspace/></mrow><annotation>x_0</annotation></semantics></math> b<div>c</div>", ["a x x_0 b", "c"]),
         ("<p>a <math><mi>x</mi><p>b</p><div>c</div>", ["a x", "b", "c"]),
+        *[
+            (f"<p>a {x} b</p><p>c", ["a b", "c"])
+            for x in (
+                "<svg><title>t</title><path d='M0'/></svg>", "<script>1</script>", "<picture><source srcset=x><img src=y></picture>", "<button>k</button>",
+                "<noscript><p>n</p></noscript>", "<template><div>d</div></template>", "<link rel=x>", "<object><ul><li>o</ul></object>", "<x-y></x-y>", "<style>p{}</style>",
+            )
+        ],
+        ("<p>a <output>o</output> <x-y>u</x-y> <font>f</font> b", ["a o u f b"]),
+        ("<div>a <button>k</div>b<p>c", ["a", "b", "c"]),
+        ("<table><caption>t</caption><tr><td>x<td>y</table><fieldset><legend>l</legend>z</fieldset>", ["t", "x", "y", "l", "z"]),
         ("", []),
     ],
 )
