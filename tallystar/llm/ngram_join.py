@@ -334,12 +334,16 @@ def _grams(width: int):
     return grams
 
 
-def _products_of(docs: DataFrame, targets: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links (a, b) that hold together what is linked in each group (``of``, ``block``) of ``targets``."""
+def _sets_of(docs: DataFrame, targets: DataFrame, width: int) -> DataFrame:
+    """``targets`` with their n-grams. Written, so that later products of the same sets need not move the documents again."""
     # A broadcast of the targets would follow their number; both sides are sorted and merged at any size.
     rows = docs.join(targets.hint("merge"), "id").select("id", "text", "family", "set1", "of", "block", "row")
-    grams = rows.mapInArrow(_grams(width), "id long, family long, set1 long, grams binary, of long, block long, row boolean")
-    return pin(grams.groupBy("of", "block").applyInPandas(_products(percent), "a long, b long"))
+    return pin(rows.mapInArrow(_grams(width), "id long, family long, set1 long, grams binary, of long, block long, row boolean"))
+
+
+def _multiplied(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that hold together what is linked in each group (``of``, ``block``) of sets."""
+    return pin(sets.groupBy("of", "block").applyInPandas(_products(percent), "a long, b long"))
 
 
 def links_within_families(docs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
@@ -359,8 +363,10 @@ def links_within_families(docs: DataFrame, members: DataFrame, percent: int, wid
     own = F.when(F.col("blocks") == 1, F.expr(f"pmod(xxhash64(family), {buckets}L)")).otherwise(F.expr("pmod(xxhash64(id), blocks)"))
     of = F.when(F.col("blocks") == 1, F.lit(_NULL)).otherwise(F.col("family"))
     first = sized.where("blocks > 1 and id = first").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    first = first.where(F.col("block") != own)
     targets = sized.withColumn("block", own).withColumn("of", of).unionByName(first.withColumn("of", F.col("family"))).withColumn("row", F.lit(False)).select(columns)
-    found = _products_of(docs, targets, percent, width)
+    sets = _sets_of(docs, targets, width)
+    found = _multiplied(sets, percent)
 
     parts = components(found)
     large = sized.where("blocks > 1").join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
@@ -381,8 +387,11 @@ def links_within_families(docs: DataFrame, members: DataFrame, percent: int, wid
     rows = both.where("outside").withColumn("r", at_row).withColumn("c", all_of("blocks"))
     cols = both.withColumn("c", at_column).withColumn("r", all_of("rows"))
     sides = rows.withColumn("row", F.lit(True)).unionByName(cols.withColumn("row", F.lit(False)))
-    targets = sides.withColumn("block", name("r", "c")).withColumn("of", F.col("family")).select(columns)
-    return found.unionByName(_products_of(docs, targets, percent, width))
+    # Each set is in its own block once; the family's first is in others, too.
+    here = sets.select("id", "set1", "grams", F.col("block").alias("there"))
+    targets = sides.withColumn("own", own).withColumn("block", name("r", "c")).withColumn("of", F.col("family")).select(*columns, "own")
+    met = targets.join(here, ["id", "set1"]).where("own = there").select(*columns, "grams")
+    return found.unionByName(_multiplied(met, percent))
 
 
 def ngram_components(

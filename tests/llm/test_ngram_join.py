@@ -144,8 +144,8 @@ def test_blocks_by_ngrams(spark, monkeypatch):
 @pytest.mark.parametrize("percent, width", [(90, 3), (80, 5)])
 def test_strangers_with_one_passage_are_no_family(spark, monkeypatch, percent, width):
     sent = []
-    original = ngram_join._products_of
-    monkeypatch.setattr(ngram_join, "_products_of", lambda docs, targets, *a: sent.append(targets.count()) or original(docs, targets, *a))
+    original = ngram_join._multiplied
+    monkeypatch.setattr(ngram_join, "_multiplied", lambda sets, *a: sent.append(sets.count()) or original(sets, *a))
     rng = np.random.default_rng(9)
     passage = " ".join(f"p{k}" for k in range(60))
     rows = [(i, " ".join(f"y{k}" for k in rng.integers(0, 10**7, n)) + " " + passage) for i, n in enumerate(rng.integers(20, 300, 3000))]
