@@ -29,7 +29,7 @@ from tallystar.plans.star import (
 )
 from tallystar.session import PARTITION_BYTES, fit_shuffles, prepare
 from tallystar.sources.scratch import pin, scratch_of_job
-from tallystar.sources.tables import read_table, read_written, table_path, write_csv, write_table
+from tallystar.sources.tables import read_source, read_table, read_written, table_path, write_csv, write_table
 from tallystar.sources.versions import Version, current
 
 # The year, the category and the number of customers the reports show.
@@ -59,6 +59,7 @@ def build_star(
     fmt: str = "csv",
     lenient_dates: bool = False,
     only: Collection[str] = tuple(IDS),
+    rejected: DataFrame | None = None,
 ) -> dict[str, StructType]:
     """Write the five dimensions and the fact as a new version of the star in ``out``; gives the schema of each table written.
 
@@ -68,7 +69,8 @@ def build_star(
 
     Also written, unless ``only`` some of the tables are asked
     for, is ``star_checks``: how many distinct sales have no date and so are in no fact, and how many
-    natural keys have several rows in their dimension, which multiplies their sales.
+    natural keys have several rows in their dimension, which multiplies their sales; and, if the rows that were ``rejected`` when the
+    source was read are given, how many there are.
 
     The six tables read different columns of ``source``. Parquet lets each read
     only its own, so pass a Parquet frame, or pin a CSV first: otherwise its text
@@ -105,7 +107,11 @@ def build_star(
             if set(IDS) <= wanted:
                 checks = [sales_without_date(source, layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
                 checks += [repeated_keys(written(n), c[0]).select(F.lit(n).alias("TABLE"), F.lit("repeated keys").alias("CHECK")) for n, c in dimensions.items()]
-                all_checks = spark.createDataFrame([("inventory_fact", "undated sales"), *((n, "repeated keys") for n in dimensions)], "TABLE string, CHECK string")
+                named = [("inventory_fact", "undated sales"), *((n, "repeated keys") for n in dimensions)]
+                if rejected is not None:
+                    named.append(("source", "rejected rows"))
+                    checks.append(rejected.select(F.lit("source").alias("TABLE"), F.lit("rejected rows").alias("CHECK")))
+                all_checks = spark.createDataFrame(named, "TABLE string, CHECK string")
                 counts = reduce(DataFrame.unionByName, checks).groupBy("TABLE", "CHECK").agg(F.count(F.lit(1)).alias("ROWS"))
                 report = all_checks.join(counts, ["TABLE", "CHECK"], "left").select("TABLE", "CHECK", F.coalesce("ROWS", F.lit(0)).alias("ROWS"))
                 write(CHECKS, report.orderBy("TABLE"))
@@ -180,7 +186,8 @@ def main(args: list[str] | None = None) -> None:
     star.add_argument("out")
     star.add_argument("--source-format", choices=["csv", "parquet"], default="csv")
     star.add_argument("--source-schema", help="DDL of a CSV source; inferred if not given")
-    star.add_argument("--line-breaks", action="store_true", help="fields of a CSV source may hold line breaks; a task then reads whole files")
+    star.add_argument("--line-breaks", action="store_true", help="fields of a CSV source may hold line breaks")
+    star.add_argument("--rejects", metavar="DIR", help="write rows of a CSV source that do not fit here, with file and line, and go on without them")
     star.add_argument("--lenient-dates", action="store_true", help="unreadable dates become null")
     report = jobs.add_parser("reports", help="run the reports")
     report.add_argument("star")
@@ -198,11 +205,16 @@ def main(args: list[str] | None = None) -> None:
     sizes = given.split_bytes, given.partition_bytes
     if given.job == "star":
         with scratch_of_job(spark):
-            source = read_table(spark, given.source, given.source_format, given.source_schema, given.line_breaks)
-            fit_shuffles(source, *sizes)
+            rejected = None
             if given.source_format == "csv":
-                source = pin(source)
-            build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates)
+                fit_shuffles(spark.read.text(given.source), *sizes)
+                source, rejected = read_source(spark, given.source, given.source_schema, given.line_breaks, given.rejects is not None)
+                if rejected is not None:
+                    write_csv(rejected, given.rejects)
+            else:
+                source = read_table(spark, given.source, given.source_format)
+                fit_shuffles(source, *sizes)
+            build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates, rejected=rejected)
     else:
         category = None if given.category == "all" else given.category
         # Only the splits count here, and one declared column spares inferring the types.

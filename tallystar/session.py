@@ -12,6 +12,12 @@ PARTITION_BYTES = 128 << 20
 #: Sort keys the driver may receive when the bounds of a range partitioning are sampled, and least per partition.
 _SAMPLED_KEYS = 2_000_000
 _LEAST_SAMPLED = 10
+#: Where a join shuffles a table of at least the first size to meet at most the second, a Bloom filter of the keys of the small side
+#: goes below the shuffle of the large one. The filter has a size that does not grow: ten bits for as many keys as the small side may have.
+FILTERED_FROM = 1 << 30
+FILTER_OF = 256 << 20
+_FILTER_KEYS = 16 << 20
+_FILTER_BITS = 10 * _FILTER_KEYS
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -20,10 +26,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     By default a skewed join stays whole when a later step reuses its
     partitioning, as a distinct over the join key does. Plans without a hot key
     are not changed by this.
+
+    Large dimensions are cut to the keys that a year's facts ask for before they are shuffled: Spark's runtime
+    filter does it, within the sizes above. Beyond them the join shuffles the dimension's two columns whole.
     """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    bloom = "spark.sql.optimizer.runtime.bloomFilter"
+    spark.conf.set(f"{bloom}.enabled", "true")
+    spark.conf.set(f"{bloom}.applicationSideScanSizeThreshold", str(FILTERED_FROM))
+    spark.conf.set(f"{bloom}.creationSideThreshold", str(FILTER_OF))
+    for setting, value in (("expectedNumItems", _FILTER_KEYS), ("maxNumItems", _FILTER_KEYS), ("numBits", _FILTER_BITS), ("maxNumBits", _FILTER_BITS)):
+        spark.conf.set(f"{bloom}.{setting}", str(value))
     return spark
 
 

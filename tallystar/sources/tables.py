@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tallystar.sources.records import csv_records
+from tallystar.sources.scratch import pin
+from tallystar.sources.types_of_text import typed, types_of
 
 # Quotes inside a quoted field are doubled, as spreadsheet and pandas writers do it.
 _CSV = {"header": True, "escape": '"'}
@@ -33,7 +37,7 @@ def read_csv(
     its order. A column that is missing or not declared, a file whose
     header differs from the first one's, and a row that does not fit stop the read. Without ``schema`` the types
     are inferred, which reads the whole input once more. Quoted fields that hold line breaks need ``line_breaks``,
-    which reads each file in one task. ``line_end`` is given for files of ``write_csv``: ends of lines within fields
+    which reads each file in one task (``read_records`` uses many). ``line_end`` is given for files of ``write_csv``: ends of lines within fields
     then stay as they are, and a quoted empty field is an empty text, not null.
     """
     options = {**_CSV, **_STRICT, "multiLine": line_breaks}
@@ -42,15 +46,75 @@ def read_csv(
     if schema is None:
         return spark.read.options(**options).csv(path, inferSchema=True)
     wanted = _declared(spark, schema)
-    header = spark.read.options(**(options | {"mode": "PERMISSIVE"})).csv(path).columns
+    there = _in_header_order(path, spark.read.options(**(options | {"mode": "PERMISSIVE"})).csv(path).columns, wanted)
+    read = spark.read.options(**options).csv(path, schema=there, enforceSchema=False)
+    return read.select(*[F.col(f"`{f.name}`") for f in wanted])
+
+
+def _in_header_order(path: str, header: list[str], wanted: StructType) -> StructType:
     by_name = {f.name.lower(): f for f in wanted}
     missing = [f.name for f in wanted if f.name.lower() not in {c.lower() for c in header}]
     extra = [c for c in header if c.lower() not in by_name]
     if missing or extra or len(header) != len(wanted):
         raise ValueError(f"{path}: columns missing: {missing}; not declared: {extra}; header: {header}")
-    there = StructType([by_name[c.lower()] for c in header])
-    read = spark.read.options(**options).csv(path, schema=there, enforceSchema=False)
-    return read.select(*[F.col(f"`{f.name}`") for f in wanted])
+    return StructType([by_name[c.lower()] for c in header])
+
+
+#: Of a row that does not fit its schema: the file, the line where it begins, and its text.
+REJECTED = ["file", "line", "record"]
+_BAD = "__record that does not fit"
+
+
+def read_records(spark: SparkSession, path: str, schema: StructType | str | None = None, reject: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """``read_csv`` for fields that hold line breaks, a file read by many tasks; and with ``reject`` the rows that do not fit.
+
+    Without ``schema`` all columns are text. With ``reject`` the rows are parsed once, to a pinned
+    table: those that do not fit are in the second frame (``REJECTED``), the others in the first. Without it they stop the read. A
+    file whose header differs from the first one's stops the read in any case, as then no row of it can be trusted.
+    """
+    header = spark.read.options(**_CSV, multiLine=True).csv(path).columns
+    wanted = StructType([StructField(c, StringType()) for c in header]) if schema is None else _declared(spark, schema)
+    there = _in_header_order(path, header, wanted)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _CSV.items()} | {"multiLine": "true"}
+    records = csv_records(spark, path)
+
+    names = F.from_csv("record", ", ".join(f"_{i} STRING" for i in range(len(header))), options | {"mode": "FAILFAST"})
+    same = F.lower(F.to_json(names)) == F.lower(F.to_json(F.struct(*[F.lit(c).alias(f"_{i}") for i, c in enumerate(header)])))
+    told = F.concat(F.lit("another header in "), F.col("file"), F.lit(": "), F.col("record"))
+    is_row = F.when(F.col("line") > 1, True).when(same, False).otherwise(F.raise_error(told).cast("boolean"))
+    rows = records.where(is_row)
+
+    def ddl(fields: StructType) -> str:
+        return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+
+    columns = [F.col(f"row.`{f.name}`").alias(f.name) for f in wanted]
+    if not reject:
+        return rows.select(F.from_csv("record", ddl(there), options | {"mode": "FAILFAST"}).alias("row")).select(*columns), None
+    lenient = options | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    parsed = rows.select("file", "line", F.from_csv("record", f"{ddl(there)}, `{_BAD}` STRING", lenient).alias("row"))
+    bad = F.col(f"row.`{_BAD}`")
+    kept = pin(parsed.select(F.struct(*columns).alias("row"), F.when(bad.isNotNull(), F.struct("file", "line", bad.alias("record"))).alias("bad")))
+    return kept.where("bad IS NULL").select("row.*"), kept.where("bad IS NOT NULL").select("bad.*")
+
+
+def read_source(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, line_breaks: bool = False, reject: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """A CSV source pinned as columns, its text parsed once; and with ``reject`` the rows that do not fit (``read_records``).
+
+    Without ``schema`` the columns are pinned as text, and the types they all fit come from that copy; then a row is rejected for its
+    number of fields only.
+    """
+    rejected = None
+    if line_breaks or reject:
+        rows, rejected = read_records(spark, path, schema, reject)
+    elif schema is None:
+        header = spark.read.options(**_CSV).csv(path).columns
+        rows = read_csv(spark, path, StructType([StructField(c, StringType()) for c in header]))
+    else:
+        rows = read_csv(spark, path, schema)
+    rows = rows if reject else pin(rows)
+    return (rows if schema is not None else typed(rows, types_of(rows))), rejected
 
 
 def write_csv(df: DataFrame, path: str) -> None:

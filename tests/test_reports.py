@@ -434,3 +434,50 @@ def test_a_hot_order_is_split(spark):
             spark.conf.unset(name)
     assert len({r["SELLER_ID"] for r in rows}) == len(rows) == 300_000
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_the_transactions_are_filtered_before_their_shuffle(spark):
+    """In the job, a Bloom filter of the year's transactions lies below the shuffle of all years'."""
+    transactions = pin(spark.range(200_000).selectExpr("id AS TRANSACTION_ID", "id % 7 AS TRANSACTION_AMOUNT", "'COD' AS TRANSACTION_TYPE"))
+    customers = pin(spark.range(50).selectExpr("id AS CUSTOMER_ID", "'n' AS `Customer Name`", "'s' AS CUSTOMER_STATE"))
+    products = pin(spark.range(5).selectExpr("id AS PRODUCT_ID", "1 AS CATEGORY_ID", "'p' AS `PRODUCT Name`"))
+    fact = pin(
+        spark.range(20_000).selectExpr(
+            "id * 10 AS TRANSACTION_ID", "id % 50 AS CUSTOMER_ID", "id % 5 AS PRODUCT_ID", "1 AS PRODUCT_COST_PRICE", "2 AS PRODUCT_SELLING_PRICE",
+            "date_add(DATE'2011-01-01', CAST(id % 3650 AS INT)) AS Date",
+        )
+    )
+    lowered = {
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in lowered}
+    for k, v in lowered.items():
+        spark.conf.set(k, v)
+    try:
+        made = reports.all_reports(fact, customers, None, products, transactions, 2011, None, 1000, "Date")
+        report = made["top_10_customers"]
+        got = table(report)
+        plan = report._jdf.queryExecution().executedPlan()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == table(reports.top_customers(fact, customers, None, transactions, 2011, 1000, "Date"))
+    filtered = list(rows_of_filters(plan))
+    matching = fact.where(F.year("Date") == 2011).select("TRANSACTION_ID").distinct().count()
+    assert len(filtered) == 1 and matching <= filtered[0] <= 1.1 * matching
+
+
+def rows_of_filters(plan):
+    """Rows that each filter by ``might_contain`` below a shuffle lets through."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        yield from rows_of_filters(plan.executedPlan())
+    elif "QueryStage" in name:
+        yield from rows_of_filters(plan.plan())
+    else:
+        if name == "Filter" and "might_contain" in plan.condition().toString():
+            yield plan.metrics().apply("numOutputRows").value()
+        for i in range(plan.children().size()):
+            yield from rows_of_filters(plan.children().apply(i))
