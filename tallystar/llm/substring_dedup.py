@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystar.llm.spans import Texts, hash_spans, mix, texts
+from tallystar.llm.spans import Texts, hash_spans, mix, owner, texts
 from tallystar.llm.tables import by_position, plain, table, unused
+from tallystar.sources.scratch import pin
 
 WINDOW = 20
-#: Bytes of text recompressed together.
-SLICE_BYTES = 2 << 20
+#: Rounds of pairs after which symbols are counted over all documents, one Spark round each.
+LEVELS = (3, 5)
+#: Layout, not limits: bytes of text recompressed together, of the texts of a group, and of all texts per task that counts or judges.
+SLICE_BYTES = 4 << 20
+GROUP_BYTES = 3 << 20
+BUCKET_BYTES = 32 << 20
 _NULL = -(2**63)
+_FAR = 1 << 40
 
 #: Words before and after the first word of a symbol that decide where it begins, what it is, and that it is one.
 BEFORE, AFTER = 3, 4
@@ -56,6 +63,88 @@ def symbols(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin[whole], np.where(pair, mix(name[whole] * _K1 + name[follower]), name[whole])
 
 
+@dataclass
+class Symbols:
+    """Symbols of some texts in order: text, name, and the words (from ``lo`` to before ``hi``) that decide where each begins and ends.
+
+    Where the end of a text has a say, ``lo`` or ``hi`` is far away.
+    """
+
+    text: np.ndarray
+    name: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a symbol is the first or the last of its text."""
+        new = np.ones(len(self.text) + 1, bool)
+        new[1:-1] = self.text[1:] != self.text[:-1]
+        return new[:-1], new[1:]
+
+
+def name_runs(words: np.ndarray, text: np.ndarray) -> Symbols:
+    """Every longest run of equal words becomes a symbol; that its neighbours differ is part of it."""
+    begin = _runs(text, words)
+    end = np.append(begin[1:], len(words))
+    count = (end - begin).astype(np.uint64)
+    out = Symbols(text[begin], np.where(count > 1, mix(words[begin] * _K1 + count), words[begin]), begin - 1, end + 1)
+    head, tail = out.edges()
+    out.lo[head], out.hi[tail] = -_FAR, _FAR
+    return out
+
+
+def name_pairs(s: Symbols, level: int) -> Symbols:
+    """Every symbol is of the left or the right kind, by its name; a left one and the right one after it become one.
+
+    A pair is decided by its two symbols. A left one that stays alone is decided by the next, a right one by the one before.
+    """
+    right = (mix(s.name ^ (np.uint64(level) * _K1)) >> np.uint64(63)).astype(bool)
+    head, tail = s.edges()
+    joined = right & ~head
+    joined[1:] &= ~right[:-1]
+    whole = np.flatnonzero(~joined)
+    follower = np.minimum(whole + 1, len(right) - 1)
+    pair = joined[follower] & (follower > whole)
+    alone = mix(s.name[whole] + np.uint64(level))
+    lo = np.where(right[whole], np.where(head[whole], -_FAR, s.lo[whole - 1]), s.lo[whole])
+    hi = np.where(right[whole], s.hi[whole], np.where(tail[whole], _FAR, s.hi[follower]))
+    return Symbols(s.text[whole], np.where(pair, mix(s.name[whole] * _K1 + s.name[follower]), alone), lo, hi)
+
+
+def possible(words: np.ndarray, text: np.ndarray, width: int, told: Mapping[int, Callable], levels: Sequence[int], ask: int | None = None):
+    """Marks the words where a window begins that may occur twice; with ``ask``, the names of that level and whether each occurs twice here.
+
+    A window holds all symbols that its own words decide, and equal windows hold the same; so a window with a
+    symbol that occurs once in all documents occurs once. ``told`` has, for each of the levels before ``ask``, a function that says which of
+    its names occur twice. Only names below a window that is still possible are asked, each once: equal windows
+    are possible at all their places, so their names are asked at all of them.
+    """
+    live = np.zeros(len(words), bool)
+    n = len(words) - width + 1
+    if n < 1:
+        return live if ask is None else (np.zeros(0, np.uint64), np.zeros(0, bool))
+    live[:n] = text[:n] == text[width - 1 :]
+    found, height = name_runs(words, text), 0
+    for level in levels:
+        while height < level:
+            height += 1
+            found = name_pairs(found, height)
+        fit = np.flatnonzero(found.hi - found.lo <= width)
+        first, last = np.maximum(found.hi[fit] - width, 0), found.lo[fit] + 1
+        before = np.concatenate([[0], np.cumsum(live)])
+        some = before[last] > before[first]
+        fit, first, last = fit[some], first[some], last[some]
+        names, number, counts = np.unique(found.name[fit], return_inverse=True, return_counts=True)
+        if level == ask:
+            return names, counts > 1
+        if not len(names):
+            continue
+        once = ~told[level](names)[number]
+        steps = np.bincount(first[once], minlength=len(live) + 1) - np.bincount(last[once], minlength=len(live) + 1)
+        live &= np.cumsum(steps)[:-1] == 0
+    return live
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` values in a row."""
     span, out = 1, values
@@ -134,6 +223,8 @@ def _from_bytes(raw: bytes, n: int) -> np.ndarray:
 
 _ROW = "bucket int, reply boolean, docs binary, sums binary, anchors binary, hashes binary"
 _NAMES = ["bucket", "reply", "docs", "sums", "anchors", "hashes"]
+_KINDS = [pa.int32(), pa.bool_(), *[pa.binary()] * 4]
+_SENT = pa.schema(list(zip(_NAMES, _KINDS, strict=True)))
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -159,25 +250,123 @@ def _replies(ids: np.ndarray, sums: np.ndarray, starts: np.ndarray, buckets: int
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], _NAMES)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch that are equal in group, id and checksum, once."""
+    for batch in batches:
+        if batch.num_rows:
+            ids, sums = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            order = np.lexsort((sums, ids))
+            yield batch.take(pa.array(np.sort(order[_runs(ids[order], sums[order])])))
+
+
+def _slices(group: pa.Table) -> Iterator[tuple[int, Texts, np.ndarray, np.ndarray]]:
+    """The different documents of a group in order of id and checksum, in slices of bounded size: number, texts, ids and checksums."""
+    ids, sums = group.column("id").to_numpy(), group.column("sum").to_numpy()
+    order = np.lexsort((sums, ids))
+    if len(order):
+        order = order[_runs(ids[order], sums[order])]
+    column = group.column("text").take(pa.array(order))
+    for part, t in enumerate(texts(column, SLICE_BYTES)):
+        rows = order[t.rows]
+        yield part, t, ids[rows], sums[rows]
+
+
+def _bucket_order(names: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names in order of their buckets, their buckets, and where each bucket begins."""
+    bucket = (mix(names ^ _K2) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order], _runs(bucket[order])[: len(order)]
 
 
-def _send(width: int, buckets: int):
-    """Windows to the bucket of their anchor, each once per slice, and replies for those found again within the slice."""
+def _told(marks: pa.Table | None, part: int, buckets: int) -> dict[int, Callable]:
+    """Per level counted so far, the answers that came back for the names of a slice."""
+    if marks is None:
+        return {}
+    mine = marks.filter(pc.equal(marks.column("part"), part)).to_pylist()
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in texts(batch.column(2), SLICE_BYTES):
-                yield from _send_slice(t, batch.column(0).slice(t.rows.start, len(t)), batch.column(1).slice(t.rows.start, len(t)), width, buckets)
+    def answers(level: int) -> Callable:
+        rows = {r["bucket"]: r["bits"] for r in mine if r["level"] == level}
+
+        def told(names: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(names), bool)
+            order, bucket, cuts = _bucket_order(names, buckets)
+            for a, b in zip(cuts, [*cuts[1:], len(names)][: len(cuts)], strict=True):
+                out[order[a:b]] = np.unpackbits(np.frombuffer(rows[int(bucket[a])], np.uint8), count=b - a).astype(bool)
+            return out
+
+        return told
+
+    return {level: answers(level) for level in pc.unique(marks.column("level")).to_pylist()}
+
+
+_ASK = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("part", pa.int32()), ("level", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
+_ASKED = "bucket int, slice int, part int, level int, names binary, twice binary"
+_MARK = "slice int, part int, level int, bucket int, bits binary"
+
+
+def _ask(width: int, buckets: int, levels: Sequence[int], level: int):
+    """The names of a level to their buckets, each once per slice."""
+
+    def ask(group: pa.Table, marks: pa.Table | None) -> pa.Table:
+        rows = []
+        for part, t, _, _ in _slices(group):
+            starts, ends, first = t.words()
+            names, twice = possible(hash_spans(t.buf, starts, ends), owner(first), width, _told(marks, part, buckets), levels, level)
+            order, bucket, cuts = _bucket_order(names, buckets)
+            for a, b in zip(cuts, [*cuts[1:], len(names)][: len(cuts)], strict=True):
+                here = order[a:b]
+                rows.append((int(bucket[a]), group.column("slice")[0].as_py(), part, level, _low_bytes(names[here], 6), np.packbits(twice[here]).tobytes()))
+        return pa.Table.from_pylist([dict(zip(_ASK.names, r, strict=True)) for r in rows], _ASK)
+
+    return ask
+
+
+def _alone(ask: Callable) -> Callable:
+    def alone(group: pa.Table) -> pa.Table:
+        return ask(group, None)
+
+    return alone
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All occurrences of the names of a bucket are here: for every slice, which of its names occur twice."""
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    if not rows:
+        return
+    names = _from_bytes(b"".join(r["names"] for r in rows), 6)
+    ends = np.cumsum([len(r["names"]) // 6 for r in rows])
+    begins = np.concatenate([[0], ends[:-1]])
+    again = np.concatenate([np.unpackbits(np.frombuffer(r["twice"], np.uint8), count=b - a) for r, a, b in zip(rows, begins, ends, strict=True)]).astype(bool)
+    order = np.argsort(names, kind="stable")
+    run = np.cumsum(np.concatenate([[True], names[order][1:] != names[order][:-1]])) - 1
+    often = np.bincount(run, 1 + again[order]) > 1
+    again[order] = often[run]
+    bits = [np.packbits(again[a:b]).tobytes() for a, b in zip(begins, ends, strict=True)]
+    columns = [pa.array([r[c] for r in rows], pa.int32()) for c in ("slice", "part", "level", "bucket")]
+    yield pa.RecordBatch.from_arrays([*columns, pa.array(bits, pa.binary())], ["slice", "part", "level", "bucket", "bits"])
+
+
+def _send(width: int, buckets: int, levels: Sequence[int]):
+    """Possible windows to the bucket of their anchor, each once per slice, and replies for those found again within the slice."""
+
+    def send(group: pa.Table, marks: pa.Table) -> pa.Table:
+        rows = []
+        for part, t, ids, sums in _slices(group):
+            starts, ends, first = t.words()
+            words = hash_spans(t.buf, starts, ends)
+            live = possible(words, owner(first), width, _told(marks, part, buckets), levels)
+            if live.any():
+                rows += _window_rows(windows(words, first, width), live, first, ids, sums, buckets)
+        return pa.Table.from_batches([_batch(rows)] if rows else [], _SENT)
 
     return send
 
 
-def _send_slice(t: Texts, ids: pa.Array, sums: pa.Array, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    ids, sums = ids.to_numpy(), sums.to_numpy()
-    starts, ends, first = t.words()
-    at, text, anchor, key, hashed = windows(hash_spans(t.buf, starts, ends), first, width)
+def _window_rows(found: tuple[np.ndarray, ...], live: np.ndarray, first: np.ndarray, ids: np.ndarray, sums: np.ndarray, buckets: int) -> list[tuple]:
+    at, text, anchor, key, hashed = (x[live[found[0]]] for x in found)
     start = at - first[text]
     again = later_ones(hashed, (key,), ids[text], sums[text], start)
     rows = _replies(ids[text[again]], sums[text[again]], start[again], buckets)
@@ -194,8 +383,7 @@ def _send_slice(t: Texts, ids: pa.Array, sums: pa.Array, width: int, buckets: in
         per_anchor = _low_bytes(key[heads] & _LOW48, 6) + (anchor - at + start)[heads].astype("<u4").tobytes() + number.astype("<u4").tobytes() + counts.tobytes()
         per_window = _low_bytes(hashed[a:b] & _LOW48, 6) + (anchor - at)[a:b].astype(np.uint8).tobytes()
         rows.append((int(bucket[a]), False, ids[docs].tobytes(), sums[docs].tobytes(), per_anchor, per_window))
-    if rows:
-        yield _batch(rows)
+    return rows
 
 
 def _judge(buckets: int):
@@ -270,13 +458,15 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
     or in the same document at an earlier word. Windows are judged on the input. The text becomes the kept words with
     single spaces.
 
-    How: recompression names runs and pairs of words the same way everywhere, so equal
-    windows hold equal symbols. Each window goes by its anchor, a symbol in it, to the
-    task where all equal windows meet; windows that share an anchor travel
-    together in packed arrays. Before that, every slice of text keeps only the
-    first of equal windows, so a passage in most documents reaches a task once per slice. There
+    How: recompression names runs of words, then level by level pairs of symbols, the same way everywhere, so equal
+    windows hold the same symbols wherever their own words decide these. A Spark round per entry of ``LEVELS`` counts the names of that level
+    over all documents: each slice of text asks once for each of its names, and only for those under a window that
+    is still possible; a window with a name that occurs once is not. Names are hashes, so that a round need not
+    rename the texts; a chance collision only lets a window go on to be verified. Each possible window goes by its anchor, a symbol
+    of the first round in it, to the task where all equal windows meet; windows that share an anchor travel
+    together in packed arrays, each once per slice, so a passage in most documents reaches a task once per slice. There
     key and hash, 96 bits in all, verify which are equal, and those that are not the first are sent
-    back, packed by document. The text moves once, to meet these.
+    back, packed by document. Groups of texts and tasks follow the bytes of the input.
 
     Null text has no words. Documents of less than ``width`` words have no windows. Rows that share an id are
     ordered by a checksum of their text; rows equal in id and text are one document. A null id
@@ -287,11 +477,24 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW, key: str = "doc_id", te
         raise ValueError("windows have 10 to 255 words")
     docs = docs.drop("__n_words", "__n_removed")
     id_name, sum_name, starts_name = unused(docs.columns, "__id", "__sum", "__starts")
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(plain(text)).cast("long"))).first()[0] or 0
+    buckets, groups = max(least, -(-size // BUCKET_BYTES)), max(1, -(-size // GROUP_BYTES))
     id_ = F.coalesce(plain(key).cast("long"), F.lit(_NULL))
     # A checksum that fits an int.
     sum_ = F.hash(F.coalesce(plain(text), F.lit("")))
-    sent = docs.select(id_.alias("id"), sum_.alias("sum"), plain(text).alias("text")).mapInArrow(_send(width, buckets), _ROW)
+    given = docs.select(F.pmod(F.xxhash64(id_, sum_), F.lit(groups)).cast("int").alias("slice"), id_.alias("id"), sum_.alias("sum"), plain(text).alias("text"))
+    grouped = given.mapInArrow(_once, given.schema).repartition(max(least, groups // 8), "slice").groupBy("slice")
+    marks, levels = None, LEVELS
+    for level in levels:
+        ask = _ask(width, buckets, levels, level)
+        if marks is None:
+            asked = grouped.applyInArrow(_alone(ask), _ASKED)
+        else:
+            asked = grouped.cogroup(marks.groupBy("slice")).applyInArrow(ask, _ASKED)
+        counted = pin(asked.repartitionById(buckets, F.col("bucket")).mapInArrow(_count, _MARK))
+        marks = counted if marks is None else marks.unionByName(counted)
+    sent = grouped.cogroup(marks.groupBy("slice")).applyInArrow(_send(width, buckets, levels), _ROW)
     replies = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_judge(buckets), _ROW).where("reply")
     starts = replies.repartitionById(buckets, F.col("bucket")).mapInArrow(_gather, "id long, sum int, starts binary").toDF(id_name, sum_name, starts_name)
     names = docs.columns

@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallystar.llm import substring_dedup
 from tallystar.llm.spans import mix
-from tallystar.llm.substring_dedup import _K2, AFTER, BEFORE, _batch, _judge, remove_repeats, symbols
+from tallystar.llm.substring_dedup import _K2, AFTER, BEFORE, _batch, _judge, name_pairs, name_runs, possible, remove_repeats, symbols
 
 from .common import WORD, awkward, documents
 
@@ -97,3 +98,78 @@ def test_windows_are_told_by_key_and_hash():
 
     assert replies([7, 7], [5, 5]) == 1
     assert replies([7, int(keys[hit])], [5, int(other[hit])]) == 0
+
+
+def decided(words, text, level, lo, hi):
+    """Symbols that words lo to hi decide: place among these, and name."""
+    s = name_runs(words, text)
+    for k in range(1, level + 1):
+        s = name_pairs(s, k)
+    return {(int(a) - lo, int(b) - lo, int(n)) for a, b, n in zip(s.lo, s.hi, s.name, strict=True) if a >= lo and b <= hi}
+
+
+@pytest.mark.parametrize("kinds", [2, 3, 50])
+def test_equal_passages_have_equal_symbols(kinds):
+    rng = np.random.default_rng(kinds)
+    found = [0] * 7
+    for _ in range(200):
+        n, width = 60, 24
+        texts = []
+        passage = rng.integers(1, kinds + 1, width).astype(np.uint64)
+        for _ in range(2):
+            words = rng.integers(1, kinds + 1, n).astype(np.uint64)
+            at = int(rng.integers(0, n - width + 1))
+            words[at : at + width] = passage
+            # Some texts begin or end at the passage.
+            text = np.zeros(n, np.int64)
+            if rng.random() < 0.3:
+                text[at:] = 1
+            if rng.random() < 0.3:
+                text[at + width :] = 2
+            texts.append((words, text, at))
+        for level in range(7):
+            one, two = (decided(w, t, level, at, at + width) for w, t, at in texts)
+            assert one == two
+            found[level] += len(one)
+    assert found[3] > 200 and found == sorted(found, reverse=True)
+
+
+def test_only_shared_symbols_let_windows_through():
+    rng = np.random.default_rng(8)
+    n, width, levels = 4000, 20, (3, 5)
+    words = rng.integers(1, 2000, n).astype(np.uint64)
+    words[3000:3050] = words[100:150]
+    words[2000:2060] = 7
+    text = np.repeat(np.arange(4), 1000)
+    told = {}
+    for level in levels:
+        names, twice = possible(words, text, width, told, levels, level)
+        often = dict(zip(names.tolist(), twice.tolist(), strict=True))
+        told[level] = lambda asked, often=often: np.array([often[x] for x in asked.tolist()], bool)
+    live = possible(words, text, width, told, levels)
+    seen = {}
+    for i in range(n - width + 1):
+        if text[i] == text[i + width - 1]:
+            seen.setdefault(tuple(words[i : i + width].tolist()), []).append(i)
+    repeated = {i for places in seen.values() if len(places) > 1 for i in places}
+    assert len(repeated) > 90 and repeated <= set(np.flatnonzero(live).tolist())
+    # Of 3,850 windows that occur once, only a few at the edges of what repeats are left.
+    assert live.sum() < len(repeated) + 40
+    # Without shared symbols nothing is found, but in the run, whose windows decide no symbol.
+    none = possible(words, text, width, dict.fromkeys(levels, lambda asked: np.zeros(len(asked), bool)), levels)
+    assert not none[:1990].any() and not none[2070:].any()
+
+
+def test_the_result_comes_through_the_symbols(spark, monkeypatch):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "x " + text), (2, text + " y"), (3, " ".join(f"u{k}" for k in range(60)))]
+    assert [r[3] for r in found(remove_repeats(documents(spark, rows)))] == [0, 60, 0]
+    # If no symbol is shared, nothing goes.
+    monkeypatch.setattr(substring_dedup, "_count", _once_each)
+    assert [r[3] for r in found(remove_repeats(documents(spark, rows)))] == [0, 0, 0]
+
+
+def _once_each(batches):
+    for batch in batches:
+        bits = [bytes(len(n)) for n in batch.column("names").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("slice", "part", "level", "bucket")), pa.array(bits, pa.binary())], ["slice", "part", "level", "bucket", "bits"])
