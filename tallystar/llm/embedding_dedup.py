@@ -18,7 +18,10 @@ LEAST_COSINE = 0.9
 #: Layout, not limits: vectors of a block, dimensions summed exactly in single precision, pairs computed at once.
 BLOCK = 4096
 _EXACT_DIMS = 1024
+_STRIPE = 256
 _PAIRS = 1 << 17
+#: More than double precision can err in a cosine and its bound.
+_ROUNDING = 1e-9
 _NULL = -(2**63)
 
 
@@ -40,34 +43,46 @@ def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def linked_pairs(a: tuple, b: tuple, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows with a cosine of at least ``least``, from (vectors, codes, scales, errors) of both sides.
+def judged_pairs(a: tuple, b: tuple, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows that may have a cosine of at least ``least``, and whether they surely have, from (codes, scales, errors) of both sides.
 
     With unit vectors u = s q + r, the cosine differs from s s' (q . q') by at most
-    |r| |u'| + |r'| |u| + |r| |r'|. Pairs below ``least`` even so are out; the others are computed in
-    double precision.
+    |r| |u'| + |r'| |u| + |r| |r'|. Given stripe by stripe of the first side.
     """
-    (va, qa, sa, ea), (vb, qb, sb, eb) = a, b
-    products = code_products(qa, qb)
-    products *= sa[:, None].astype(products.dtype)
+    (qa, sa, ea), (qb, sb, eb) = a, b
+    if not len(qa) or not len(qb):
+        return
     most = ea.max() + eb + ea.max() * eb + 1e-5
-    rows, columns = np.nonzero(products >= ((least - most) / sb).astype(products.dtype)[None, :])
-    bound = ea[rows] + eb[columns] + ea[rows] * eb[columns] + 1e-5
-    possible = products[rows, columns] * sb[columns] >= least - bound
-    rows, columns = rows[possible], columns[possible]
+    for k in range(0, len(qa), _STRIPE):
+        products = code_products(qa[k : k + _STRIPE], qb)
+        scaled = products * sa[k : k + _STRIPE, None].astype(products.dtype)
+        rows, columns = np.nonzero(scaled >= ((least - most) / sb).astype(products.dtype)[None, :])
+        about = products[rows, columns].astype(np.float64)
+        rows += k
+        about *= sa[rows] * sb[columns]
+        bound = ea[rows] + eb[columns] + ea[rows] * eb[columns] + _ROUNDING
+        some = about >= least - bound
+        yield rows[some], columns[some], (about >= least + bound)[some]
+
+
+def confirmed(va: np.ndarray, vb: np.ndarray, rows: np.ndarray, columns: np.ndarray, least: float) -> np.ndarray:
+    """Whether pairs of rows have a cosine of at least ``least`` in double precision."""
     na, nb = np.linalg.norm(va, axis=1), np.linalg.norm(vb, axis=1)
     keep = np.zeros(len(rows), bool)
     for k in range(0, len(rows), _PAIRS):
         r, c = rows[k : k + _PAIRS], columns[k : k + _PAIRS]
         keep[k : k + _PAIRS] = np.einsum("ij,ij->i", va[r], vb[c]) / (na[r] * nb[c]) >= least
-    return rows[keep], columns[keep]
+    return keep
+
+
+_CODED = "h1 long, h2 long, id long, weight long, vector array<double>, dim int, codes binary, scale double, error double"
 
 
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        lists = batch.column(2)
+        lists = batch.column(4)
         dims = np.diff(lists.offsets.to_numpy())
         values, begin = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.concatenate([[0], np.cumsum(dims)])
         codes, scales, errors = [b""] * len(dims), np.zeros(len(dims)), np.zeros(len(dims))
@@ -77,46 +92,65 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, row in zip(at, q, strict=True):
                 codes[i] = row.tobytes()
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], lists, pa.array(dims.astype(np.int32)), pa.array(codes, pa.binary()), pa.array(scales), pa.array(errors)],
-            ["id", "weight", "vector", "dim", "codes", "scale", "error"],
+            [*batch.columns, pa.array(dims.astype(np.int32)), pa.array(codes, pa.binary()), pa.array(scales), pa.array(errors)],
+            ["h1", "h2", "id", "weight", "vector", "dim", "codes", "scale", "error"],
         )
 
 
-def _tile(least: float):
+#: What a tile returns: links (a, b), sums of links (of h1, h2), or vectors (h1, h2 of a block) whose full precision it asks for.
+_FOUND = "a long, b long, h1 long, h2 long, degree long, dim int, i int, j int, block int"
+_FOUND_ARROW = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.int32()) for c in _FOUND.split(", ")])
+
+
+def _tile(least: float, full: bool):
+    """Links of a tile: those the bounds ensure and the vectors of open pairs, or, with their full precision, the links among open pairs."""
+
     def tile(group: pa.Table) -> pa.Table:
+        dim, i, j = (group.column(c)[0].as_py() for c in ("dim", "i", "j"))
         block = group.column("block").to_numpy()
-        dim = group.column("dim")[0].as_py()
-        ids, weights = group.column("id").to_numpy(), group.column("weight").to_numpy()
-        v = pc.list_flatten(group.column("vector")).to_numpy().astype(np.float64).reshape(-1, dim)
+        ids, weights, h1, h2 = (group.column(c).to_numpy() for c in ("id", "weight", "h1", "h2"))
         q = np.frombuffer(b"".join(group.column("codes").to_pylist()), np.int8).reshape(-1, dim)
         s, e = group.column("scale").to_numpy(), group.column("error").to_numpy()
-        sides = [np.flatnonzero(block == x) for x in np.unique(block)]
-        first, last = sides[0], sides[-1]
-        if group.column("i")[0].as_py() != group.column("j")[0].as_py() and len(sides) < 2:
-            first = last = first[:0]
-        rows, columns = (np.zeros(0, np.int64),) * 2
-        if len(first) and len(last):
-            rows, columns = linked_pairs(*((v[x], q[x], s[x], e[x]) for x in (first, last)), least)
-            rows, columns = first[rows], last[columns]
-        apart = rows != columns
-        rows, columns = rows[apart], columns[apart]
-        degree = np.bincount(rows, weights[columns], len(ids))
-        if first is not last:
-            degree += np.bincount(columns, weights[rows], len(ids))
-        some = np.flatnonzero(degree)
-        # Among the rows that have links, those that hold the tile's components together.
-        matrix = np.zeros((len(some), len(some)), bool)
-        x, y = np.searchsorted(some, rows), np.searchsorted(some, columns)
-        matrix[x, y] = matrix[y, x] = True
-        held = np.array(spanning(matrix), np.int64).reshape(-1, 2)
-        a, b = ids[some[held[:, 0]]], ids[some[held[:, 1]]]
-        none = pa.nulls(len(some), pa.int64())
-        return pa.table(
-            {
-                "a": pa.concat_arrays([pa.array(ids[some]), pa.array(a)]),
-                "b": pa.concat_arrays([none, pa.array(b)]),
-                "degree": pa.concat_arrays([pa.array(degree[some].astype(np.int64)), pa.nulls(len(a), pa.int64())]),
-            }
+        first, last = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if full:
+            v = pc.list_flatten(group.column("vector")).to_numpy().astype(np.float64).reshape(-1, dim)
+            va, vb = v[first], v[last]
+        linked = np.zeros((len(first), len(last)), bool)
+        degree, open_ = np.zeros(len(ids)), np.zeros(len(ids), bool)
+        for rows, columns, sure in judged_pairs(*((q[x], s[x], e[x]) for x in (first, last)), least):
+            if i == j:
+                apart = rows != columns
+                rows, columns, sure = rows[apart], columns[apart], sure[apart]
+            if full:
+                rows, columns = rows[~sure], columns[~sure]
+                sure = confirmed(va, vb, rows, columns, least)
+            else:
+                open_[first[rows[~sure]]] = open_[last[columns[~sure]]] = True
+            rows, columns = rows[sure], columns[sure]
+            linked[rows, columns] = True
+            degree += np.bincount(first[rows], weights[last[columns]], len(ids))
+            if i != j:
+                degree += np.bincount(last[columns], weights[first[rows]], len(ids))
+        # The links that hold the components of the tile together, among the rows that have links.
+        x, y = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+        if i == j:
+            nodes, matrix = first[x], linked[np.ix_(x, x)]
+        else:
+            nodes, matrix = np.concatenate([first[x], last[y]]), np.zeros((len(x) + len(y),) * 2, bool)
+            matrix[: len(x), len(x) :] = linked[np.ix_(x, y)]
+            matrix |= matrix.T
+        held = nodes[np.array(spanning(matrix), np.int64).reshape(-1, 2)]
+        some, asked = np.flatnonzero(degree), np.flatnonzero(open_)
+        tile_ = [pa.array(np.full(len(asked), k, np.int32)) for k in (dim, i, j)]
+        parts = [
+            {"a": ids[held[:, 0]], "b": ids[held[:, 1]]},
+            {"h1": h1[some], "h2": h2[some], "degree": degree[some].astype(np.int64)},
+            {"h1": h1[asked], "h2": h2[asked], "dim": tile_[0], "i": tile_[1], "j": tile_[2], "block": block[asked].astype(np.int32)},
+        ]
+        lens = [len(held), len(some), len(asked)]
+        return pa.concat_tables(
+            pa.Table.from_arrays([pa.array(p[f.name], f.type) if f.name in p else pa.nulls(n, f.type) for f in _FOUND_ARROW], schema=_FOUND_ARROW)
+            for p, n in zip(parts, lens, strict=True)
         )
 
     return tile
@@ -132,8 +166,9 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, key: str = "ve
 
     How: equal vectors are one with a weight, so copies are not expanded. The different
     vectors are cut into blocks of bounded size, and every pair of blocks is
-    one task's product of int8 codes; only pairs whose error bound allows ``least`` are
-    computed in full. A tile returns sums of links and the few links that hold its components together,
+    one task's product of int8 codes, which is all that is sent to it. Pairs whose error bounds lie on one side of ``least`` are
+    settled there; for the vectors of the others full precision is fetched, tile by tile, and these pairs are
+    computed in it. A tile returns sums of links and the few links that hold its components together,
     never its pairs. All pairs are looked at, so the work grows with the square of the number of
     different vectors.
 
@@ -147,32 +182,34 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, key: str = "ve
     usable = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False))
     given = given.select("id", F.when(usable, F.col("vector")).alias("vector"))
     marked = pin(given.withColumn("h1", F.xxhash64("vector", F.lit(1))).withColumn("h2", F.xxhash64(F.lit(2), "vector")))
-    classes = pin(
-        marked.where("vector is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector"))
-    )
-    blocks = max(1, -(-classes.count() // BLOCK))
-    coded = classes.select(F.col("rep").alias("id"), "weight", "vector").mapInArrow(
-        _code, "id long, weight long, vector array<double>, dim int, codes binary, scale double, error double"
-    )
+    classes = marked.where("vector is not null").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector"))
+    coded = pin(classes.mapInArrow(_code, _CODED))
+    blocks = max(1, -(-coded.count() // BLOCK))
     mine = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     tiles = (
-        coded.withColumn("block", mine)
+        coded.drop("vector")
+        .withColumn("block", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
         .drop("other")
     )
-    found = pin(tiles.groupBy("dim", "i", "j").applyInArrow(_tile(least), "a long, b long, degree long"))
+    settled = pin(tiles.groupBy("dim", "i", "j").applyInArrow(_tile(least, False), _FOUND))
+    asked = settled.where("block is not null").select("dim", "i", "j", "block", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
+    fetched = asked.join(coded.drop("dim"), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).drop("k1", "k2")
+    found = pin(settled.where("block is null").unionByName(fetched.groupBy("dim", "i", "j").applyInArrow(_tile(least, True), _FOUND)))
     parts = components(found.where("b is not null").select("a", "b"))
-    degrees = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("degree").alias("degree"))
+    degrees = found.where("b is null").groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(F.sum("degree").alias("degree"))
     placed = (
-        classes.join(degrees, F.col("rep") == degrees["node"], "left")
-        .join(parts, F.col("rep") == parts["node"], "left")
+        coded.select("h1", "h2", "id", "weight")
+        .join(degrees, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left")
+        .drop("k1", "k2")
+        .join(parts, F.col("id") == parts["node"], "left")
         .select(
             F.col("h1").alias("k1"),
             F.col("h2").alias("k2"),
             (F.coalesce("degree", F.lit(0)) + F.col("weight") - 1).alias("links"),
-            F.coalesce("component", "rep").alias("part"),
+            F.coalesce("component", "id").alias("part"),
         )
     )
     on = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("vector").isNotNull()
