@@ -107,6 +107,17 @@ def test_sites_against_a_plain_computation(spark):
         assert r.site_rate == pytest.approx(site, rel=1e-9) and r.quality == pytest.approx(want, rel=1e-9)
 
 
+def test_sites_that_differ_flip_verdicts(spark):
+    p = lambda x: float(1 / (1 + np.exp(-x)))
+    rows = [(i, "good", "en", 3.0) for i in range(40)] + [(100 + i, "bad", "en", -3.0) for i in range(40)]
+    # Undecided documents: one by itself leans to good on the bad host, one to bad on the good host, and the same two on a host of their own.
+    rows += [(200, "bad", "en", 0.5), (201, "good", "en", -0.5), (202, "new1", "en", 0.5), (203, "new2", "en", -0.5)]
+    scored = spark.createDataFrame([(*r, p(r[3])) for r in rows], "doc_id long, host string, path string, logit double, p double")
+    quality = {r.doc_id: r.quality for r in quality_classifier.with_sites(scored).collect()}
+    assert quality[200] < 0.5 < quality[201]
+    assert quality[203] < 0.5 < quality[202]
+
+
 def test_awkward_documents_and_no_labels(spark):
     labels = spark.createDataFrame([(1, 1), (6, 1), (6, 0), (8, 0), (None, 1), (10, None)], LABELS)
     df = documents(spark, awkward(), clashes=True)
