@@ -87,7 +87,8 @@ def _lines(docs: DataFrame, id_: str, text: str, least_chars: int) -> DataFrame:
 
 
 def _shard(shards: int) -> Column:
-    return F.pmod(F.shiftrightunsigned("h1", 7), F.lit(shards))
+    # An int, as the index has it: int and bigint of one value hash to different partitions, and a cogroup does not cast its keys.
+    return F.pmod(F.shiftrightunsigned("h1", 7), F.lit(shards)).cast("int")
 
 
 def _build(frame: pd.DataFrame) -> pd.DataFrame:

@@ -46,6 +46,18 @@ def test_a_line_of_most_documents(spark):
     assert [r[3] for r in out] == [1] * 4999 + [0]
 
 
+def test_lines_meet_their_shard_in_any_partition(spark):
+    # Small shuffles are merged to one partition, where all rows meet whatever their keys hash to; large ones are not.
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = [(i, "\n".join(f"This is line number {k} of many." for k in (i % 40, i % 25, 100 + i))) for i in range(300)]
+    spark.conf.set(merge, "false")
+    try:
+        out = found(drop_repeated_lines(documents(spark, rows)))
+    finally:
+        spark.conf.unset(merge)
+    assert out == expected(rows, 20, 3) and sum(r[3] for r in out) > 500
+
+
 def test_no_documents_and_other_columns(spark):
     assert drop_repeated_lines(documents(spark, [])).count() == 0
     df = documents(spark, awkward(), clashes=True)
