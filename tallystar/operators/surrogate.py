@@ -15,6 +15,8 @@ MOST_RANGES = 1 << 16
 _SAMPLED = 100
 _MOST_SAMPLED = 1 << 20
 _HASHES = 1 << 32
+#: ``monotonically_increasing_id`` holds the number of a row within its partition in its lower bits, that of the partition above.
+_ROW_BITS = 33
 
 
 def _range_of(key: Column, bounds: Column, ranges: int, df: DataFrame) -> DataFrame:
@@ -27,7 +29,9 @@ def _range_of(key: Column, bounds: Column, ranges: int, df: DataFrame) -> DataFr
     return df.drop("__bounds")
 
 
-def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str], rows: int | None = None) -> DataFrame:
+def dense_surrogate_key(
+    df: DataFrame, id_column: str, order_by: Sequence[str], rows: int | None = None, repeated: DataFrame | None = None
+) -> DataFrame:
     """``df`` with ids 1..N (bigint) in the order of ``order_by``.
 
     The ids equal ``row_number() over (order by order_by, <other columns>)``, but
@@ -36,13 +40,17 @@ def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str],
     1. bounds of the ranges from a sample, which the hash of a whole row decides: the same rows in every run, and as
        many from each part of the order as there are different rows;
     2. rows per range, and the running sum of these: one row per range;
-    3. one shuffle by the number of the range, a sort within it, and id = rows in earlier ranges + position.
+    3. one shuffle by the number of the range, which is then the number of the partition, a sort within it by the order alone, and
+       id = rows in earlier ranges + position.
 
     All of it is one query. The bounds are values, not sampled anew by each reader, so counting and numbering see the same
     ranges and nothing is written in between. ``df`` is read for the sample, the counts and the
     rows (and once more for its number of rows if ``rows``, about how many there are, is not given): if it ends in a
     shuffle, as a distinct does, these read the files of that one shuffle. Pin other frames that are dear to compute.
 
+    ``repeated``, if given, has the rows of ``df``, some of them several times, and is read for the sample in its place: the
+    same rows are sampled, without being made distinct first.
+
     ``rows`` only sets the number of ranges and the sample: where a task can sort them all there is one range.
     All columns take part in the order, so that the ids are the same for every
     partitioning and a key value shared by many rows is still cut into several
@@ -62,13 +70,16 @@ def dense_surrogate_key(df: DataFrame, id_column: str, order_by: Sequence[str],
     total = F.lit(rows) if rows is not None else df.agg(F.count(F.lit(1))).scalar()
     below = F.lit(float(min(_SAMPLED * ranges, _MOST_SAMPLED)) * _HASHES) / F.greatest(total, F.lit(1))
     sampled = F.when(F.pmod(F.xxhash64(*order), F.lit(_HASHES)) < below, key)
-    sample = df.agg(F.sort_array(F.collect_list(sampled)).alias("s"))
+    sample = (df if repeated is None else repeated).agg(F.sort_array(F.collect_set(sampled)).alias("s"))
     cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("s", (i * F.size("s") / ranges).cast("int")))
     ranged = _range_of(key, sample.select(cuts).scalar(), ranges, df)
 
     # One row per range, so neither the window nor the broadcast grows with the rows.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")).select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
-    within = Window.partitionBy("__range").orderBy(*order)
-    numbered = ranged.repartitionById(ranges, F.col("__range")).withColumn("__position", F.row_number().over(within))
-    return numbered.join(F.broadcast(offsets), "__range").select(*columns, (F.col("__before") + F.col("__position")).alias(id_column))
+    # Sorted without the range, which is the same in all rows of a task: a window would compare it first, and buffer the rows.
+    placed = ranged.repartitionById(ranges, F.col("__range")).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    told = F.concat(F.lit("a range lies in another partition: "), F.col("__range").cast("string"))
+    own = F.shiftright("__at", _ROW_BITS) == F.col("__range")
+    position = F.when(own, F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1).otherwise(F.raise_error(told).cast("bigint"))
+    return placed.join(F.broadcast(offsets), "__range").select(*columns, (F.col("__before") + position).alias(id_column))

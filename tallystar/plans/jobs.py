@@ -11,24 +11,25 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Collection, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallystar.operators.surrogate import dense_surrogate_key
 from tallystar.plans import reports
 from tallystar.plans.layout import StarLayout
 from tallystar.plans.star import (
-    distinct_dimension,
+    distinct_rows,
     inventory_fact,
-    product_dimension,
+    product_rows,
     repeated_keys,
     sales_without_date,
     time_dimension,
 )
 from tallystar.session import PARTITION_BYTES, fit_shuffles, prepare
-from tallystar.sources.scratch import pin, scratch_of_job
+from tallystar.sources.scratch import at_once, pin, scratch_of_job
 from tallystar.sources.tables import read_source, read_table, read_written, table_path, write_csv, write_table
 from tallystar.sources.versions import Version, current
 
@@ -92,17 +93,25 @@ def build_star(
         there = version.added[name]
         return read_written(spark, there.path, fmt, there.schema)
 
+    def write_dated() -> None:
+        if "time_dim" in wanted:
+            write("time_dim", time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
+        if "inventory_fact" in wanted:
+            write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=rows["inventory_fact"]))
+
+    def pinned(name: str) -> DataFrame:
+        return pin(product_rows(source, layout.product, layout.stock) if name == "products_dim" else distinct_rows(source, dimensions[name]))
+
+    def write_dimension(name: str, made: DataFrame) -> None:
+        write(name, dense_surrogate_key(made, IDS[name], dimensions[name], rows[name]))
+
     try:
         with scratch_of_job(spark):
-            if "time_dim" in wanted:
-                write("time_dim", time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
-            if "inventory_fact" in wanted:
-                write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=rows["inventory_fact"]))
-            for name in dimensions:
-                if name == "products_dim" and name in wanted:
-                    write(name, product_dimension(source, layout.product, layout.stock, rows=rows[name]))
-                elif name in wanted:
-                    write(name, distinct_dimension(source, dimensions[name], IDS[name], rows=rows[name]))
+            # The rows of the dimensions are made beside the fact, which leaves cores idle at the end of its stages.
+            names = [name for name in dimensions if name in wanted]
+            _, *made = at_once(write_dated, *[partial(pinned, name) for name in names])
+            if names:
+                at_once(*[partial(write_dimension, name, rows_made) for name, rows_made in zip(names, made, strict=True)])
             schemas = {name: version.added[name].schema for name in IDS if name in wanted}
             if set(IDS) <= wanted:
                 checks = [sales_without_date(source, layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
@@ -169,12 +178,10 @@ def run_reports(
         return pin(read(name)) if often and text else read(name)
 
     with scratch_of_job(spark):
-        fact, time = table("inventory_fact"), table("time_dim")
-        customers, products = table("customers_dim"), table("products_dim", often=False)
-        transactions = table("transaction_dim")
-        results = reports.all_reports(fact, customers, time, products, transactions, year, category, k)
-        for name, report in results.items():
-            write_csv(report, table_path(out, name, "csv"))
+        often = ["inventory_fact", "customers_dim", "time_dim", "transaction_dim"]
+        fact, customers, time, transactions = at_once(*[partial(table, name) for name in often])
+        results = reports.all_reports(fact, customers, time, table("products_dim", often=False), transactions, year, category, k)
+        at_once(*[partial(write_csv, report, table_path(out, name, "csv")) for name, report in results.items()])
     return {name: read_written(spark, table_path(out, name, "csv"), "csv", report.schema) for name, report in results.items()}
 
 

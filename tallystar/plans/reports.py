@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.money import exact, times
 from tallystar.operators.yearly import facts_of_year
-from tallystar.sources.scratch import pin
+from tallystar.sources.scratch import at_once, pin
 
 
 # Counts and sums, by whatever a report needs. COUNT is of all sales, ORDERS of those with a transaction.
@@ -163,14 +163,19 @@ def all_reports(
         bits = [sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in s) for s in sets]
         return [made.where(F.col("SET") == b).select(*s, *made.columns[len(names) + 1 :]) for b, s in zip(bits, sets, strict=True)]
 
-    per_customer, per_transaction = grouped(fact, [["CUSTOMER_ID"], ["TRANSACTION_ID"]], _count(), _orders())
-    lines, by_quarter, per_product = grouped(
-        facts_of_year(fact, time, year, time_key),
-        [["CUSTOMER_ID", "TRANSACTION_ID"], ["YEAR", "QUARTER"], ["YEAR", "QUARTER", "PRODUCT_ID"]],
-        _count(),
-        _orders(),
-        _profit(fact),
-    )
+    def of_all_years() -> list[DataFrame]:
+        return grouped(fact, [["CUSTOMER_ID"], ["TRANSACTION_ID"]], _count(), _orders())
+
+    def of_the_year() -> list[DataFrame]:
+        return grouped(
+            facts_of_year(fact, time, year, time_key),
+            [["CUSTOMER_ID", "TRANSACTION_ID"], ["YEAR", "QUARTER"], ["YEAR", "QUARTER", "PRODUCT_ID"]],
+            _count(),
+            _orders(),
+            _profit(fact),
+        )
+
+    (per_customer, per_transaction), (lines, by_quarter, per_product) = at_once(of_all_years, of_the_year)
     return {
         "top_10_customers": _top_customers(lines.drop("ORDERS", "PROFIT"), customers, transactions, year, k),
         "statewise_orders": _state_orders(per_customer, customers),

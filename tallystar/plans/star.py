@@ -21,21 +21,30 @@ DAYS = 1 << 18
 _FINER = set("aBhHkKmsSAnNVvzOXx")
 
 
+def distinct_rows(source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``distinct_dimension`` before its ids."""
+    return source.select(*columns).dropDuplicates()
+
+
+def product_rows(source: DataFrame, columns: Sequence[str], stock: str) -> DataFrame:
+    """``product_dimension`` before its ids."""
+    return source.groupBy(*columns).agg(F.min(stock).alias(stock))
+
+
 def distinct_dimension(source: DataFrame, columns: Sequence[str], id_column: str, rows: int | None = None) -> DataFrame:
     """The distinct values of ``columns`` with an id: customers, sellers, transactions.
 
     Rows are kept whole, so a customer with two addresses has two rows, and each
     of their sales joins both. ``repeated_keys`` finds them.
     """
-    return dense_surrogate_key(source.select(*columns).dropDuplicates(), id_column, columns, rows)
+    return dense_surrogate_key(distinct_rows(source, columns), id_column, columns, rows)
 
 
 def product_dimension(
     source: DataFrame, columns: Sequence[str], stock: str, id_column: str = "PRODUCT_DIM_ID", rows: int | None = None
 ) -> DataFrame:
     """One row per product, with the smallest of its stock values."""
-    products = source.groupBy(*columns).agg(F.min(stock).alias(stock))
-    return dense_surrogate_key(products, id_column, columns, rows)
+    return dense_surrogate_key(product_rows(source, columns, stock), id_column, columns, rows)
 
 
 def calendar(
@@ -85,9 +94,12 @@ def inventory_fact(
     others see, and its size is known to the planner. The rows come out in runs
     ordered by date, so that files and row groups hold few days each.
     """
-    sales = source.select(date, *columns).dropDuplicates()
-    dated = sales.join(time.select(date, time_id), date).select(time_id, *columns)
-    return dense_surrogate_key(dated, id_column, [time_id, *columns], rows).select(
+
+    def dated(sales: DataFrame) -> DataFrame:
+        return sales.join(time.select(date, time_id), date).select(time_id, *columns)
+
+    lines = source.select(date, *columns)
+    return dense_surrogate_key(dated(lines.dropDuplicates()), id_column, [time_id, *columns], rows, dated(lines)).select(
         id_column, time_id, *columns
     )
 

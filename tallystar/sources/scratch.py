@@ -6,9 +6,11 @@ import re
 import tempfile
 import uuid
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,16 @@ def scratch_of_job(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def at_once(*jobs: Callable[[], Any]) -> list:
+    """What the jobs return, in their order. They run beside each other, so that tasks of one use the cores another leaves idle.
+
+    Ends when all have ended; then the first that failed raises. What they pin lies in the scratch of the job that called.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(copy_context().run, job) for job in jobs]
+    return [job.result() for job in running]
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` and read it back, so that every later use sees the same rows.
 

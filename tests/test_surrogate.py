@@ -95,3 +95,15 @@ def test_ids_do_not_change_between_actions(spark, pairs):
     ours = dense_surrogate_key(pairs, "id", ["k", "s"])
     assert table(ours) == table(ours)
     assert dict(ours.dtypes)["id"] == "bigint"
+
+
+def test_rows_are_sorted_by_the_order_alone(spark, pairs):
+    plan = dense_surrogate_key(pairs.repartition(4), "id", ["k", "s"])._jdf.queryExecution().optimizedPlan().toString()
+    # The number of the range is the same in all rows of a task: it is no key of the sort, and no window buffers the rows.
+    assert "row_number" not in plan and len(re.findall(r"Sort \[k#\d+ ASC NULLS FIRST, s#\d+ ASC NULLS FIRST\], false", plan)) == 1
+
+
+def test_a_sample_of_rows_that_are_not_yet_distinct(spark, pairs):
+    twice = pairs.unionByName(pairs)
+    ours = dense_surrogate_key(twice.dropDuplicates(), "id", ["k", "s"], repeated=twice)
+    assert table(ours) == table(by_window(pairs, "id", ["k", "s"]))
