@@ -39,12 +39,12 @@ def dense_surrogate_key(
 
     1. bounds of the ranges from a sample, which the hash of a whole row decides: the same rows in every run, and as
        many from each part of the order as there are different rows;
-    2. rows per range, and the running sum of these: one row per range;
-    3. one shuffle by the number of the range, which is then the number of the partition, a sort within it by the order alone, and
-       id = rows in earlier ranges + position.
+    2. one shuffle by the number of the range, which is then the number of the partition;
+    3. rows per range, and the running sum of these: one row per range, counted in the files of that shuffle;
+    4. a sort within the range by the order alone, and id = rows in earlier ranges + position.
 
     All of it is one query. The bounds are values, not sampled anew by each reader, so counting and numbering see the same
-    ranges and nothing is written in between. ``df`` is read for the sample, the counts and the
+    ranges and nothing is written in between. ``df`` is read for the sample and the
     rows (and once more for its number of rows if ``rows``, about how many there are, is not given): if it ends in a
     shuffle, as a distinct does, these read the files of that one shuffle. Pin other frames that are dear to compute.
 
@@ -67,18 +67,22 @@ def dense_surrogate_key(
         return df.select(*columns, number.alias(id_column))
 
     key = F.struct(*order)
+    hashed = F.xxhash64(*order)
     total = F.lit(rows) if rows is not None else df.agg(F.count(F.lit(1))).scalar()
     below = F.lit(float(min(_SAMPLED * ranges, _MOST_SAMPLED)) * _HASHES) / F.greatest(total, F.lit(1))
-    sampled = F.when(F.pmod(F.xxhash64(*order), F.lit(_HASHES)) < below, key)
-    sample = (df if repeated is None else repeated).agg(F.sort_array(F.collect_set(sampled)).alias("s"))
+    sampled = (df if repeated is None else repeated).where(F.pmod(hashed, F.lit(_HASHES)) < below)
+    sample = sampled.agg(F.sort_array(F.collect_set(key)).alias("s"))
     cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("s", (i * F.size("s") / ranges).cast("int")))
-    ranged = _range_of(key, sample.select(cuts).scalar(), ranges, df)
+    dealt = _range_of(key, sample.select(cuts).scalar(), ranges, df).repartitionById(ranges, F.col("__range"))
 
-    # One row per range, so neither the window nor the broadcast grows with the rows.
+    # One row per range, so neither the window nor the broadcast grows with the rows. Rows with even and with odd hashes are counted,
+    # since a count that asks for no column would prune the shuffle below it, which then is another one than that of the rows.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")).select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    odd = hashed.bitwiseAND(F.lit(1)) == 1
+    in_range = dealt.groupBy("__range").agg((F.count_if(odd) + F.count_if(~odd)).alias("__rows"))
+    offsets = in_range.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     # Sorted without the range, which is the same in all rows of a task: a window would compare it first, and buffer the rows.
-    placed = ranged.repartitionById(ranges, F.col("__range")).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    placed = dealt.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
     told = F.concat(F.lit("a range lies in another partition: "), F.col("__range").cast("string"))
     own = F.shiftright("__at", _ROW_BITS) == F.col("__range")
     position = F.when(own, F.col("__at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1).otherwise(F.raise_error(told).cast("bigint"))

@@ -75,7 +75,7 @@ def build_star(
 
     The six tables read different columns of ``source``. Parquet lets each read
     only its own, so pass a Parquet frame, or pin a CSV first: otherwise its text
-    is parsed six times, and once more to learn how many rows the tables will have.
+    is parsed six times, and once more to learn how many sales there are.
     """
     spark = source.sparkSession
     version = Version(spark, out)
@@ -83,8 +83,6 @@ def build_star(
     if "inventory_fact" in wanted or "time_dim" in wanted and "inventory_fact" in version.before.tables:
         wanted |= {"inventory_fact", "time_dim"}
     dimensions = {"customers_dim": layout.customer, "products_dim": layout.product, "sellers_dim": layout.seller, "transaction_dim": layout.transaction}
-    counted = [F.approx_count_distinct(f"`{columns[0]}`").alias(name) for name, columns in dimensions.items() if name in wanted]
-    rows = source.agg(F.count(F.lit(1)).alias("inventory_fact"), *counted).first().asDict()
 
     def write(name: str, made: DataFrame) -> None:
         write_table(made, version.add(name, fmt, made.schema).path, fmt)
@@ -97,25 +95,23 @@ def build_star(
         if "time_dim" in wanted:
             write("time_dim", time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
         if "inventory_fact" in wanted:
-            write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=rows["inventory_fact"]))
+            write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=source.count()))
 
-    def pinned(name: str) -> DataFrame:
-        return pin(product_rows(source, layout.product, layout.stock) if name == "products_dim" else distinct_rows(source, dimensions[name]))
-
-    def write_dimension(name: str, made: DataFrame) -> None:
-        write(name, dense_surrogate_key(made, IDS[name], dimensions[name], rows[name]))
+    def write_dimension(name: str) -> DataFrame:
+        """Gives the rows without their ids, as a pinned table, which also tells how many there are."""
+        made = pin(product_rows(source, layout.product, layout.stock) if name == "products_dim" else distinct_rows(source, dimensions[name]))
+        write(name, dense_surrogate_key(made, IDS[name], dimensions[name], made.count()))
+        return made
 
     try:
         with scratch_of_job(spark):
-            # The rows of the dimensions are made beside the fact, which leaves cores idle at the end of its stages.
+            # The dimensions are made beside the fact, which leaves cores idle at the end of its stages.
             names = [name for name in dimensions if name in wanted]
-            _, *made = at_once(write_dated, *[partial(pinned, name) for name in names])
-            if names:
-                at_once(*[partial(write_dimension, name, rows_made) for name, rows_made in zip(names, made, strict=True)])
+            _, *made = at_once(write_dated, *[partial(write_dimension, name) for name in names])
             schemas = {name: version.added[name].schema for name in IDS if name in wanted}
             if set(IDS) <= wanted:
                 checks = [sales_without_date(source, layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
-                checks += [repeated_keys(written(n), c[0]).select(F.lit(n).alias("TABLE"), F.lit("repeated keys").alias("CHECK")) for n, c in dimensions.items()]
+                checks += [repeated_keys(rows, dimensions[n][0]).select(F.lit(n).alias("TABLE"), F.lit("repeated keys").alias("CHECK")) for n, rows in zip(names, made, strict=True)]
                 named = [("inventory_fact", "undated sales"), *((n, "repeated keys") for n in dimensions)]
                 if rejected is not None:
                     named.append(("source", "rejected rows"))

@@ -187,6 +187,13 @@ def test_a_csv_star_is_parsed_once(spark, monkeypatch):
     assert len(results) == 5
 
 
+def test_a_csv_star_is_built_without_parsing_its_dimensions(spark, monkeypatch):
+    read, original = [], jobs.read_written
+    monkeypatch.setattr(jobs, "read_written", lambda s, p, *a: read.append(os.path.basename(p)) or original(s, p, *a))
+    build_star(wide(spark), scratch_path(spark), fmt="csv")
+    assert read == ["time_dim.csv"]
+
+
 def test_report_columns(spark, star):
     path, fmt, schemas = star
     results = run_reports(spark, path, scratch_path(spark), 2011, fmt=fmt, schemas=schemas)

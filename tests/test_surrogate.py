@@ -107,3 +107,12 @@ def test_a_sample_of_rows_that_are_not_yet_distinct(spark, pairs):
     twice = pairs.unionByName(pairs)
     ours = dense_surrogate_key(twice.dropDuplicates(), "id", ["k", "s"], repeated=twice)
     assert table(ours) == table(by_window(pairs, "id", ["k", "s"]))
+
+
+def test_rows_of_a_range_are_counted_in_the_shuffle_that_deals_them(spark, pairs):
+    """The distinct is made once for counts and rows, and only rows that are sampled are aggregated."""
+    ours = dense_surrogate_key(pairs.repartition(4).dropDuplicates(), "id", ["k", "s"], rows=10 << 20)
+    assert len(ours.collect()) == pairs.count()
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReusedExchange [^\n]*shufflepartitionidpassthrough", plan)
+    assert re.search(r"Filter \(cast\(pmod\(xxhash64\(", plan)
