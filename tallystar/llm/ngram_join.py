@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tallystar.llm.components import components, spanning
 from tallystar.llm.spans import LOWER, Texts, hash_spans, mix, texts
 from tallystar.llm.tables import plain, table, unused
-from tallystar.sources.scratch import pin
+from tallystar.sources.scratch import kept, pin
 
 #: Links ask for an intersection of at least PERCENT / 100 of the union.
 PERCENT = 90
@@ -73,8 +74,10 @@ class Scheme:
     Linked sets of sizes m and n differ in at most ``(100 - p) / (100 + p) * (m + n)``
     elements. A class of sizes up to ``high`` cuts every set into more parts, by hash,
     than two linked sets of the class can differ in; so some part is the same in both.
-    Empty parts tell nothing: a set signs all its filled parts, and if these are not more than it
-    can differ in from a linked one, also elements by themselves. Two linked sets have one in common among the first ``n - p n / 100 + 1``
+    Empty parts tell nothing. A linked set lacks at most as many of a set's filled parts as the two differ in, so two linked sets have a part in
+    common among the first of each, one more than that, in any order that is the same for all: the fullest first. The others, often a single
+    element that strangers have by chance and become one family through, are not signed. If the filled parts are not more than a set
+    can differ in from a linked one, it signs them all, and also elements by themselves. Two linked sets have one in common among the first ``n - p n / 100 + 1``
     of their n elements in any order that is the same for all sets; here common ones come last. Elements that very many sets have
     are also left out of the parts, since sets without them differ no more; else all documents with a common passage would
     look alike where a part holds nothing but that. A set signs for
@@ -91,7 +94,8 @@ class Scheme:
             highs.append(max(highs[-1] + 1, highs[-1] * 5 // 4))
         self.highs = np.array(highs)
         self.differ = 2 * self.highs * (100 - percent) // (100 + percent)
-        self.parts = self.differ + 2 + self.differ // 50
+        # A quarter to spare: so many parts at least need not be signed.
+        self.parts = self.differ + 2 + self.differ // 4
 
     def _most_differing(self, sizes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """In how many elements a set of that size can differ from any linked one of the class."""
@@ -118,7 +122,7 @@ class Scheme:
             chosen = chosen & (self.differ[kinds] > 0)  # else only equal sets are linked
             inside = chosen[owner]
             which, values = owner[inside & rare], grams[inside & rare]
-            filled = np.zeros(len(sizes), np.int64)
+            filled, most = np.zeros(len(sizes), np.int64), self._most_differing(sizes, kinds)
             if len(which):
                 kind = kinds[which]
                 part = ((values >> np.uint64(20)) % self.parts[kind].astype(np.uint64)).astype(np.int64)
@@ -129,10 +133,14 @@ class Scheme:
                 new = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
                 sums = np.add.reduceat(mix(values[order]), new)
                 part_set, part_at, part_kind = which[order][new], part[order][new], kind[order][new]
-                signs.append(mix(sums + mix((part_kind.astype(np.uint64) << np.uint64(44)) + part_at.astype(np.uint64))))
-                sets.append(part_set)
+                made = mix(sums + mix((part_kind.astype(np.uint64) << np.uint64(44)) + part_at.astype(np.uint64)))
                 filled = np.bincount(part_set, minlength=len(sizes))
-            unsure = chosen & (filled <= self._most_differing(sizes, kinds))
+                fullest = np.lexsort((made, -np.diff(new, append=len(slot)), part_set))
+                ahead_of = np.arange(len(made)) - np.repeat(np.cumsum(filled) - filled, filled)
+                signed = fullest[ahead_of <= most[part_set]]
+                signs.append(made[signed])
+                sets.append(part_set[signed])
+            unsure = chosen & (filled <= most)
             alone = unsure[owner] & (rank < ahead[owner])
             signs.append(mix(grams[alone] + mix(kinds[owner[alone]].astype(np.uint64) + (np.uint64(1) << np.uint64(60)))))
             sets.append(owner[alone])
@@ -352,7 +360,8 @@ def links_within_families(docs: DataFrame, members: DataFrame, percent: int, wid
     Small families are multiplied whole, many to a task. A large family is cut into
     blocks, by documents and by n-grams, each multiplied with itself and the family's first document. What hangs
     together then needs no more products within: only the documents
-    outside the largest part so far meet all blocks, as the rows of products whose columns are a block.
+    outside the largest part so far meet all blocks, as the rows of products whose columns are a block. The sets are copied to
+    each product; in so many rounds that the copies of one take about as much as the sets themselves, however large a family is.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = members.groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_GRAMS)).alias("blocks"), F.min("id").alias("first"))
@@ -387,11 +396,16 @@ def links_within_families(docs: DataFrame, members: DataFrame, percent: int, wid
     rows = both.where("outside").withColumn("r", at_row).withColumn("c", all_of("blocks"))
     cols = both.withColumn("c", at_column).withColumn("r", all_of("rows"))
     sides = rows.withColumn("row", F.lit(True)).unionByName(cols.withColumn("row", F.lit(False)))
+    rounds = -(-sides.agg(F.sum("n")).first()[0] // max(grams, tasks * BLOCK_GRAMS // 4))
     # Each set is in its own block once; the family's first is in others, too.
-    here = sets.select("id", "set1", "grams", F.col("block").alias("there"))
+    here = sets.where(F.col("of") != _NULL).select("id", "set1", "grams", F.col("block").alias("there"))
     targets = sides.withColumn("own", own).withColumn("block", name("r", "c")).withColumn("of", F.col("family")).select(*columns, "own")
-    met = targets.join(here, ["id", "set1"]).where("own = there").select(*columns, "grams")
-    return found.unionByName(_multiplied(met, percent))
+
+    def met(k: int) -> DataFrame:
+        now = targets.where(F.expr(f"pmod(xxhash64(of, block, 3), {rounds}L) = {k}"))
+        return now.join(here, ["id", "set1"]).where("own = there").select(*columns, "grams")
+
+    return reduce(DataFrame.unionByName, [_multiplied(met(k), percent) for k in range(rounds)], found)
 
 
 def ngram_components(
@@ -422,11 +436,12 @@ def ngram_components(
     common = docs.sparkSession.sparkContext.broadcast(often)
     # The signatures are many, so they are made on their way to the buckets and not written.
     sent = docs.select("text").mapInArrow(_send(percent, width, buckets, common), _PACKET)
-    families = components(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, "a long, b long"))
+    families = kept(docs.sparkSession, lambda: components(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, "a long, b long")))
 
     classes = measured.where("n > 0").groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))
     members = classes.join(families, F.col("set1") == F.col("node")).select(F.col("rep").alias("id"), "set1", "n", F.col("component").alias("family"))
-    parts = components(links_within_families(docs, members, percent, width))
+    # The sets are as large as the texts, so they are not left to what follows.
+    parts = kept(docs.sparkSession, lambda: components(links_within_families(docs, members, percent, width)))
     placed = classes.join(parts, F.col("rep") == F.col("node"), "left").select(
         F.col("set1").alias("s1"), F.col("set2").alias("s2"), F.col("n").alias("m"), F.coalesce("component", "rep").alias("component")
     )

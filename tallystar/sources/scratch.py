@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 import warnings
 from collections.abc import Callable, Iterator
@@ -16,6 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _JOB: ContextVar[str | None] = ContextVar("job", default=None)
+#: Deletes the shuffle files of an execution at its end; if the same execution is asked for again, its stages run again.
+_DROPS = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK = threading.Lock()
+#: How many wish shuffles dropped, and the setting before the first.
+_DROPPING: list = [0, None]
 
 
 def scratch_path(spark: SparkSession) -> str:
@@ -45,20 +51,48 @@ def _own_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile leaves no shuffle files, which else stay until the driver happens to collect its garbage.
+
+    The session has one setting for all threads, so it holds until the last of them ends.
+    """
+    with _LOCK:
+        if not _DROPPING[0]:
+            _DROPPING[1] = spark.conf.get(_DROPS, None)
+            spark.conf.set(_DROPS, "true")
+        _DROPPING[0] += 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _DROPPING[0] -= 1
+            if not _DROPPING[0] and _DROPPING[1] is None:
+                spark.conf.unset(_DROPS)
+            elif not _DROPPING[0]:
+                spark.conf.set(_DROPS, _DROPPING[1])
+
+
 @contextmanager
 def scratch_of_job(spark: SparkSession) -> Iterator[str]:
-    """A scratch folder for what is pinned meanwhile, deleted at the end, also of a job that fails.
+    """A scratch folder for what is pinned meanwhile, deleted at the end, also of a job that fails; shuffles are dropped as they end.
 
     Frames that read it are of no use afterwards.
     """
     path = scratch_path(spark)
     token = _JOB.set(path)
     try:
-        yield path
+        with shuffles_dropped(spark):
+            yield path
     finally:
         _JOB.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, path)
 
 
 def at_once(*jobs: Callable[[], Any]) -> list:
@@ -75,10 +109,21 @@ def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` and read it back, so that every later use sees the same rows.
 
     The copy outlives lost executors, and unlike a checkpoint it is columnar:
-    later steps read only the columns they need, and the planner knows its size.
+    later steps read only the columns they need, and the planner knows its size. The shuffles it took are deleted.
     It is kept until the job's scratch ends (``scratch_of_job``), else until the checkpoint folder is cleaned.
     """
+    return _write(df, scratch_path(df.sparkSession))
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str | None = None) -> DataFrame:
+    """``make()`` pinned (at ``path``, if given), and all that it pinned on the way deleted."""
+    path = path or scratch_path(spark)
+    with scratch_of_job(spark):
+        return _write(make(), path)

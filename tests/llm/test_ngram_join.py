@@ -113,6 +113,27 @@ def test_linked_sets_share_a_signature(percent):
                 assert set(signs[sets == 0]) & set(signs[sets == 1]), size
 
 
+def test_strangers_with_a_few_elements_in_common_hardly_share_a_signature():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 2**63, 2000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(pool, 150, False), rng.integers(0, 2**63, 2350).astype(np.uint64)])) for _ in range(80)]
+    signs, owner = Scheme(80).sign(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    assert len(np.unique(np.stack([signs, owner.astype(np.uint64)], 1), axis=0)) - len(np.unique(signs)) <= 5  # 77 if all parts are signed
+
+
+def test_copies_for_products_come_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 300)
+    sent = []
+    original = ngram_join._multiplied
+    monkeypatch.setattr(ngram_join, "_multiplied", lambda sets, *a: sent.append(sets.selectExpr("sum(length(grams)) / 8").first()[0] or 0) or original(sets, *a))
+    rng = np.random.default_rng(14)
+    rows = list(enumerate(copies(rng, 60, 60, 12)))
+    # Whatever shares a gram is one family here, most of it unlinked.
+    monkeypatch.setattr(Scheme, "sign", lambda self, grams, begin, common=None: (grams, np.repeat(np.arange(len(begin) - 1), np.diff(begin))))
+    assert found(ngram_components(documents(spark, rows))) == expected(rows, 90, 3)
+    assert len(sent) > 3 and max(sent[1:]) < 3 * sent[0] < sum(sent[1:])
+
+
 def test_products_agree_with_sets(monkeypatch):
     monkeypatch.setattr(ngram_join, "COLUMNS", 7)
     rng = np.random.default_rng(5)

@@ -1,12 +1,14 @@
 """Jobs that run beside each other."""
 
+import os
 import threading
+import time
 from functools import partial
 
 import pytest
 
 from tallystar.plans import jobs
-from tallystar.sources.scratch import at_once, pin, scratch_of_job, scratch_path
+from tallystar.sources.scratch import at_once, kept, pin, scratch_of_job, scratch_path
 from tests.data import wide
 
 
@@ -33,6 +35,45 @@ def test_what_they_pin_lies_in_the_scratch_of_the_job(spark):
         assert all(folder in df.inputFiles()[0] for df in pinned)
 
 
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f"{d}/{f}" for top in manager.localDirs() for d, _, files in os.walk(top.getPath()) for f in files if f.startswith("shuffle_")}
+
+
+def soon_gone(spark, before):
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    return not shuffle_files(spark) - before
+
+
+def test_pinning_leaves_no_shuffle(spark):
+    before = shuffle_files(spark)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    frames = [spark.range(1000).repartition(3 + n, "id") for n in range(3)]
+    pinned = at_once(*[partial(pin, df) for df in frames])
+    assert soon_gone(spark, before) and spark.conf.get(setting) == was
+    with scratch_of_job(spark):
+        assert [df.count() for df in pinned] == [1000] * 3
+        assert frames[0].count() == 1000
+        assert spark.range(9).repartition(3, "id").groupBy("id").count().count() == 9
+    assert soon_gone(spark, before)
+
+
+def test_what_is_kept_outlives_what_it_took(spark):
+    inner = []
+
+    def make():
+        inner.append(pin(spark.range(5)))
+        return inner[0].where("id > 1")
+
+    with scratch_of_job(spark) as folder:
+        df = kept(spark, make)
+        assert df.count() == 3 and folder in df.inputFiles()[0]
+        assert not any(os.path.exists(f.removeprefix("file://")) for f in inner[0].inputFiles())
+
+
 def test_dimensions_of_a_star_are_written_beside_each_other(spark, monkeypatch):
     meet = threading.Barrier(4)  # the dimensions
     written = jobs.write_table
