@@ -61,6 +61,7 @@ def build_star(
     lenient_dates: bool = False,
     only: Collection[str] = tuple(IDS),
     rejected: DataFrame | None = None,
+    codec: str | None = None,
 ) -> dict[str, StructType]:
     """Write the five dimensions and the fact as a new version of the star in ``out``; gives the schema of each table written.
 
@@ -73,6 +74,8 @@ def build_star(
     natural keys have several rows in their dimension, which multiplies their sales; and, if the rows that were ``rejected`` when the
     source was read are given, how many there are.
 
+    ``codec`` compresses the files of the tables; a CSV star is plain text without. Its files are read whole in any case.
+
     The six tables read different columns of ``source``. Parquet lets each read
     only its own, so pass a Parquet frame, or pin a CSV first: otherwise its text
     is parsed six times, and once more to learn how many sales there are.
@@ -85,7 +88,7 @@ def build_star(
     dimensions = {"customers_dim": layout.customer, "products_dim": layout.product, "sellers_dim": layout.seller, "transaction_dim": layout.transaction}
 
     def write(name: str, made: DataFrame) -> None:
-        write_table(made, version.add(name, fmt, made.schema).path, fmt)
+        write_table(made, version.add(name, fmt, made.schema).path, fmt, *([codec] if codec else []))
 
     def written(name: str) -> DataFrame:
         there = version.added[name]
@@ -105,9 +108,10 @@ def build_star(
 
     try:
         with scratch_of_job(spark):
-            # The dimensions are made beside the fact, which leaves cores idle at the end of its stages.
+            # The fact takes most disk by far, so it is written before the dimensions, which are made beside each other.
+            write_dated()
             names = [name for name in dimensions if name in wanted]
-            _, *made = at_once(write_dated, *[partial(write_dimension, name) for name in names])
+            made = at_once(*[partial(write_dimension, name) for name in names]) if names else []
             schemas = {name: version.added[name].schema for name in IDS if name in wanted}
             if set(IDS) <= wanted:
                 checks = [sales_without_date(source, layout.fact, layout.date).select(F.lit("inventory_fact").alias("TABLE"), F.lit("undated sales").alias("CHECK"))]
@@ -191,6 +195,7 @@ def main(args: list[str] | None = None) -> None:
     star.add_argument("--source-schema", help="DDL of a CSV source; inferred if not given")
     star.add_argument("--line-breaks", action="store_true", help="fields of a CSV source may hold line breaks")
     star.add_argument("--rejects", metavar="DIR", help="write rows of a CSV source that do not fit here, with file and line, and go on without them")
+    star.add_argument("--codec", help="compresses the files of the star, such as gzip for CSV")
     star.add_argument("--lenient-dates", action="store_true", help="unreadable dates become null")
     report = jobs.add_parser("reports", help="run the reports")
     report.add_argument("star")
@@ -217,7 +222,7 @@ def main(args: list[str] | None = None) -> None:
             else:
                 source = read_table(spark, given.source, given.source_format)
                 fit_shuffles(source, *sizes)
-            build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates, rejected=rejected)
+            build_star(source, given.out, fmt=given.format, lenient_dates=given.lenient_dates, rejected=rejected, codec=given.codec)
     else:
         category = None if given.category == "all" else given.category
         # Only the splits count here, and one declared column spares inferring the types.

@@ -7,11 +7,15 @@ than needed. Rows that only serve a distinct are made distinct before the join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import in_year
 from tallystar.plans.layout import StarLayout
+from tallystar.sources.scratch import kept, pin
 
 LAYOUT = StarLayout(
     customer=("CUSTOMER_ID", "Customer Name", "CUSTOMER_STATE", "CUSTOMER_SEGMENT"),
@@ -175,12 +179,19 @@ class OrderTables:
         """All orders, for joins with sales, which find only those they need."""
         return self._orders().select(*LAYOUT.transaction)
 
-    def _lines(self, orders: DataFrame, orders_first: bool = False) -> DataFrame:
-        """Order lines with their product and their order.
+    def _lines(
+        self,
+        orders: DataFrame,
+        sellers: DataFrame | None = None,
+        between: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+        orders_first: bool = False,
+    ) -> DataFrame:
+        """Order lines with their product and their order, and their seller if given; ``between`` is done to them before they meet orders.
 
         Orders come last, so that a later distinct or count by transaction finds
         the rows partitioned as it needs them, unless they are few: then they
         come first and keep the other lines from being shuffled to the products.
+        Sellers, of few columns, are met before products, of more, so that each shuffle has as few columns as can be.
         """
         parts = self._parts().withColumn("unit_price", F.col("p_retailprice").cast(MONEY))
         lines = self.table("lineitem").select(
@@ -190,10 +201,12 @@ class OrderTables:
             F.col("l_quantity").alias("PRODUCT_STOCK"),
             "l_extendedprice",
         )
+        if sellers is not None:
+            lines = lines.join(sellers, "SELLER_ID")
         if orders_first:
             joined = lines.join(orders, "TRANSACTION_ID").join(parts, "PRODUCT_ID")
         else:
-            joined = lines.join(parts, "PRODUCT_ID").join(orders, "TRANSACTION_ID")
+            joined = between(lines.join(parts, "PRODUCT_ID")).join(orders, "TRANSACTION_ID")
         cost = F.col("PRODUCT_STOCK").cast(MONEY) * F.col("unit_price")
         return (
             joined.withColumn("PRODUCT_COST_PRICE", cost.cast("decimal(18,4)"))
@@ -217,5 +230,12 @@ class OrderTables:
 
         Customers are joined to the orders, of which there are fewer than lines.
         """
+        return self._wide(lambda joined: joined)
+
+    def pinned_wide(self) -> DataFrame:
+        """``wide`` pinned. The lines are written before they meet their orders, so that the shuffles before and after never lie there at once."""
+        return kept(self.spark, lambda: self._wide(partial(pin, codec="zstd")), codec="zstd")
+
+    def _wide(self, between: Callable[[DataFrame], DataFrame]) -> DataFrame:
         orders = self._orders().join(self.customers(), "CUSTOMER_ID")
-        return self._lines(orders).join(self.sellers(), "SELLER_ID")
+        return self._lines(orders, self.sellers(), between)

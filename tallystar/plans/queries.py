@@ -22,7 +22,7 @@ from tallystar.plans.star import (
     undated_sales,
 )
 from tallystar.session import fit_shuffles, prepare
-from tallystar.sources.scratch import pin, scratch_path
+from tallystar.sources.scratch import pin, scratch_of_job, scratch_path
 from tallystar.sources.tables import read_csv, write_csv
 
 Query = Callable[[OrderTables], DataFrame]
@@ -285,10 +285,16 @@ def report_category_sales_all(t: OrderTables) -> DataFrame:
 # Jobs
 
 
+def _build(t: OrderTables, out: str, fmt: str, **options) -> None:
+    """The star in ``out``. The wide table goes when it is built."""
+    with scratch_of_job(t.spark):
+        build_star(t.pinned_wide(), out, LAYOUT, fmt=fmt, **options)
+
+
 def job_build_star(t: OrderTables) -> DataFrame:
     """Builds the star from the wide table; gives the rows and ids of each table."""
     out = scratch_path(t.spark)
-    build_star(pin(t.wide()), out, LAYOUT, fmt="parquet")
+    _build(t, out, "parquet")
     counts = [
         read_star(t.spark, out, name).select(
             F.lit(name).alias("table_name"),
@@ -307,7 +313,7 @@ def _built(name: str, fmt: str) -> Query:
 
     def query(t: OrderTables) -> DataFrame:
         out = scratch_path(t.spark)
-        build_star(pin(t.wide()), out, LAYOUT, fmt=fmt, only=[name])
+        _build(t, out, fmt, only=[name])
         return read_star(t.spark, out, name)
 
     return query
@@ -316,7 +322,7 @@ def _built(name: str, fmt: str) -> Query:
 def _run_reports(t: OrderTables, fmt: str) -> DataFrame:
     """Wide table to star to CSV reports; gives the lines of all five."""
     star, out = scratch_path(t.spark), scratch_path(t.spark)
-    build_star(pin(t.wide()), star, LAYOUT, fmt=fmt)
+    _build(t, star, fmt, codec="gzip" if fmt == "csv" else None)
     written = run_reports(t.spark, star, out, YEAR, CATEGORY, fmt=fmt)
     labels = {
         "top_10_customers": ("CUSTOMER_ID", "TOTAL_SELLING_PRICE"),

@@ -105,25 +105,26 @@ def at_once(*jobs: Callable[[], Any]) -> list:
     return [job.result() for job in running]
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write ``df`` and read it back, so that every later use sees the same rows.
 
     The copy outlives lost executors, and unlike a checkpoint it is columnar:
     later steps read only the columns they need, and the planner knows its size. The shuffles it took are deleted.
     It is kept until the job's scratch ends (``scratch_of_job``), else until the checkpoint folder is cleaned.
+    ``codec``, the session's if not given, is for large tables that should take less disk.
     """
-    return _write(df, scratch_path(df.sparkSession))
+    return _write(df, scratch_path(df.sparkSession), codec)
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
+def _write(df: DataFrame, path: str, codec: str | None) -> DataFrame:
     spark = df.sparkSession
     with shuffles_dropped(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str | None = None) -> DataFrame:
+def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str | None = None, codec: str | None = None) -> DataFrame:
     """``make()`` pinned (at ``path``, if given), and all that it pinned on the way deleted."""
     path = path or scratch_path(spark)
     with scratch_of_job(spark):
-        return _write(make(), path)
+        return _write(make(), path, codec)

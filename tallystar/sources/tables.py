@@ -117,10 +117,13 @@ def read_source(
     return (rows if schema is not None else typed(rows, types_of(rows))), rejected
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write ``df`` as a folder of headered CSV files, each by the task that holds the rows."""
+def write_csv(df: DataFrame, path: str, codec: str | None = None) -> None:
+    """Write ``df`` as a folder of headered CSV files, each by the task that holds the rows.
+
+    With ``codec`` (such as gzip) the files are compressed, and named so; readers see that by the name.
+    """
     df.write.mode("overwrite").csv(
-        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n", **_CSV
+        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n", compression=codec, **_CSV
     )
 
 
@@ -152,9 +155,9 @@ def read_written(spark: SparkSession, path: str, fmt: str, schema: StructType |
     return read_table(spark, path, fmt, schema, line_breaks=True, line_end="\n")
 
 
-def write_table(df: DataFrame, path: str, fmt: str) -> None:
-    """Write a table in format ``csv`` or ``parquet``, replacing what is there."""
+def write_table(df: DataFrame, path: str, fmt: str, codec: str | None = None) -> None:
+    """Write a table in format ``csv`` or ``parquet``, replacing what is there; the ``codec`` is the format's own if not given."""
     if fmt == "csv":
-        write_csv(df, path)
+        write_csv(df, path, codec)
     else:
-        df.write.mode("overwrite").format(fmt).save(path)
+        df.write.mode("overwrite").format(fmt).options(**({"compression": codec} if codec else {})).save(path)

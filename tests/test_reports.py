@@ -9,11 +9,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallystar.plans import jobs, reports
+from tallystar.plans import jobs, queries, reports
 from tallystar.plans.jobs import build_star, main, read_star, run_reports, stored_schemas
 from tallystar.plans.layout import StarLayout
 from tallystar.plans.order_tables import OrderTables
-from tallystar.plans.star import inventory_fact, time_dimension
+from tallystar.plans.star import distinct_rows, inventory_fact, time_dimension
 from tallystar.sources.scratch import pin, scratch_path
 from tallystar.sources.tables import read_csv, table_path, write_csv, write_table
 from tallystar.sources.versions import current
@@ -111,6 +111,41 @@ def test_a_job_that_fails_leaves_the_old_star(spark, monkeypatch, fmt):
     assert current(spark, path).number == old.number + 1 and sums(spark, path) != before
 
 
+@pytest.mark.parametrize("fmt, codec", [("csv", "gzip"), ("parquet", "zstd")])
+def test_a_compressed_star_gives_the_same_reports(spark, fmt, codec):
+    plain, small = scratch_path(spark), scratch_path(spark)
+    build_star(wide(spark), plain, fmt=fmt)
+    build_star(wide(spark), small, fmt=fmt, codec=codec)
+    files = read_star(spark, small, "inventory_fact").inputFiles()
+    assert files and all({"gzip": ".gz", "zstd": ".zstd."}[codec] in f for f in files)
+    assert sums(spark, small) == sums(spark, plain)
+
+
+def test_the_fact_is_written_before_the_dimensions_begin(spark, monkeypatch):
+    order = []
+    monkeypatch.setattr(jobs, "write_table", lambda made, at, kind: order.append(os.path.basename(at)) or write_table(made, at, kind))
+    monkeypatch.setattr(jobs, "distinct_rows", lambda *a: order.append("dimension") or distinct_rows(*a))
+    build_star(wide(spark), scratch_path(spark), fmt="parquet")
+    assert order[:3] == ["time_dim.parquet", "inventory_fact.parquet", "dimension"]
+
+
+def test_the_wide_table_goes_when_the_star_is_built(spark, monkeypatch):
+    made, star = [], scratch_path(spark)
+
+    class Tables:
+        def __init__(self):
+            self.spark = spark
+
+        def pinned_wide(self):
+            made.append(pin(wide(spark)))
+            return made[0]
+
+    monkeypatch.setattr(queries, "LAYOUT", StarLayout())
+    queries._build(Tables(), star, "parquet")
+    assert read_star(spark, star, "inventory_fact").count() == 6
+    assert made and not any(os.path.exists(f.removeprefix("file://")) for f in made[0].inputFiles())
+
+
 def test_old_versions_are_deleted_but_the_last(spark):
     path = scratch_path(spark)
     for _ in range(4):
