@@ -98,7 +98,9 @@ def build_star(
         if "time_dim" in wanted:
             write("time_dim", time_dimension(source, layout.date, layout.date_format, lenient=lenient_dates))
         if "inventory_fact" in wanted:
-            write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=source.count()))
+            with scratch_of_job(spark):
+                hold = partial(pin, codec="zstd")
+                write("inventory_fact", inventory_fact(source, written("time_dim"), layout.fact, layout.date, rows=source.count(), hold=hold))
 
     def write_dimension(name: str) -> DataFrame:
         """Gives the rows without their ids, as a pinned table, which also tells how many there are."""

@@ -7,15 +7,12 @@ than needed. Rows that only serve a distinct are made distinct before the join.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.dates import in_year
 from tallystar.plans.layout import StarLayout
-from tallystar.sources.scratch import kept, pin
+from tallystar.sources.scratch import pin, pin_in_turn, scratch_of_job, scratch_path
 
 LAYOUT = StarLayout(
     customer=("CUSTOMER_ID", "Customer Name", "CUSTOMER_STATE", "CUSTOMER_SEGMENT"),
@@ -26,6 +23,10 @@ LAYOUT = StarLayout(
 
 MONEY = "decimal(18,2)"
 
+#: Most turns in which the lines of the wide table meet their orders, and lines of a turn at least. Each turn reads all keys again.
+TURNS = 4
+TURN_LINES = 1 << 20
+
 # Given, so that opening a table reads no file.
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -179,34 +180,33 @@ class OrderTables:
         """All orders, for joins with sales, which find only those they need."""
         return self._orders().select(*LAYOUT.transaction)
 
-    def _lines(
-        self,
-        orders: DataFrame,
-        sellers: DataFrame | None = None,
-        between: Callable[[DataFrame], DataFrame] = lambda joined: joined,
-        orders_first: bool = False,
-    ) -> DataFrame:
-        """Order lines with their product and their order, and their seller if given; ``between`` is done to them before they meet orders.
+    def _lines(self, orders: DataFrame, orders_first: bool = False) -> DataFrame:
+        """Order lines with their product and their order.
 
         Orders come last, so that a later distinct or count by transaction finds
         the rows partitioned as it needs them, unless they are few: then they
         come first and keep the other lines from being shuffled to the products.
-        Sellers, of few columns, are met before products, of more, so that each shuffle has as few columns as can be.
         """
-        parts = self._parts().withColumn("unit_price", F.col("p_retailprice").cast(MONEY))
-        lines = self.table("lineitem").select(
+        lines = self._unpriced()
+        if orders_first:
+            joined = self._with_products(lines.join(orders, "TRANSACTION_ID"))
+        else:
+            joined = self._with_products(lines).join(orders, "TRANSACTION_ID")
+        return self._priced(joined)
+
+    def _unpriced(self) -> DataFrame:
+        return self.table("lineitem").select(
             F.col("l_orderkey").alias("TRANSACTION_ID"),
             F.col("l_partkey").alias("PRODUCT_ID"),
             F.col("l_suppkey").alias("SELLER_ID"),
             F.col("l_quantity").alias("PRODUCT_STOCK"),
             "l_extendedprice",
         )
-        if sellers is not None:
-            lines = lines.join(sellers, "SELLER_ID")
-        if orders_first:
-            joined = lines.join(orders, "TRANSACTION_ID").join(parts, "PRODUCT_ID")
-        else:
-            joined = between(lines.join(parts, "PRODUCT_ID")).join(orders, "TRANSACTION_ID")
+
+    def _with_products(self, lines: DataFrame) -> DataFrame:
+        return lines.join(self._parts().withColumn("unit_price", F.col("p_retailprice").cast(MONEY)), "PRODUCT_ID")
+
+    def _priced(self, joined: DataFrame) -> DataFrame:
         cost = F.col("PRODUCT_STOCK").cast(MONEY) * F.col("unit_price")
         return (
             joined.withColumn("PRODUCT_COST_PRICE", cost.cast("decimal(18,4)"))
@@ -225,17 +225,21 @@ class OrderTables:
         """The distinct sales, each with its date: a fact table before its ids."""
         return self.sale_lines(year).dropDuplicates()
 
-    def wide(self) -> DataFrame:
-        """The wide table: every line with its product, order, customer and seller.
+    def pinned_wide(self) -> DataFrame:
+        """The wide table, pinned: every line with its product, order, customer and seller.
 
-        Customers are joined to the orders, of which there are fewer than lines.
+        Lines meet sellers, of few columns, and then products, and are written; so the shuffles of that are gone before they meet
+        their orders, and they meet these in ``TURNS``, a share of the orders after the other. Customers are joined to the
+        orders, of which there are fewer than lines. Wide rows are never shuffled.
         """
-        return self._wide(lambda joined: joined)
+        path = scratch_path(self.spark)
+        turns = max(1, min(TURNS, self.rows("lineitem") // TURN_LINES))
+        with scratch_of_job(self.spark):
+            lines = pin(self._with_products(self._unpriced().join(self.sellers(), "SELLER_ID")), "zstd")
 
-    def pinned_wide(self) -> DataFrame:
-        """``wide`` pinned. The lines are written before they meet their orders, so that the shuffles before and after never lie there at once."""
-        return kept(self.spark, lambda: self._wide(partial(pin, codec="zstd")), codec="zstd")
+            def turn(k: int) -> DataFrame:
+                mine = F.pmod(F.xxhash64("TRANSACTION_ID"), F.lit(turns)) == k
+                orders = self._orders().where(mine).join(self.customers(), "CUSTOMER_ID")
+                return self._priced(lines.where(mine).join(orders, "TRANSACTION_ID"))
 
-    def _wide(self, between: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        orders = self._orders().join(self.customers(), "CUSTOMER_ID")
-        return self._lines(orders, self.sellers(), between)
+            return pin_in_turn(map(turn, range(turns)), path, "zstd")

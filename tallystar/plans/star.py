@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,19 +87,21 @@ def inventory_fact(
     id_column: str = "FACT_ID",
     time_id: str = "TIME_DIM_ID",
     rows: int | None = None,
+    hold: Callable[[DataFrame], DataFrame] = lambda lines: lines,
 ) -> DataFrame:
     """The distinct sales with the id of their date; sales without a date drop out.
 
     ``time`` must be a written time dimension: its ids then are those that
     others see, and its size is known to the planner. The rows come out in runs
-    ordered by date, so that files and row groups hold few days each.
+    ordered by date, so that files and row groups hold few days each. ``hold`` may pin the distinct lines, so that
+    the shuffle that made them so is gone before the next.
     """
 
     def dated(sales: DataFrame) -> DataFrame:
         return sales.join(time.select(date, time_id), date).select(time_id, *columns)
 
     lines = source.select(date, *columns)
-    return dense_surrogate_key(dated(lines.dropDuplicates()), id_column, [time_id, *columns], rows, dated(lines)).select(
+    return dense_surrogate_key(dated(hold(lines.dropDuplicates())), id_column, [time_id, *columns], rows, dated(lines)).select(
         id_column, time_id, *columns
     )
 

@@ -7,7 +7,7 @@ import tempfile
 import threading
 import uuid
 import warnings
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
@@ -123,6 +123,16 @@ def _write(df: DataFrame, path: str, codec: str | None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pin_in_turn(frames: Iterable[DataFrame], path: str, codec: str | None = None) -> DataFrame:
+    """The rows of frames of one schema as one table at ``path``, a frame after the other, so that the shuffles of only one lie there at a time."""
+    schema = None
+    for df in frames:
+        spark, schema = df.sparkSession, schema or df.schema
+        with shuffles_dropped(spark):
+            df.write.mode("append").parquet(path, compression=codec)
+    return spark.read.schema(schema).parquet(path)
+
+
 def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str | None = None, codec: str | None = None) -> DataFrame:
     """``make()`` pinned (at ``path``, if given), and all that it pinned on the way deleted."""
     path = path or scratch_path(spark)

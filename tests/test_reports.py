@@ -9,12 +9,12 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallystar.plans import jobs, queries, reports
+from tallystar.plans import jobs, order_tables, queries, reports
 from tallystar.plans.jobs import build_star, main, read_star, run_reports, stored_schemas
 from tallystar.plans.layout import StarLayout
 from tallystar.plans.order_tables import OrderTables
 from tallystar.plans.star import distinct_rows, inventory_fact, time_dimension
-from tallystar.sources.scratch import pin, scratch_path
+from tallystar.sources.scratch import pin, pin_in_turn, scratch_path
 from tallystar.sources.tables import read_csv, table_path, write_csv, write_table
 from tallystar.sources.versions import current
 from tests.data import ROWS, SCHEMA, table, wide
@@ -146,6 +146,27 @@ def test_the_wide_table_goes_when_the_star_is_built(spark, monkeypatch):
     assert made and not any(os.path.exists(f.removeprefix("file://")) for f in made[0].inputFiles())
 
 
+def test_lines_meet_their_orders_in_turns(spark, tmp_path, monkeypatch):
+    turns = []
+    monkeypatch.setattr(order_tables, "TURN_LINES", 10)
+    monkeypatch.setattr(order_tables, "pin_in_turn", lambda frames, *a: pin_in_turn((turns.append(1) or f for f in frames), *a))
+    made = {
+        "nation": [(1, "OHIO", 0)],
+        "customer": [(c, f"c{c}", 1, 0.0, "BUILDING") for c in range(3)],
+        "supplier": [(s, f"s{s}", 1, 0.0) for s in range(2)],
+        "part": [(p, f"p{p}", "b", "t", 1, 2.5) for p in range(4)],
+        "orders": [(o, o % 4, "O", 10.0, None, "1-URGENT") for o in range(20)] + [(None, 1, "O", 1.0, None, "x")],
+        "lineitem": [(k % 25, k % 5, k % 3, k, 2.0, 3.0, 0.0, 0.0, "N", "O", None) for k in range(75)] + [(None, 1, 1, 1, 2.0, 3.0, 0.0, 0.0, "N", "O", None)] * 2,
+    }
+    for name, rows in made.items():
+        spark.createDataFrame(rows, order_tables.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = OrderTables(spark, str(tmp_path)).pinned_wide()
+    lines = [r for r in made["lineitem"] if r[0] is not None and r[0] < 20 and r[0] % 4 < 3 and r[1] < 4 and r[2] < 2]
+    wanted = sorted((r[0], r[1], f"p{r[1]}", r[2], f"s{r[2]}", r[0] % 4, f"c{r[0] % 4}", Decimal("5.0000"), Decimal("3.00")) for r in lines)
+    columns = ["TRANSACTION_ID", "PRODUCT_ID", "PRODUCT Name", "SELLER_ID", "SELLER_NAME", "CUSTOMER_ID", "Customer Name", "PRODUCT_COST_PRICE", "PRODUCT_SELLING_PRICE"]
+    assert sorted(map(tuple, got.select(*columns).collect())) == wanted and len(turns) == 4
+
+
 def test_old_versions_are_deleted_but_the_last(spark):
     path = scratch_path(spark)
     for _ in range(4):

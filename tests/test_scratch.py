@@ -8,7 +8,7 @@ from functools import partial
 import pytest
 
 from tallystar.plans import jobs
-from tallystar.sources.scratch import at_once, kept, pin, scratch_of_job, scratch_path
+from tallystar.sources.scratch import at_once, kept, pin, pin_in_turn, scratch_of_job, scratch_path
 from tests.data import wide
 
 
@@ -61,6 +61,18 @@ def test_pinning_leaves_no_shuffle(spark):
     assert soon_gone(spark, before)
 
 
+def test_frames_in_turn_are_one_table_and_leave_no_shuffle(spark):
+    before, seen = shuffle_files(spark), []
+
+    def frames():
+        for n in range(3):
+            seen.append(soon_gone(spark, before))
+            yield spark.range(10 * n, 10 * n + 10).repartition(2, "id")
+
+    df = pin_in_turn(frames(), scratch_path(spark), "zstd")
+    assert sorted(r.id for r in df.collect()) == list(range(30)) and all(seen)
+
+
 def test_what_is_kept_outlives_what_it_took(spark):
     inner = []
 
