@@ -51,12 +51,6 @@ def _own_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """What runs meanwhile leaves no shuffle files, which else stay until the driver happens to collect its garbage.
@@ -92,7 +86,8 @@ def scratch_of_job(spark: SparkSession) -> Iterator[str]:
             yield path
     finally:
         _JOB.reset(token)
-        delete(spark, path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def at_once(*jobs: Callable[[], Any]) -> list:
@@ -116,7 +111,7 @@ def pin(df: DataFrame, codec: str | None = None) -> DataFrame:
     return _write(df, scratch_path(df.sparkSession), codec)
 
 
-def _write(df: DataFrame, path: str, codec: str | None) -> DataFrame:
+def _write(df: DataFrame, path: str, codec: str | None = None) -> DataFrame:
     spark = df.sparkSession
     with shuffles_dropped(spark):
         df.write.parquet(path, compression=codec)
@@ -133,8 +128,8 @@ def pin_in_turn(frames: Iterable[DataFrame], path: str, codec: str | None = None
     return spark.read.schema(schema).parquet(path)
 
 
-def kept(spark: SparkSession, make: Callable[[], DataFrame], path: str | None = None, codec: str | None = None) -> DataFrame:
-    """``make()`` pinned (at ``path``, if given), and all that it pinned on the way deleted."""
-    path = path or scratch_path(spark)
+def kept(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` pinned, and all that it pinned on the way deleted."""
+    path = scratch_path(spark)
     with scratch_of_job(spark):
-        return _write(make(), path, codec)
+        return _write(make(), path)
